@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from textloom.plans.shared import materialise
 from textloom.sources.tables import read_table
 
-from . import looks, split, tokenize
+from . import language, leak, looks, split, tokenize
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -24,6 +24,47 @@ def p2_forms(spark: SparkSession, folder: str) -> DataFrame:
     return forms.select(F.col("key").alias("seq"), F.col("form").alias("text"))
 
 
+def _language_models(spark: SparkSession, folder: str) -> language.LanguageModels:
+    """Fitted on the texts of known language: level_samples and eval_items."""
+    known = read_table(spark, folder, "level_samples").select("lang", "text").unionByName(read_table(spark, folder, "eval_items").select("lang", "text"))
+    return language.fit(spark, known, "lang", "text")
+
+
+def p4_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, with confidence and shares, beside its given label."""
+    return language.label_languages(read_table(spark, folder, "documents"), ["doc_id", "lang"], "text", _language_models(spark, folder))
+
+
+def p4_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """The spans of each language in every document that mixes some."""
+    return language.language_spans(read_table(spark, folder, "documents"), "doc_id", "text", _language_models(spark, folder))
+
+
+def p4_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every row of llm_segments, beside the one its payload gives."""
+    return language.payload_languages(read_table(spark, folder, "llm_segments"), "id", "gemini_json", "text", _language_models(spark, folder))
+
+
+def p4_payload(spark: SparkSession, folder: str) -> DataFrame:
+    """Corrected main_language, tatar_prob and russian_share of every id of label_payload, beside the given ones."""
+    models = _language_models(spark, folder)
+    texts = read_table(spark, folder, "llm_segments").groupBy("id").agg(F.min("text").alias("text"))
+    given = read_table(spark, folder, "label_payload").select("id", F.col("main_language").alias("given_language"), F.col("tatar_prob").alias("given_tatar_prob"), F.col("russian_share").alias("given_russian_share"))
+    labelled = language.label_languages(texts, ["id"], "text", models, language.segment_language)
+    return given.join(labelled.select("id", F.col("language").alias("main_language"), F.col("tt").alias("tatar_prob"), F.col("ru").alias("russian_share"), "confidence"), "id", "left")
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    models = _language_models(spark, folder)
+    documents = language.label_languages(read_table(spark, folder, "documents"), ["doc_id", "lang"], "text", models)
+    wrong = documents.where("language IS NOT NULL AND lower(trim(coalesce(lang, ''))) <> language").select(
+        F.lit("document").alias("kind"), F.col("doc_id").cast("string").alias("item_key"), "language"
+    )
+    segments = language.payload_languages(read_table(spark, folder, "llm_segments"), "id", "gemini_json", "text", models)
+    bad = segments.where("language IS NOT NULL AND coalesce(given, '') <> language").groupBy("id").agg(F.min("language").alias("language"))
+    return wrong.unionByName(bad.select(F.lit("segment").alias("kind"), F.col("id").alias("item_key"), "language"))
+
+
 def p5_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """The pieces of every oversized clean segment, traceable by id and parent_digest."""
     return split.split_oversized(read_table(spark, folder, "clean_segments"), "text", ["seq", "id", "parent_digest"])
@@ -38,12 +79,42 @@ def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokenize.encode_corpus(read_table(spark, folder, "documents"), "doc_id", "text", vocabulary)
 
 
+def p8_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document and evaluation item that share a passage, with its span."""
+    return leak.find_leaks(read_table(spark, folder, "documents"), "doc_id", "text", read_table(spark, folder, "eval_items"), "item_id", "text")
+
+
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p8_leaks(spark, folder).select("doc_id", "item_id")
+
+
+def p8_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Which items leaked, into how many documents, and how much of them at most."""
+    return p8_leaks(spark, folder).groupBy("item_id").agg(
+        F.count_distinct("doc_id").alias("n_docs"), F.max("n_words").alias("longest_run"), F.max(F.col("n_words") / F.col("item_words")).alias("coverage")
+    )
+
+
+def p8_cleaned(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents without their leaked spans."""
+    return leak.without_leaks(read_table(spark, folder, "documents"), "doc_id", "text", p8_leaks(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
     "p2_forms": p2_forms,
+    "p4_found": p4_found,
+    "p4_documents": p4_documents,
+    "p4_spans": p4_spans,
+    "p4_segments": p4_segments,
+    "p4_payload": p4_payload,
     "p5_found": p5_found,
     "p5_pieces": p5_pieces,
     "p7_ids": p7_ids,
+    "p8_found": p8_found,
+    "p8_leaks": p8_leaks,
+    "p8_items": p8_items,
+    "p8_cleaned": p8_cleaned,
 }
 
 SQL: dict[str, str] = {
