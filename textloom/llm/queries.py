@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from textloom.plans.shared import materialise
 from textloom.sources.tables import read_table
 
-from . import language, leak, looks, split, tokenize
+from . import language, leak, level, looks, split, tokenize
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -100,6 +100,23 @@ def p8_cleaned(spark: SparkSession, folder: str) -> DataFrame:
     return leak.without_leaks(read_table(spark, folder, "documents"), "doc_id", "text", p8_leaks(spark, folder))
 
 
+def p9_levels(spark: SparkSession, folder: str) -> DataFrame:
+    """The reading level of every document, on the scale of level_samples."""
+    return level.grade_texts(read_table(spark, folder, "documents"), "doc_id", "text", read_table(spark, folder, "level_samples"), "text", "level")
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p9_levels(spark, folder).where("level = 3").select("doc_id")
+
+
+def p9_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """How demanding each source's documents are; a null source is a source of its own."""
+    sources = read_table(spark, folder, "documents").select("doc_id", "source")
+    return p9_levels(spark, folder).join(sources, "doc_id").groupBy("source").agg(
+        F.count("level").alias("n_graded"), F.avg("level_score").alias("mean_level"), F.avg((F.col("level") == 3).cast("double")).alias("share_demanding")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
     "p2_forms": p2_forms,
@@ -115,6 +132,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p8_leaks": p8_leaks,
     "p8_items": p8_items,
     "p8_cleaned": p8_cleaned,
+    "p9_found": p9_found,
+    "p9_levels": p9_levels,
+    "p9_sources": p9_sources,
 }
 
 SQL: dict[str, str] = {
