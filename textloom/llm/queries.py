@@ -10,7 +10,40 @@ from pyspark.sql import functions as F
 from textloom.plans.shared import materialise
 from textloom.sources.tables import read_table
 
-from . import language, leak, level, looks, split, tokenize
+from . import language, leak, level, looks, split, tokenize, toxicity
+
+
+def _toxicity_chain(spark: SparkSession, folder: str) -> toxicity.Chain:
+    return toxicity.fit(read_table(spark, folder, "toxicity_segments"), "id", "text", read_table(spark, folder, "toxicity_reviews"), "id", "abusive")
+
+
+def p1_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row of toxicity_segments with its own score and category, beside the given label and score."""
+    return toxicity.score(read_table(spark, folder, "toxicity_segments"), ["seq", "id", "parent_digest", "toxicity_label", "toxicity_score"], "text", _toxicity_chain(spark, folder))
+
+
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    scored = toxicity.score(read_table(spark, folder, "toxicity_segments"), ["id"], "text", _toxicity_chain(spark, folder))
+    return scored.where(F.col("toxicity") >= toxicity.THRESHOLD).select("id").distinct()
+
+
+def p1_rates(spark: SparkSession, folder: str) -> DataFrame:
+    """Per community: segments, abusive ones and their rate; segments of no known community are under null.
+
+    A segment that was scored twice counts once, by its higher score.
+    """
+    scored = toxicity.score(read_table(spark, folder, "toxicity_segments"), ["id", "parent_digest"], "text", _toxicity_chain(spark, folder))
+    segments = scored.groupBy("id", "parent_digest").agg(F.max("toxicity").alias("toxicity"))
+    source = F.coalesce(F.nullif("url", F.lit("")), F.nullif("message_url", F.lit("")))
+    communities = (
+        read_table(spark, folder, "raw_messages").where(source.isNotNull())
+        .select(F.sha1(source).alias("parent_digest"), "community").groupBy("parent_digest").agg(F.min("community").alias("community"))
+    )
+    # Segments of one message are summed before the join, so a busy source doesn't make a hot key.
+    by_source = segments.groupBy("parent_digest").agg(F.count("*").alias("n"), F.count_if(F.col("toxicity") >= toxicity.THRESHOLD).alias("bad"))
+    return by_source.join(communities, "parent_digest", "left").groupBy("community").agg(
+        F.sum("n").alias("n_segments"), F.sum("bad").alias("n_abusive"), (F.sum("bad") / F.sum("n")).alias("abusive_rate")
+    )
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -118,6 +151,9 @@ def p9_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p1_found": p1_found,
+    "p1_scores": p1_scores,
+    "p1_rates": p1_rates,
     "p2_found": p2_found,
     "p2_forms": p2_forms,
     "p4_found": p4_found,
