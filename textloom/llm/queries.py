@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from textloom.plans.shared import materialise
 from textloom.sources.tables import read_table
 
-from . import language, leak, level, looks, split, tokenize, toxicity
+from . import language, leak, level, looks, neardup, split, tokenize, toxicity
 
 
 def _toxicity_chain(spark: SparkSession, folder: str) -> toxicity.Chain:
@@ -107,6 +107,17 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return p5_pieces(spark, folder).where("piece_no = 0").select("seq")
 
 
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    pairs = neardup.like_pairs(read_table(spark, folder, "dedup_segments"), "seq", "text", materialise)
+    return pairs.select(F.col("key_a").alias("seq_a"), F.col("key_b").alias("seq_b"))
+
+
+def p6_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """The group of alike segments of every dedup segment, and how many it is like."""
+    found = neardup.groups(read_table(spark, folder, "dedup_segments"), "seq", "text", materialise)
+    return found.select(F.col("key").alias("seq"), F.col("group").alias("group_seq"), "group_size", "n_links")
+
+
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = f"{tokenize.tokenizer_dir()}/byte_bpe_50k.tiktoken"
     return tokenize.encode_corpus(read_table(spark, folder, "documents"), "doc_id", "text", vocabulary)
@@ -163,6 +174,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_payload": p4_payload,
     "p5_found": p5_found,
     "p5_pieces": p5_pieces,
+    "p6_found": p6_found,
+    "p6_groups": p6_groups,
     "p7_ids": p7_ids,
     "p8_found": p8_found,
     "p8_leaks": p8_leaks,
