@@ -18,11 +18,13 @@ _KEY = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of this session, without a trailing slash."""
+    """The shared folder of this session as a URI, without a trailing slash."""
     named = spark.conf.get(_KEY, None) or spark.sparkContext.getConf().get(_KEY, None)
     if not named:
         named = "file://" + os.path.join(tempfile.gettempdir(), f"textloom-{os.getuid()}")
-    return named.rstrip("/")
+    path = spark._jvm.org.apache.hadoop.fs.Path(named)
+    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
+    return "file://" + uri[5:] if uri.startswith("file:/") and not uri.startswith("file://") else uri
 
 
 def materialise(df: DataFrame, tag: str) -> DataFrame:
