@@ -64,16 +64,15 @@ class _Hashes(dict):
 
 
 def word_set(text: str, hashes: _Hashes) -> list[int]:
-    """The hashes of the distinct words of a text in ascending order; a word is a longest run of letters and digits, lower-cased."""
-    number = hashes.__getitem__
-    return sorted(set(map(number, _WORD.findall(text.lower()))))
+    """The hashes of the distinct words of a text in the order of first occurrence; a word is a longest run of letters and digits, lower-cased."""
+    return list(dict.fromkeys(map(hashes.__getitem__, _WORD.findall(text.lower()))))
 
 
 def _word_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = _Hashes()
     for batch in batches:
         sets = [word_set(t, hashes) for t in batch.column(1).to_pylist()]
-        classes = [xxhash.xxh64_intdigest(np.array(s, np.int64).tobytes(), 1) - (1 << 63) for s in sets]
+        classes = [xxhash.xxh64_intdigest(np.array(sorted(s), np.int64).tobytes(), 1) - (1 << 63) for s in sets]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(classes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["key", "class", "words"])
 
 

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.plans.shared import materialise
+from textloom.plans.shared import materialise, shared_dir
 from textloom.sources.tables import read_table
 
-from . import language, leak, level, looks, neardup, split, tokenize, toxicity
+from . import history, language, leak, level, looks, neardup, split, tokenize, toxicity
 
 
 def _toxicity_chain(spark: SparkSession, folder: str) -> toxicity.Chain:
@@ -57,6 +58,35 @@ def p2_forms(spark: SparkSession, folder: str) -> DataFrame:
     return forms.select(F.col("key").alias("seq"), F.col("form").alias("text"))
 
 
+def _incoming_checked(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Incoming rows, and the (batch_no, seq) of those known by row hash, from history, and from earlier incoming rows."""
+    rows = read_table(spark, folder, "incoming_segments").withColumn("place", F.struct("batch_no", "seq"))
+    logged = rows.join(read_table(spark, folder, "ingest_log").select("row_hash").distinct(), "row_hash", "left_semi").select("place")
+    accepted = history.text_sets(read_table(spark, folder, "dedup_segments"), "seq", "text").select("class", "words")
+    store = history.FingerprintStore.create(accepted, f"{shared_dir(spark)}/textloom/store-{uuid.uuid4().hex}")
+    sets = materialise(history.text_sets(rows, "place", "text"), "incoming")
+    stored = history.known_in_history(sets, store).withColumnRenamed("key", "place")
+    within = neardup.class_links(sets.where(F.size("words") > 0).select("class", F.transform("words", lambda w: w.cast("bigint") * F.lit(4294967296)).alias("words")))
+    earlier = history.known_in_batch(sets.withColumn("place", F.col("key")), within).withColumnRenamed("key", "place")
+    return rows, logged, stored, earlier
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    _, *known = _incoming_checked(spark, folder)
+    return known[0].unionByName(known[1]).unionByName(known[2]).select("place.seq").distinct()
+
+
+def p3_status(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether each incoming row is new, and if not, by what it is known."""
+    rows, *known = _incoming_checked(spark, folder)
+    marks = None
+    for name, places in zip(("row_hash", "history", "earlier"), known):
+        part = places.distinct().select("place", F.lit(name).alias("by"))
+        marks = part if marks is None else marks.unionByName(part)
+    marks = marks.groupBy("place").agg(F.array_sort(F.collect_set("by")).alias("known_by"))
+    return rows.select("seq", "batch_no", "place").join(marks, "place", "left").select("seq", "batch_no", F.when(F.col("known_by").isNull(), "new").otherwise("known").alias("status"), "known_by")
+
+
 def _language_models(spark: SparkSession, folder: str) -> language.LanguageModels:
     """Fitted on the texts of known language: level_samples and eval_items."""
     known = read_table(spark, folder, "level_samples").select("lang", "text").unionByName(read_table(spark, folder, "eval_items").select("lang", "text"))
@@ -167,6 +197,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_rates": p1_rates,
     "p2_found": p2_found,
     "p2_forms": p2_forms,
+    "p3_found": p3_found,
+    "p3_status": p3_status,
     "p4_found": p4_found,
     "p4_documents": p4_documents,
     "p4_spans": p4_spans,

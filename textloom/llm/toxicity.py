@@ -267,9 +267,10 @@ def fit(segments: DataFrame, key: str, text: str, reviews: DataFrame, review_key
     texts under one key the least counts. Null verdicts and texts are left out.
     """
     judged = reviews.where(F.col(verdict).isin(0, 1)).groupBy(F.col(review_key).alias("key")).agg(F.max(verdict).alias("abusive"))
-    known = segments.select(F.col(key).alias("key"), F.col(text).alias("text")).where("text IS NOT NULL").join(judged, "key").groupBy("key", "abusive").agg(F.min("text").alias("text"))
-    sample = [known.where(F.col("abusive") == k).orderBy(F.xxhash64("key"), "key").limit(most) for k, most in ((1, MAX_POSITIVE), (0, MAX_NEGATIVE))]
-    rows = sample[0].unionByName(sample[1]).select("text", "abusive").collect()
+    # The bound is put on the verdicts, so what is broadcast to the segments is small whatever the tables.
+    sample = [judged.where(F.col("abusive") == k).orderBy(F.xxhash64("key"), "key").limit(most) for k, most in ((1, MAX_POSITIVE), (0, MAX_NEGATIVE))]
+    known = segments.select(F.col(key).alias("key"), F.col(text).alias("text")).where("text IS NOT NULL").join(F.broadcast(sample[0].unionByName(sample[1])), "key")
+    rows = known.groupBy("key", "abusive").agg(F.min("text").alias("text")).orderBy(F.xxhash64("key"), "key").select("text", "abusive").collect()
     return fit_chain([r.text for r in rows], [r.abusive for r in rows])
 
 
