@@ -66,7 +66,7 @@ def _incoming_checked(spark: SparkSession, folder: str) -> tuple[DataFrame, Data
     store = history.FingerprintStore.create(accepted, f"{shared_dir(spark)}/textloom/store-{uuid.uuid4().hex}")
     sets = materialise(history.text_sets(rows, "place", "text"), "incoming")
     stored = history.known_in_history(sets, store).withColumnRenamed("key", "place")
-    within = neardup.class_links(sets.where(F.size("words") > 0).select("class", F.transform("words", lambda w: w.cast("bigint") * F.lit(4294967296)).alias("words")))
+    within = neardup.class_links(sets.where(F.size("words") > 0).select("class", F.transform("words", lambda w: F.xxhash64(w)).alias("words")))
     earlier = history.known_in_batch(sets.withColumn("place", F.col("key")), within).withColumnRenamed("key", "place")
     return rows, logged, stored, earlier
 
