@@ -135,16 +135,34 @@ def keys_of(words: np.ndarray, counts: np.ndarray, total: int) -> list[tuple[int
     return out
 
 
-def group_counts(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Counts by group of the words between each start and end, at most 255 each."""
-    group = ((words.view(np.uint64) >> np.uint64(7)) % np.uint64(GROUPS)).astype(np.int64)
-    before = np.zeros((len(words) + 1, GROUPS), np.int32)
-    before[np.arange(1, len(words) + 1), group] = 1
+def pack_counts(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts by group of the words between each start and end, four bits each; 15 stands for any larger count.
+
+    Each group is in two halves; the first result has one half of every group, the second the other.
+    """
+    half = ((words.view(np.uint64) >> np.uint64(7)) & np.uint64(2 * GROUPS - 1)).astype(np.int64)
+    before = np.zeros((len(words) + 1, 2 * GROUPS), np.int32)
+    before[np.arange(1, len(words) + 1), half] = 1
     np.cumsum(before, axis=0, out=before)
-    return np.minimum(before[ends] - before[starts], 255).astype(np.uint8)
+    count = np.minimum(before[ends] - before[starts], 15).astype(np.uint64)
+    places = np.arange(GROUPS, dtype=np.uint64) * np.uint64(4)
+    return tuple((count[:, k::2] << places).sum(1, dtype=np.uint64).view(np.int64) for k in (0, 1))
+
+
+def unpack_counts(packed: np.ndarray) -> np.ndarray:
+    """Upper bounds of the counts, a row for each point."""
+    count = (packed.view(np.uint64)[:, None] >> (np.arange(GROUPS, dtype=np.uint64) * np.uint64(4)) & np.uint64(15)).astype(np.uint8)
+    count[count == 15] = 120
+    return count
+
+
+def halves_allow(one: np.ndarray, two: np.ndarray, a: np.ndarray, b: np.ndarray, needed: np.ndarray) -> np.ndarray:
+    """The pairs whose half groups leave the needed overlap possible; 120 stands for any count from 15 on."""
+    least = [np.minimum(c[a], c[b]) for c in (one, two)]
+    return (least[0].sum(1, dtype=np.int32) + least[1].sum(1, dtype=np.int32) >= needed) | (least[0] == 120).any(1) | (least[1] == 120).any(1)
 
 
-POINT = "key bigint, id bigint, size int, rest int, counts binary"
+POINT = "key bigint, id bigint, size int, rest int, counts bigint, counts2 bigint"
 
 
 class _Tree:
@@ -152,6 +170,7 @@ class _Tree:
 
     def __init__(self, key, size, rest, counts):
         self.levels = [(key, size, size, rest, counts, None)]
+        self.capped = bool((counts >= 120).any())
         while True:
             key, low, high, rest, counts, _ = self.levels[-1]
             begin = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
@@ -167,7 +186,10 @@ class _Tree:
         needed = overlap_needed(low[a], low[b])
         keep = (np.minimum(rest[a], rest[b]) >= needed) & (high[a] >= SIMILARITY * low[b] - 1e-9) & (high[b] >= SIMILARITY * low[a] - 1e-9)
         a, b, needed = a[keep], b[keep], needed[keep]
-        keep = np.minimum(counts[a], counts[b]).sum(1, dtype=np.int32) >= needed
+        least = np.minimum(counts[a], counts[b])
+        keep = least.sum(1, dtype=np.int32) >= needed
+        if self.capped:
+            keep |= (least >= 120).any(1)
         return a[keep], b[keep]
 
     def _below(self, level: int, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -209,13 +231,15 @@ def _join_points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[pa.RecordBatch] = []
 
     def joined(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        key, ids, size, rest = (table.column(k).to_numpy() for k in range(4))
-        counts = np.frombuffer(b"".join(table.column(4).to_pylist()), np.uint8).reshape(-1, GROUPS)
+        key, ids, size, rest, one, two = (table.column(k).to_numpy() for k in range(6))
         many = np.flatnonzero(np.append(False, key[1:] == key[:-1]) | np.append(key[1:] == key[:-1], False))
-        key, ids, size, rest, counts = key[many], ids[many], size[many], rest[many], counts[many]
+        key, ids, size, rest, one, two = (column[many] for column in (key, ids, size, rest, one, two))
         order = np.lexsort((rest, size, key))
-        key, ids, size, rest, counts = key[order], ids[order], size[order].astype(float), rest[order].astype(float), counts[order]
-        for x, y in _Tree(key, size, rest, counts).pairs():
+        key, ids, size, rest, one, two = (column[order] for column in (key, ids, size, rest, one, two))
+        one, two, size, rest = unpack_counts(one), unpack_counts(two), size.astype(np.float32), rest.astype(np.float32)
+        for x, y in _Tree(key, size, rest, one + two).pairs():
+            keep = halves_allow(one, two, x, y, overlap_needed(size[x], size[y]))
+            x, y = x[keep], y[keep]
             a, b = np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])
             pair = np.unique(np.stack([a, b], 1)[a != b], axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy())], names=names)
@@ -274,9 +298,8 @@ def class_links(sets: DataFrame) -> DataFrame:
                     rows.append(i)
             at, of = np.array(starts, np.int64), np.array(rows, np.int64)
             size, rest = sizes[of], ends[of] - at
-            counts = group_counts(words, at, ends[of])
-            binary = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(np.arange(0, GROUPS * (len(at) + 1), GROUPS, dtype=np.int32)), pa.py_buffer(counts.tobytes())])
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(ids[of]), pa.array(size.astype(np.int32)), pa.array(rest.astype(np.int32)), binary], names=["key", "id", "size", "rest", "counts"])
+            one, two = pack_counts(words, at, ends[of])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(ids[of]), pa.array(size.astype(np.int32)), pa.array(rest.astype(np.int32)), pa.array(one), pa.array(two)], names=[c.split()[0] for c in POINT.split(", ")])
 
     points = once.mapInArrow(put, POINT).repartition("key").sortWithinPartitions("key")
     candidates = points.mapInArrow(_join_points, "id_a bigint, id_b bigint").distinct()
