@@ -1,0 +1,140 @@
+"""First come, first kept; SimHash; near-duplicates."""
+
+import hashlib
+import random
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from textloom.functions.simhash import bands, hamming, simhash_lists
+from textloom.operators import dedup, firstwins
+from textloom.plans.shared import forget, materialise
+from textloom.profile import Profile
+
+
+def plain_simhash(tokens):
+    ones = [0] * 64
+    for t in tokens:
+        h = int.from_bytes(hashlib.md5(t.encode()).digest()[8:], "big")
+        for i in range(64):
+            ones[i] += h >> i & 1
+    value = sum(1 << i for i in range(64) if 2 * ones[i] > len(tokens))
+    return value - (1 << 64) if value >> 63 else value
+
+
+@given(st.lists(st.lists(st.sampled_from(["a", "b", "c", "d", "e"]), max_size=6), min_size=1, max_size=8))
+@settings(max_examples=40, deadline=None)
+def test_simhash(lists):
+    assert simhash_lists(lists).tolist() == [plain_simhash(x) for x in lists]
+
+
+def test_bands_lose_nothing(spark):
+    rng = random.Random(1)
+    values = []
+    for _ in range(40):
+        v = rng.getrandbits(64)
+        values += [v, v ^ (1 << rng.randrange(64)), v ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64))]
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    df = spark.createDataFrame([(v,) for v in signed], "simhash long")
+    got = {(r.a, r.b, r.distance) for r in dedup.near_pairs(df, 2).collect()}
+    want = {(a, b, d) for a in set(signed) for b in set(signed) if a < b and (d := bin((a ^ b) & (1 << 64) - 1).count("1")) <= 2}
+    assert got == want
+    assert df.select(F.size(bands("simhash", 2)), hamming("simhash", "simhash")).first()[:] == (3, 0)
+
+
+def chain(spark, edges, fixed=None):
+    df = spark.createDataFrame(edges, "earlier long, later long")
+    return {r.later for r in firstwins.suppressed(df, materialise, fixed).collect()}
+
+
+def test_suppression(spark):
+    assert chain(spark, [(1, 2), (2, 3)]) == {2}
+    assert chain(spark, [(1, 2), (2, 3), (3, 4), (1, 4), (None, 9), (5, 5)]) == {2, 4}
+    fixed = spark.createDataFrame([(3,)], "node long")
+    assert chain(spark, [(1, 2), (1, 3), (3, 4)], fixed) == {2, 4}
+    assert firstwins.suppressed(spark.createDataFrame([], "earlier long, later long"), materialise).count() == 0
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.sets(st.tuples(st.integers(0, 9), st.integers(0, 9)), max_size=18))
+def test_suppression_is_greedy(spark, pairs):
+    edges = sorted((a, b) for a, b in pairs if a < b)
+    kept = []
+    for n in range(10):
+        if not any((k, n) in edges for k in kept):
+            kept.append(n)
+    assert chain(spark, edges or [(None, None)]) == set(range(10)) - set(kept)
+
+
+def test_two_keys(spark):
+    def run(rows, stored=None):
+        df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "seq long, id string, h string")
+        old = None if stored is None else spark.createDataFrame(stored, "id string, h string")
+        return [r.seq for r in firstwins.two_key_first(df, "seq", "id", "h", materialise, old).orderBy("seq").collect()]
+
+    assert run([("A", "X"), ("B", "X"), ("B", "Y")]) == [0, 2]
+    assert run([("A", "X"), ("A", "Y"), ("B", "Y")]) == [0, 2]
+    assert run([("A", "X"), ("A", "X"), (None, None), (None, None), (None, "X"), ("C", None)]) == [0, 2, 3, 5]
+    assert run([("A", "X"), ("B", "Y"), ("C", "Z")], [("A", "Q"), ("R", "Y")]) == [2]
+
+
+def test_first_and_last_of_a_key(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (4, None)], "seq long, k string")
+    assert {r.seq for r in firstwins.keep_first(df, "k", "seq").collect()} == {1, 3, 4}
+    assert {r.seq for r in firstwins.keep_last(df, "k", "seq").collect()} == {2, 3, 4}
+    assert firstwins.keep_first(df.limit(0), "k", "seq").count() == 0
+
+
+def plain_dedup(rows, profile, stored=()):
+    import regex
+
+    def facts(text):
+        t = regex.findall(r"[\p{L}\d]+(?:'[\p{L}\d]+)?", text.lower())
+        return plain_simhash(t) & (1 << 64) - 1, len(t)
+
+    kept = [(None if h is None else h, facts(t)[0]) for t, h in stored]
+    out = {}
+    for seq, text, h in rows:
+        s, n = facts(text)
+        k = profile.short_distance if n <= profile.short_tokens else profile.near_distance
+        if h is not None and any(h == o for o, _ in kept):
+            out[seq] = "exact_dup"
+        elif any(bin(s ^ o).count("1") <= k for _, o in kept):
+            out[seq] = "near_dup"
+        else:
+            out[seq] = "kept"
+            kept.append((h, s))
+    return out
+
+
+def test_greedy_dedup(spark):
+    rng = random.Random(5)
+    profile = Profile(near_distance=9, short_distance=4, short_tokens=5)
+    words = [f"w{i}" for i in range(12)]
+    rows = []
+    for i in range(90):
+        text = " ".join(rng.choice(words) for _ in range(rng.randint(0, 9)))
+        rows.append((i, text, rng.choice([None, f"h{hash(text) % 50}", f"h{rng.randrange(40)}"])))
+    df = spark.createDataFrame(rows, "seq long, text string, norm_hash string")
+    got = {r.seq: r.status for r in dedup.deduplicate(df, "seq", "text", "norm_hash", materialise, profile).collect()}
+    assert got == plain_dedup(rows, profile)
+    stored = [(t, h) for _, t, h in rows[:6]]
+    old = spark.createDataFrame([(f"id{i}", t, h) for i, (t, h) in enumerate(stored)], "id string, text string, norm_hash string")
+    fresh = df.where("seq >= 4").withColumn("id", F.concat(F.lit("id"), "seq"))
+    got = {r.seq: r.status for r in dedup.deduplicate(fresh, "seq", "text", "norm_hash", materialise, profile, old, "id").collect()}
+    assert {s for s, v in got.items() if v == "already_present"} == {4, 5}
+    assert {s: v for s, v in got.items() if s > 5} == plain_dedup(rows[6:], profile, stored)
+    assert dedup.deduplicate(df.limit(0), "seq", "text", "norm_hash", materialise).count() == 0
+
+
+def test_null_texts_are_kept(spark):
+    df = spark.createDataFrame([(1, None, None), (2, None, None), (3, None, "h"), (4, "x", "h")], "seq long, text string, norm_hash string")
+    got = {r.seq: r.status for r in dedup.deduplicate(df, "seq", "text", "norm_hash", materialise).collect()}
+    assert got == {1: "kept", 2: "kept", 3: "kept", 4: "exact_dup"}
+
+
+def test_tables_in_the_shared_folder(spark):
+    df = materialise(spark.range(3), "t")
+    assert df.count() == 3 and spark.conf.get("spark.checkpoint.dir").rstrip("/") in df.inputFiles()[0]
+    forget(df)

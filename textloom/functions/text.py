@@ -14,10 +14,12 @@ from textloom.profile import DEFAULT, Profile
 
 # Patterns of contacts, placeholders, words and white space.
 SPACE = r"\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+#: White space as patterns have it; what is stripped from ends (above) has the four separators besides.
+WHITE = SPACE.replace(r"\x{1c}-\x{20}", r"\x{20}")
 LINE_BREAK = r"[\x{a}\x{b}\x{c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
-URL = rf"(?:https?://|www\.)[^{SPACE}]+"
+URL = rf"(?:https?://|www\.)[^{WHITE}]+"
 EMAIL = r"[\p{L}0-9._%+-]+@[\p{L}0-9.-]+\.[a-z]{2,}"
-PHONE = rf"(?:\+?7|8)?[{SPACE}-]?(?:\(\p{{Nd}}{{3}}\)|\p{{Nd}}{{3}})[{SPACE}-]?\p{{Nd}}{{3}}[{SPACE}-]?\p{{Nd}}{{2}}[{SPACE}-]?\p{{Nd}}{{2}}"
+PHONE = rf"(?:\+?7|8)?[{WHITE}-]?(?:\(\p{{Nd}}{{3}}\)|\p{{Nd}}{{3}})[{WHITE}-]?\p{{Nd}}{{3}}[{WHITE}-]?\p{{Nd}}{{2}}[{WHITE}-]?\p{{Nd}}{{2}}"
 NAME_PLACEHOLDER = r"\[\[([^\[\]]+)\]\]"
 SINGLE_BRACKET = r"(?:^|[^\[])\[[^\[\]]+\](?:$|[^\]])"
 WORD = r"[\p{L}\p{Nd}]+(?:'[\p{L}\p{Nd}]+)?"
@@ -96,7 +98,7 @@ def row_hash(source: Column | str, raw: Column | str) -> Column:
 
 def normal_form(text: Column | str) -> Column:
     """Stripped, lower-cased, runs of white space made one blank: equal forms are exact duplicates."""
-    return F.regexp_replace(F.lower(strip(text)), rf"[{SPACE}]+", " ")
+    return F.regexp_replace(F.lower(strip(text)), rf"[{WHITE}]+", " ")
 
 
 def safe_token(value: Column | str) -> Column:
@@ -106,7 +108,7 @@ def safe_token(value: Column | str) -> Column:
 
 def sentences(text: Column | str) -> Column:
     """Split after . ! ? … before white space; blank parts are left out."""
-    parts = F.split(_column(text), rf"(?<=[.!?…])[{SPACE}]+")
+    parts = F.split(_column(text), rf"(?<=[.!?…])[{WHITE}]+")
     return F.filter(F.transform(parts, strip), lambda p: p != "")
 
 

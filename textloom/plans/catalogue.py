@@ -130,7 +130,7 @@ def norm_whitespace(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "raw_messages").select("seq", T.normalise_whitespace(raw).alias("text"))
 
 
-@query(rf"SELECT seq, regexp_replace(lower({_strip_sql('text')}), '[{T.SPACE}]+', ' ', 'g') AS form FROM clean_segments")
+@query(rf"SELECT seq, regexp_replace(lower({_strip_sql('text')}), '[{T.WHITE}]+', ' ', 'g') AS form FROM clean_segments")
 def dedup_normal_form(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "clean_segments").select("seq", T.normal_form("text").alias("form"))
 
@@ -180,7 +180,7 @@ def filter_reason_histogram(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     rf"""SELECT seq, sentence_no - 1 AS sentence_no, sentence FROM (SELECT seq, unnest(s) AS sentence, generate_subscripts(s, 1) AS sentence_no FROM (
-    SELECT seq, list_filter(list_transform(string_split(regexp_replace(text, '([.!?…])[{T.SPACE}]+', '\1' || chr(1), 'g'), chr(1)), lambda x: {_strip_sql('x')}), lambda x: x <> '') AS s FROM clean_segments))"""
+    SELECT seq, list_filter(list_transform(string_split(regexp_replace(text, '([.!?…])[{T.WHITE}]+', '\1' || chr(1), 'g'), chr(1)), lambda x: {_strip_sql('x')}), lambda x: x <> '') AS s FROM clean_segments))"""
 )
 def sentence_split(spark: SparkSession, folder: str) -> DataFrame:
     parts = read_table(spark, folder, "clean_segments").select("seq", F.posexplode(T.sentences("text")).alias("sentence_no", "sentence"))
@@ -299,12 +299,12 @@ def pending_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     f"""SELECT min(seq) AS seq, h AS row_hash FROM (SELECT seq, sha1({_SOURCE} || chr(10) || {_RAW}) AS h FROM raw_messages)
-    WHERE h NOT IN (SELECT row_hash FROM ingest_log WHERE dataset = 'wall_messages:clean_segments' AND row_hash IS NOT NULL) GROUP BY h"""
+    WHERE h NOT IN (SELECT row_hash FROM ingest_log WHERE dataset = 'wall_messages:clean_trial' AND row_hash IS NOT NULL) GROUP BY h"""
 )
 def incremental_new_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Messages not yet logged for one output table, each hash once."""
     rows = resolved(read_table(spark, folder, "raw_messages"), "seq").select("seq", "row_hash")
-    return membership.unseen(rows, read_table(spark, folder, "ingest_log"), "row_hash", "seq", {"dataset": "wall_messages:clean_segments"})
+    return membership.unseen(rows, read_table(spark, folder, "ingest_log"), "row_hash", "seq", {"dataset": "wall_messages:clean_trial"})
 
 
 @query("SELECT t.seq, t.id, CASE WHEN coalesce(gemini_skipped, 0) > 0 OR t.id IN (SELECT id FROM llm_segments WHERE gemini_json IS NULL AND id IS NOT NULL) THEN 1 ELSE coalesce(gemini_skipped, 0) END AS gemini_skipped FROM toxicity_segments t")
