@@ -129,7 +129,7 @@ PRINT = "part int, print bigint, class bigint, size int, rest int, counts bigint
 
 
 def _prints(sketch: np.ndarray, total: int, parts: int):
-    """A function from (class, words) to fingerprints; ``rest`` is 0 for shingles."""
+    """A function from (class, words) to fingerprints; ``rest`` is 0 for shingles, which may be passed over."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,10 +154,12 @@ def _prints(sketch: np.ndarray, total: int, parts: int):
             rare = _mix(np.array(keys, np.int64) ^ np.int64(0x2545F4914F6CDD1D))
             prints = np.concatenate([*shingles, rare]).view(np.int64) if len(ids) else np.zeros(0, np.int64)
             none = np.zeros(len(shingle_of), np.int64)
+            # The one fingerprint of a text without words is never passed over.
+            wordless = (sizes[shingle_of] == 0).astype(np.int64)
             columns = [
                 pa.array(_part(prints, parts)), pa.array(prints), pa.array(np.concatenate([ids[shingle_of], ids[of]])),
                 pa.array(np.concatenate([sizes[shingle_of], sizes[of]]).astype(np.int32)),
-                pa.array(np.concatenate([none, ends[of] - at]).astype(np.int32)),
+                pa.array(np.concatenate([wordless, ends[of] - at]).astype(np.int32)),
                 pa.array(np.concatenate([none, pack_counts(narrow, at, ends[of])])),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in PRINT.split(", ")])

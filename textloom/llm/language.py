@@ -40,26 +40,45 @@ WORD_CAP = 12.0
 
 _SKIP = re.compile(r"(?:https?://|www\.)\S+|\S+@\S+|[@#]\w+|\[\[[^\[\]]*\]\]|\b[\w-]+(?:\.[\w-]+)+/\S*", re.I)
 _PIECE = re.compile(r"[^\W\d_]+|[.!?…,;:\n()]")
-_LATIN_OWN = re.compile("[^\\W\\d_" + LATIN + "Ͱ-᳿]")
-_CYRILLIC_OWN = re.compile("[б-дж-нптфц-яёғҗқңүұ]")
+_LATIN_OWN = re.compile("[^\\W\\d_" + LATIN + "Ͱ-\u1cff]")
+_CYRILLIC_OWN = re.compile("[б-дж-нптфц-яёғҗқңүұБГДЖЗИЙЛПФЦ-ЯЁҒҖҚҢҰ]")
+
+# In a Cyrillic word small Latin letters that resemble capitals are read as such.
+_TO_CYRILLIC = TO_CYRILLIC | str.maketrans("kmtb", "кмтв")
 
 
 def plain_word(word: str) -> str:
-    """A lower-cased word in one script, by its own letters; look-alikes follow them."""
+    """A word in one script, by its own letters, and lower-cased; look-alikes follow them while they still have their case."""
     if word.isascii():
-        return word
+        return word.lower()
     latin, cyrillic = len(_LATIN_OWN.findall(word)), len(_CYRILLIC_OWN.findall(word))
-    return word.translate(TO_LATIN if latin > cyrillic else TO_CYRILLIC)
+    return word.translate(TO_LATIN if latin > cyrillic else _TO_CYRILLIC).lower()
+
+
+class PlainWords(dict):
+    """A cache of :func:`plain_word`, started afresh when it is full."""
+
+    def __missing__(self, word: str) -> str:
+        if len(self) > CACHE_WORDS:
+            self.clear()
+        self[word] = plain = plain_word(word)
+        return plain
+
+
+_PLAIN = PlainWords()
 
 
 def units(text: str) -> list[list[str]]:
     """The clauses of a text, each a list of at most UNIT_WORDS plain words."""
     out: list[list[str]] = [[]]
-    for piece in _PIECE.findall(_SKIP.sub(" ", settle(text)).lower()):
+    text = settle(text)
+    if any(mark in text for mark in ("@", "#", "/", "[[", "www.")):
+        text = _SKIP.sub(" ", text)
+    for piece in _PIECE.findall(text):
         if piece[0].isalpha():
             if len(out[-1]) == UNIT_WORDS:
                 out.append([])
-            out[-1].append(plain_word(piece))
+            out[-1].append(_PLAIN[piece])
         elif out[-1]:
             out.append([])
     if not out[-1]:

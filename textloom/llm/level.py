@@ -93,7 +93,7 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for text in batch.column(0).to_pylist():
             if text:
-                seen.update(_WORD.findall(settle(text).lower()))
+                seen.update(_WORD.findall(settle(text)))
         if len(cache) > CACHE_WORDS:
             cache.clear()
         for word, n in seen.items():
@@ -125,7 +125,7 @@ class _Words(dict):
         self.frequencies, self.rows = frequencies, []
 
     def __missing__(self, word: str) -> int:
-        low = plain_word(word.lower())
+        low = plain_word(word)
         self.rows.append(
             [-self.frequencies[bucket(low)], len(low), word[0].isupper() and not word.isupper()]
             + [len(letters.findall(low)) for letters in _LETTERS]
@@ -190,7 +190,7 @@ class Describer:
         n = np.diff(np.append(starts, len(sentence)))
         for k in range(len(_LANGS)):
             mine = lang == k
-            if min((mine & high).sum(), (mine & ~high).sum()) >= 20:
+            if min((mine & high).sum(), (mine & ~high).sum()) >= 8:
 
                 def apart(length: int) -> float:
                     share = np.add.reduceat((facts[:, 1] > length).astype(float), starts) / n
@@ -200,7 +200,7 @@ class Describer:
                 self.long[k] = max(LONG_CHOICES, key=apart)
         values, _ = self._sentences(facts, sentence, starts, sums, lang, marks)
         for k in range(len(_LANGS)):
-            rows = values[lang == k] if (lang == k).sum() >= 20 else values
+            rows = values[lang == k] if (lang == k).sum() >= 16 else values
             self.centre[k], self.spread[k] = rows.mean(0), rows.std(0) + 1e-6
 
     def texts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:

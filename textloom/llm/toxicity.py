@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .language import plain_word
+from .language import PlainWords, plain_word
 from .looks import settle
 
 #: Feature space of the hashing; it bounds the size of the model that is broadcast.
@@ -62,20 +62,19 @@ CACHE_WORDS = 200_000
 
 
 def undisguise(text: str) -> str:
-    """Lower-cased text with separated letters joined and repeated letters made one."""
-    text = settle(text).lower()
+    """Text with separated letters joined and repeated letters made one."""
+    text = settle(text)
     text = _APART.sub(lambda m: _SEPARATOR.sub("", m[0]), text)
     return _AGAIN.sub(r"\1", text)
 
 
-class _Plain(dict):
+class _Plain(PlainWords):
     """Words as they stand in the text to words in one script, masks inside a word staying as an asterisk."""
 
     def __missing__(self, word: str) -> str:
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        self[word] = plain = plain_word(word if word.isalpha() else word.translate(_SWAP))
-        return plain
+        if word.isalpha():
+            return super().__missing__(word)
+        return plain_word(word.translate(_SWAP))
 
 
 _PLAIN = _Plain()
