@@ -1,6 +1,15 @@
+import os
+import sys
+from pathlib import Path
+
 import pytest
 from pyspark.sql import SparkSession
 
+# Workers find the package and the functions of the tests here.
+HERE = Path(__file__).resolve().parent
+os.environ["PYTHONPATH"] = os.pathsep.join([str(HERE.parent), str(HERE), str(HERE / "llm"), os.environ.get("PYTHONPATH", "")])
+sys.path.insert(0, str(HERE.parent))
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
