@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from textloom.functions import text as T
 from textloom.functions.simhash import bands, hamming, simhash
-from textloom.operators.firstwins import suppressed
 from textloom.profile import DEFAULT, Profile
 
 
@@ -35,55 +34,68 @@ def deduplicate(rows: DataFrame, order: str, text: str, norm_hash: str, material
     norm_hash is known. ``order`` must be unique.
 
     Rows with one SimHash, one limit and one norm_hash stand or fall by the first of
-    them, so only first ones are compared; hot groups shrink to one row.
+    them, so only first ones are compared. They are decided in rounds: one that is the
+    first undecided of its norm_hash and of its SimHash, and that no undecided one of a
+    near SimHash precedes, is kept; then those that a kept one precedes are dropped.
+    Nearness is joined between distinct SimHash values, never between rows.
     """
     near, short = profile.near_distance, profile.short_distance
-    wide = max(near, short)
     present = None
     if stored is not None and key is not None:
-        present = rows.join(stored.select(key).distinct(), key, "left_semi").select(F.col(order).alias("place"), F.lit("already_present").alias("status"))
-        rows = rows.join(stored.select(key).distinct(), key, "left_anti")
+        known = stored.select(key).where(F.col(key).isNotNull()).distinct()
+        present = rows.join(known, key, "left_semi").select(F.col(order).alias("place"), F.lit("already_present").alias("status"))
+        rows = rows.join(known, key, "left_anti")
     limit = F.when(F.col("n_tokens") <= profile.short_tokens, short).otherwise(near)
     made = with_simhash(rows.select(F.col(order).alias("place"), F.col(text).alias("text"), F.col(norm_hash).alias("norm")), "text")
-    own = materialise(made.select("place", "norm", "simhash", limit.alias("limit")), "simhash")
+    own = materialise(made.select("place", "norm", "simhash", F.when(F.col("simhash").isNotNull(), limit).alias("limit")), "simhash")
     shape = ["norm", "simhash", "limit"]
-    first = materialise(own.groupBy(*shape).agg(F.min("place").alias("place")), "first")
-    nodes, fixed = first.withColumn("stored", F.lit(False)), None
+    # A row without norm_hash and text is like nothing: it is kept, and not compared.
+    first = materialise(own.where("norm IS NOT NULL OR simhash IS NOT NULL").groupBy(*shape).agg(F.min("place").alias("place")), "first")
+    kept = first.select("norm", "simhash", "place", F.lit(False).alias("stored")).limit(0)
     if stored is not None:
-        # Rows kept before come first, whatever their place: they are numbered below all others.
-        old = with_simhash(stored.select(F.col(text).alias("text"), F.col(norm_hash).alias("norm")), "text").select("norm", "simhash").distinct()
-        old = materialise(old.select("norm", "simhash", F.lit(None).cast("int").alias("limit"), (-F.monotonically_increasing_id() - F.lit(1 << 40)).alias("place")), "stored")
-        nodes = nodes.unionByName(old.select(*shape, "place").withColumn("stored", F.lit(True)))
-        fixed = old.select(F.col("place").alias("node"))
-    slim = nodes.select("norm", "simhash", "limit", F.col("place").cast("bigint").alias("place"))
-    later = slim.where("limit IS NOT NULL")
-
-    def side(frame: DataFrame, end: str) -> DataFrame:
-        return frame.select(*(F.col(c).alias(f"{c}_{end}") for c in ("norm", "simhash", "limit", "place")))
-
-    x, y = side(slim, "x"), side(later, "y")
-    exact = x.join(y, (F.col("norm_x") == F.col("norm_y")) & (F.col("place_x") < F.col("place_y")))
-    same = x.join(y, (F.col("simhash_x") == F.col("simhash_y")) & (F.col("place_x") < F.col("place_y")))
-    pairs = materialise(near_pairs(nodes, wide), "near")
-    both = pairs.union(pairs.select("b", "a", "distance"))
-    close = both.join(x, F.col("a") == F.col("simhash_x")).join(y, F.col("b") == F.col("simhash_y")).where("place_x < place_y AND distance <= limit_y")
-    edges = exact.select(F.col("place_x").alias("earlier"), F.col("place_y").alias("later"), F.lit(True).alias("exact"))
-    for more in (same, close):
-        edges = edges.unionByName(more.select(F.col("place_x").alias("earlier"), F.col("place_y").alias("later"), F.lit(False).alias("exact")))
-    edges = materialise(edges.groupBy("earlier", "later").agg(F.max("exact").alias("exact")), "edges")
-    lost = materialise(suppressed(edges, materialise, fixed), "lost")
-    # Exact if any kept earlier row has the norm_hash.
-    kept_edges = edges.where("exact").join(lost.select(F.col("later").alias("earlier")), "earlier", "left_anti").select("later").distinct()
-    first_status = (
-        first.join(lost.select(F.col("later").alias("place"), F.lit(True).alias("lost")), "place", "left")
-        .join(kept_edges.select(F.col("later").alias("place"), F.lit(True).alias("is_exact")), "place", "left")
-        .select(*shape, F.col("place").alias("first_place"), F.coalesce("lost", F.lit(False)).alias("lost"), F.coalesce("is_exact", F.lit(False)).alias("is_exact"))
-    )
-    alike = own.join(first_status, own["norm"].eqNullSafe(first_status["norm"]) & own["simhash"].eqNullSafe(first_status["simhash"]) & own["limit"].eqNullSafe(first_status["limit"]))
-    # A later row of a kept shape repeats the norm_hash of a kept row; without a norm_hash it is near, and without tokens or norm_hash it is kept.
-    status = (
-        F.when(F.col("lost") & F.col("is_exact"), "exact_dup").when(F.col("lost"), "near_dup").when(F.col("place") == F.col("first_place"), "kept")
-        .when(own["norm"].isNotNull(), "exact_dup").when(own["simhash"].isNotNull(), "near_dup").otherwise("kept")
-    )
-    out = alike.select("place", status.alias("status"))
+        old = with_simhash(stored.select(F.col(text).alias("text"), F.col(norm_hash).alias("norm")), "text")
+        # Rows kept before have no place: they precede everything.
+        kept = materialise(old.select("norm", "simhash", F.lit(None).cast(first.schema["place"].dataType).alias("place"), F.lit(True).alias("stored")).distinct(), "stored")
+    pairs = materialise(near_pairs(first.select("simhash").unionByName(kept.select("simhash")), max(near, short)), "near")
+    pairs = pairs.union(pairs.select("b", "a", "distance"))
+
+    def neighbours(places: DataFrame) -> DataFrame:
+        """For each SimHash the first place among near values, for short and other rows, and whether a stored row is near."""
+        met = pairs.join(places.where("simhash IS NOT NULL"), pairs["a"] == places["simhash"])
+        kinds = {"short": short, "near": near}
+        columns = [F.min(F.when(F.col("distance") <= d, F.col("first"))).alias(f"first_{k}") for k, d in kinds.items()]
+        columns += [F.max(F.col("stored") & (F.col("distance") <= d)).alias(f"stored_{k}") for k, d in kinds.items()]
+        return met.groupBy("b").agg(*columns)
+
+    def by_limit(name: str):
+        return F.when(F.col("limit") == short, F.col(f"{name}_short")).otherwise(F.col(f"{name}_near")) if short != near else F.col(f"{name}_near")
+
+    def after_kept(waiting: DataFrame, decided: DataFrame) -> DataFrame:
+        """The waiting rows that no decided row precedes."""
+        values = decided.groupBy("simhash").agg(F.min("place").alias("first"), F.max("stored").alias("stored"))
+        norms = decided.where("norm IS NOT NULL").select("norm").distinct()
+        own_value = values.select("simhash", F.col("first").alias("first_own"), F.col("stored").alias("stored_own"))
+        joined = waiting.join(norms, "norm", "left_anti").join(own_value, "simhash", "left").join(neighbours(values), F.col("simhash") == F.col("b"), "left")
+        hit = F.coalesce(F.col("stored_own"), F.lit(False)) | F.coalesce(by_limit("stored"), F.lit(False))
+        hit = hit | F.coalesce(F.col("first_own") < F.col("place"), F.lit(False)) | F.coalesce(by_limit("first") < F.col("place"), F.lit(False))
+        return joined.where(~hit).select(*shape, "place")
+
+    waiting = first if stored is None else materialise(after_kept(first, kept), "waiting")
+    while not waiting.isEmpty():
+        values = waiting.groupBy("simhash").agg(F.min("place").alias("first")).withColumn("stored", F.lit(False))
+        norms = waiting.where("norm IS NOT NULL").groupBy("norm").agg(F.min("place").alias("first_norm"))
+        joined = waiting.join(values.select("simhash", F.col("first").alias("first_own")), "simhash", "left").join(norms, "norm", "left")
+        joined = joined.join(neighbours(values), F.col("simhash") == F.col("b"), "left")
+        ahead = (F.col("simhash").isNull() | (F.col("first_own") == F.col("place"))) & (F.col("norm").isNull() | (F.col("first_norm") == F.col("place")))
+        ahead = ahead & F.coalesce(by_limit("first") > F.col("place"), F.lit(True))
+        chosen = materialise(joined.where(ahead).select("norm", "simhash", "place", F.lit(False).alias("stored")), "kept")
+        kept = kept.unionByName(chosen)
+        left = waiting.join(chosen.select("place"), "place", "left_anti")
+        waiting = materialise(after_kept(left, chosen), "waiting")
+    kept = materialise(kept.select("norm", "place"), "kept")
+    # Exact is a row whose norm_hash an earlier kept row has, whatever else it is near.
+    seen = kept.where("norm IS NOT NULL").groupBy("norm").agg(F.min("place").alias("norm_place"), F.max(F.col("place").isNull()).alias("norm_stored"))
+    is_kept = kept.where("place IS NOT NULL").select("place", F.lit(True).alias("is_kept"))
+    status = F.when(F.col("is_kept") | (F.col("norm").isNull() & F.col("simhash").isNull()), "kept").when(F.col("norm_stored") | (F.col("norm_place") < F.col("place")), "exact_dup").otherwise("near_dup")
+    out = own.join(is_kept, "place", "left").join(seen, "norm", "left").select("place", status.alias("status"))
     return (out if present is None else out.unionByName(present)).withColumnRenamed("place", order)

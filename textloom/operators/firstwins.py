@@ -54,28 +54,33 @@ def two_key_first(rows: DataFrame, order: str, one: str, two: str, materialise:
     """The rows that inserting in order would accept where neither key may repeat an accepted one.
 
     ``order`` must be unique. A null key conflicts with nothing. ``stored`` has rows (with
-    the same key columns) accepted before. Rows of equal key pairs are reduced to the
-    first of them beforehand, and an edge is only needed from rows that differ in the
-    other key, so copies don't multiply edges.
+    the same key columns) accepted before.
+
+    Works in rounds: a row that is the first undecided one of both its keys is accepted,
+    and then every row that shares a key with an accepted one goes. Only the first place
+    of each key is compared, so a key that very many rows share costs no pairs.
     """
-    both = rows.where(F.col(one).isNotNull() & F.col(two).isNotNull())
-    single = rows.where(F.col(one).isNull() | F.col(two).isNull())
-    if stored is not None:
-        for k in (one, two):
-            known = stored.select(k).where(F.col(k).isNotNull()).distinct()
-            both, single = both.join(known, k, "left_anti"), single.join(known, k, "left_anti")
-    pairs = materialise(both.select(F.col(one).alias("one"), F.col(two).alias("two"), F.col(order).alias("place")).unionByName(
-        single.select(F.col(one).alias("one"), F.col(two).alias("two"), F.col(order).alias("place"))).groupBy("one", "two", F.when(F.col("one").isNull() & F.col("two").isNull(), F.col("place")).alias("alone")).agg(F.min("place").alias("place")), "pairs")
-    edges = None
-    for k in ("one", "two"):
-        several = pairs.where(F.col(k).isNotNull()).groupBy(k).agg(F.count("*").alias("n")).where("n > 1").select(k)
-        part = pairs.join(several, k, "left_semi")
-        a, b = part.select(k, F.col("place").alias("earlier")), part.select(k, F.col("place").alias("later"))
-        made = a.join(b, k).where("earlier < later").select("earlier", "later")
-        edges = made if edges is None else edges.unionByName(made)
-    lost = suppressed(edges, materialise).select(F.col("later").alias("place"))
-    kept = pairs.join(lost, "place", "left_anti").select(F.col("place").alias("kept_place_"))
-    return rows.join(kept, rows[order] == kept["kept_place_"], "left_semi")
+    waiting = rows.select(F.col(order).alias("place"), F.col(one).alias("one"), F.col(two).alias("two"))
+    for k, name in (("one", one), ("two", two)):
+        if stored is not None:
+            waiting = waiting.join(stored.select(F.col(name).alias(k)).where(F.col(k).isNotNull()).distinct(), k, "left_anti")
+    waiting = materialise(waiting.select("place", "one", "two"), "waiting")
+    accepted = None
+    while not waiting.isEmpty():
+        marked = waiting
+        for k in ("one", "two"):
+            first = waiting.where(F.col(k).isNotNull()).groupBy(k).agg(F.min("place").alias(f"first_{k}"))
+            marked = marked.join(first, k, "left")
+        ahead = (F.col("one").isNull() | (F.col("place") == F.col("first_one"))) & (F.col("two").isNull() | (F.col("place") == F.col("first_two")))
+        chosen = materialise(marked.where(ahead).select("place", "one", "two"), "accepted")
+        accepted = chosen if accepted is None else accepted.unionByName(chosen)
+        left = waiting.join(chosen.select("place"), "place", "left_anti")
+        for k in ("one", "two"):
+            left = left.join(chosen.select(k).where(F.col(k).isNotNull()).distinct(), k, "left_anti")
+        waiting = materialise(left.select("place", "one", "two"), "waiting")
+    if accepted is None:
+        return rows.limit(0)
+    return rows.join(accepted.select(F.col("place").alias("kept_place_")), F.col(order) == F.col("kept_place_"), "left_semi")
 
 
 def keep_last(rows: DataFrame, key: str, order: str) -> DataFrame:

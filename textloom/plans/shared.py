@@ -30,13 +30,16 @@ def shared_dir(spark: SparkSession) -> str:
 def materialise(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
-    An empty input gives an empty table of the same schema. The files live as
-    long as the shared folder; a caller that knows when a table is no longer
-    read can remove it with :func:`forget`.
+    An empty input gives an empty table of the same schema. The files are removed
+    when the session's driver ends; a caller that knows when a table is no longer
+    read can remove it before with :func:`forget`.
     """
-    path = f"{shared_dir(df.sparkSession)}/textloom/{tag}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/textloom/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def forget(df: DataFrame) -> None:
