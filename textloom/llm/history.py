@@ -349,7 +349,7 @@ class FingerprintStore:
             yield from _prints(sketch, total, parts)(batches)
 
         prints = sets.select("class", "words").mapInArrow(_once, "class bigint, words array<int>").mapInArrow(run, PRINT)
-        return prints.repartition("part").sortWithinPartitions("part", "print")
+        return prints.repartitionById(self.parts, "part").sortWithinPartitions("part", "print")
 
     def add(self, sets: DataFrame, generation: str) -> None:
         """Accept (class, words): append sets, fingerprints and their filters under a new name.
@@ -361,7 +361,9 @@ class FingerprintStore:
         once = sets.select("class", "words").mapInArrow(_once, "class bigint, words array<int>")
         placed = once.withColumn("part", F.pmod(F.shiftrightunsigned("class", 40), F.lit(parts)).cast("int"))
         small = {"parquet.block.size": str(4 << 20), "compression": "zstd"}
-        placed.repartition("part").sortWithinPartitions("part", "class").write.options(**small).partitionBy("part").parquet(f"{self.folder}/{generation}/sets")
+        # Copies from different partitions meet in one part; a class is stored once per update.
+        met = placed.repartitionById(parts, "part").mapInArrow(_once, "class bigint, words array<int>, part int")
+        met.sortWithinPartitions("part", "class").write.options(**small).partitionBy("part").parquet(f"{self.folder}/{generation}/sets")
         stored = self.spark.read.schema("class bigint, words array<int>").parquet(f"{self.folder}/{generation}/sets")
         self._prints_of(stored).write.options(**small).partitionBy("part").parquet(f"{self.folder}/{generation}/prints")
         written = self.spark.read.schema("print bigint, part int").parquet(f"{self.folder}/{generation}/prints")
@@ -373,7 +375,7 @@ class FingerprintStore:
         candidates = self._prints_of(sets).mapInArrow(_look_up(self.folder), "new bigint, old bigint").distinct()
         words = sets.select(F.col("class").alias("new"), "words").mapInArrow(_once, "new bigint, words array<int>").dropDuplicates(["new"])
         asked = candidates.join(words, "new").select(F.pmod(F.shiftrightunsigned("old", 40), F.lit(parts)).cast("int").alias("part"), "old", "new", "words")
-        return asked.repartition("part").sortWithinPartitions("part").mapInArrow(_verify(self.folder), "new bigint, old bigint")
+        return asked.repartitionById(parts, "part").sortWithinPartitions("part").mapInArrow(_verify(self.folder), "new bigint, old bigint")
 
 
 def _widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
