@@ -234,7 +234,9 @@ def _join_points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, ids, size, rest, one, two = (table.column(k).to_numpy() for k in range(6))
         many = np.flatnonzero(np.append(False, key[1:] == key[:-1]) | np.append(key[1:] == key[:-1], False))
         key, ids, size, rest, one, two = (column[many] for column in (key, ids, size, rest, one, two))
-        order = np.lexsort((rest, size, key))
+        order = np.lexsort((ids, rest, size, key))
+        # Copies of a class from different partitions are one point.
+        order = order[np.append(True, (key[order][1:] != key[order][:-1]) | (ids[order][1:] != ids[order][:-1]))[: len(order)]]
         key, ids, size, rest, one, two = (column[order] for column in (key, ids, size, rest, one, two))
         one, two, size, rest = unpack_counts(one), unpack_counts(two), size.astype(np.float32), rest.astype(np.float32)
         for x, y in _Tree(key, size, rest, one + two).pairs():
