@@ -34,12 +34,25 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     when the session's driver ends; a caller that knows when a table is no longer
     read can remove it before with :func:`forget`.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/textloom/{tag}-{uuid.uuid4().hex}"
+    path = temporary_folder(df.sparkSession, tag)
     df.write.parquet(path)
+    return _expiring(df.sparkSession, path).read.schema(df.schema).parquet(path)
+
+
+def temporary_folder(spark: SparkSession, tag: str) -> str:
+    """A new name in the shared folder."""
+    return f"{shared_dir(spark)}/textloom/{tag}-{uuid.uuid4().hex}"
+
+
+def expire(spark: SparkSession, path: str) -> None:
+    """Have a folder removed when the session's driver ends."""
+    _expiring(spark, path)
+
+
+def _expiring(spark: SparkSession, path: str) -> SparkSession:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark
 
 
 def forget(df: DataFrame) -> None:
