@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.plans.shared import materialise, shared_dir
+from textloom.plans.shared import expire, materialise, temporary_folder
 from textloom.sources.tables import read_table
 
 from . import history, language, leak, level, looks, neardup, split, tokenize, toxicity
@@ -63,7 +62,8 @@ def _incoming_checked(spark: SparkSession, folder: str) -> tuple[DataFrame, Data
     rows = read_table(spark, folder, "incoming_segments").withColumn("place", F.struct("batch_no", "seq"))
     logged = rows.join(read_table(spark, folder, "ingest_log").select("row_hash").distinct(), "row_hash", "left_semi").select("place")
     accepted = history.text_sets(read_table(spark, folder, "dedup_segments"), "seq", "text").select("class", "words")
-    store = history.FingerprintStore.create(accepted, f"{shared_dir(spark)}/textloom/store-{uuid.uuid4().hex}")
+    store = history.FingerprintStore.create(accepted, temporary_folder(spark, "store"))
+    expire(spark, store.folder)
     sets = materialise(history.text_sets(rows, "place", "text"), "incoming")
     stored = history.known_in_history(sets, store).withColumnRenamed("key", "place")
     within = neardup.class_links(sets.where(F.size("words") > 0).select("class", F.transform("words", lambda w: F.xxhash64(w)).alias("words")))
