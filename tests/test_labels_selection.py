@@ -66,10 +66,10 @@ def candidates(spark, rows):
 def test_selection(spark):
     rows = [(f"m{i}", "t", "medium", 0.5) for i in range(8)] + [(f"l{i}", "t", "low", i / 10) for i in range(4)] + [(f"h{i}", "t", "high", 0.1) for i in range(4)]
     df = candidates(spark, rows)
-    got = {(r.id, r.bucket_rank) for r in selection.select(df, 10, 0.15, True).collect()}
+    got = {(r.id, r.bucket_rank) for r in selection.select(df, materialise, 10, 0.15, True).collect()}
     assert got == {(f"m{i}", i + 1) for i in range(6)} | {("l3", 1), ("l2", 2), ("h0", 1), ("h1", 2)}
-    assert {r.id for r in selection.select(df, 3, 0.5, True).collect()} == {"l3", "l2", "h0"}
-    assert selection.select(df, None, 0.1, False).count() == 16 and selection.select(df.limit(0), 5).count() == 0
+    assert {r.id for r in selection.select(df, materialise, 3, 0.5, True).collect()} == {"l3", "l2", "h0"}
+    assert selection.select(df, materialise, None, 0.1, False).count() == 16 and selection.select(df.limit(0), materialise, 5).count() == 0
     again = [r.id for r in selection.shuffled(df, "id", 3).collect()]
     assert again == [r.id for r in selection.shuffled(df.orderBy(F.rand(1)), "id", 3).collect()] and sorted(again) == sorted(r[0] for r in rows)
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from textloom.functions.text import let
+
 # The fields of a payload, and the values of the enumerations.
 WORDS = ("main_language", "error_density", "main_error_type")
 NUMBERS = ("tatar_prob", "russian_share", "error_share", "non_fluent_prob", "meaning_clarity", "noise_score", "overall_gec_usefulness")
@@ -45,13 +47,12 @@ def _read(variant: Column, at: str) -> Column:
 
 def flat_labels(payload: Column | str) -> Column:
     """The payload as a struct if it is a flat object with every field; else null."""
-    return _read(F.try_parse_json(_column(payload)), "$")
+    return let(F.try_parse_json(_column(payload)), lambda v: _read(v, "$"))
 
 
 def any_labels(payload: Column | str) -> Column:
     """The payload as a struct, whether flat or wrapped in ``{"labels": ...}``; else null."""
-    variant = F.try_parse_json(_column(payload))
-    return F.coalesce(_read(variant, "$"), _read(variant, "$.labels"))
+    return let(F.try_parse_json(_column(payload)), lambda v: F.coalesce(_read(v, "$"), _read(v, "$.labels")))
 
 
 def valid_enums(labels: Column | str) -> Column:

@@ -70,5 +70,5 @@ def anonymise(text: Column | str, names: list[str] | tuple[str, ...] = ()) -> Co
         for part in parts:
             yield part.map(lambda t: t if t is None else hide_contacts(fill_names(t, names)))
 
-    touched = column.rlike(rf"(?i)@|\[\[|https?://|www\.|{T.PHONE}")
-    return F.when(touched, run(F.when(touched, column))).otherwise(column)
+    touched = column.contains("[[") | T.has_contact_sign(column)
+    return F.coalesce(run(F.when(touched, column)), column)

@@ -7,6 +7,8 @@ Every function of a null is null.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,6 +22,8 @@ LINE_BREAK = r"[\x{a}\x{b}\x{c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
 URL = rf"(?:https?://|www\.)[^{WHITE}]+"
 EMAIL = r"[\p{L}0-9._%+-]+@[\p{L}0-9.-]+\.[a-z]{2,}"
 PHONE = rf"(?:\+?7|8)?[{WHITE}-]?(?:\(\p{{Nd}}{{3}}\)|\p{{Nd}}{{3}})[{WHITE}-]?\p{{Nd}}{{3}}[{WHITE}-]?\p{{Nd}}{{2}}[{WHITE}-]?\p{{Nd}}{{2}}"
+#: What every phone number has: two pairs of digits with at most one mark between them.
+PHONE_SIGN = rf"\p{{Nd}}{{2}}[{WHITE}-]?\p{{Nd}}{{2}}"
 NAME_PLACEHOLDER = r"\[\[([^\[\]]+)\]\]"
 SINGLE_BRACKET = r"(?:^|[^\[])\[[^\[\]]+\](?:$|[^\]])"
 WORD = r"[\p{L}\p{Nd}]+(?:'[\p{L}\p{Nd}]+)?"
@@ -36,6 +40,10 @@ def strip(text: Column | str) -> Column:
     return F.regexp_replace(_column(text), rf"\A[{SPACE}]+|[{SPACE}]+\z", "")
 
 
+def strip_only(text: Column, letters: str) -> Column:
+    return F.regexp_replace(text, rf"\A[{letters}]+|[{letters}]+\z", "")
+
+
 def first_filled(*values: Column | str) -> Column:
     """The first value that is neither null nor empty, else the empty string."""
     return F.coalesce(*(F.nullif(_column(v), F.lit("")) for v in values), F.lit(""))
@@ -48,29 +56,45 @@ def normalise_whitespace(text: Column | str) -> Column:
     t = F.regexp_replace(t, r"\n\z", "")
     t = F.regexp_replace(t, r"[ \x{9}\x{a0}]+", " ")
     inner = SPACE.replace(r"\x{9}-\x{d}", r"\x{9}\x{b}-\x{d}")
-    return F.regexp_replace(t, rf"(?md)^[{inner}]+|[{inner}]+$", "")
+    t = F.regexp_replace(t, rf"\n[{inner}]+", "\n")
+    return strip_only(F.regexp_replace(t, rf"[{inner}]+\n", "\n"), inner)
+
+
+def let(value: Column, make: Callable[[Column], Column]) -> Column:
+    """``make`` of a value that is computed once, however often ``make`` uses it."""
+    return F.transform(F.array(value), make)[0]
+
+
+def has_contact_sign(text: Column | str) -> Column:
+    """Whether a contact is possible at all: a cheap test that most texts fail."""
+    t = _column(text)
+    return t.contains("@") | t.contains("://") | t.rlike(r"(?i)www\.") | t.rlike(PHONE_SIGN)
 
 
 def without_contacts(text: Column | str) -> Column:
     """Links, mail addresses and phone numbers replaced by a blank."""
-    return F.regexp_replace(_column(text), rf"(?i){WORD_START}{URL}|{EMAIL}|{PHONE}", " ")
+    t = _column(text)
+    return F.when(has_contact_sign(t), F.regexp_replace(t, rf"(?i){WORD_START}{URL}|{EMAIL}|{PHONE}", " ")).otherwise(t)
 
 
 def is_contact_only(text: Column | str) -> Column:
     """True if nothing but contacts, punctuation, symbols and white space is there; so for an empty text."""
-    return F.regexp_replace(without_contacts(text), rf"[\p{{P}}\p{{S}}{SPACE}]+", "") == ""
+    return ~without_contacts(text).rlike(rf"[^\p{{P}}\p{{S}}{SPACE}]")
 
 
 def count_links(text: Column | str) -> Column:
-    return F.regexp_count(_column(text), F.lit(rf"(?i){WORD_START}{URL}"))
+    t = _column(text)
+    return F.when(t.contains("://") | t.rlike(r"(?i)www\."), F.regexp_count(t, F.lit(rf"(?i){WORD_START}{URL}"))).when(t.isNotNull(), 0)
 
 
 def count_emails(text: Column | str) -> Column:
-    return F.regexp_count(_column(text), F.lit(rf"(?i){EMAIL}"))
+    t = _column(text)
+    return F.when(t.contains("@"), F.regexp_count(t, F.lit(rf"(?i){EMAIL}"))).when(t.isNotNull(), 0)
 
 
 def count_phones(text: Column | str) -> Column:
-    return F.regexp_count(_column(text), F.lit(PHONE))
+    t = _column(text)
+    return F.when(t.rlike(PHONE_SIGN), F.regexp_count(t, F.lit(PHONE))).when(t.isNotNull(), 0)
 
 
 def tokens(text: Column | str) -> Column:
@@ -84,7 +108,13 @@ def count_tokens(text: Column | str) -> Column:
 
 def count_letters(text: Column | str, letters: str) -> Column:
     """How many characters of the text are in a set of characters."""
-    return F.regexp_count(_column(text), F.lit(f"[{letters}]"))
+    t = _column(text)
+    return F.length(t) - F.length(F.translate(t, letters, ""))
+
+
+def count_class(text: Column | str, letters: str) -> Column:
+    """How many characters of the text are of a regular expression class."""
+    return F.length(F.regexp_replace(_column(text), f"[^{letters}]+", ""))
 
 
 def source_digest(source: Column | str) -> Column:
@@ -115,21 +145,31 @@ def sentences(text: Column | str) -> Column:
 def reject_reason(text: Column | str, profile: Profile = DEFAULT) -> Column:
     """The first rule that a segment breaks, else ``pass``; null for a null text."""
     t = _column(text)
-    script = F.regexp_count(t, F.lit(profile.script))
-    words = count_tokens(t)
-    rules = []
-    if profile.one_script_only:
-        rules += [("latin_present", t.rlike(profile.foreign_script)), ("non_cyrillic_letters", script != F.regexp_count(t, F.lit(r"\p{L}")))]
-    rules += [
-        ("min_letters", script < profile.min_letters),
-        ("min_tatar_letters", count_letters(t, profile.marker_letters) < profile.min_marker_letters),
-        ("min_words", words < profile.min_words),
-        ("max_words", words > profile.max_words),
-        ("min_chars", F.length(t) < profile.min_chars),
-        ("max_chars", F.length(t) > profile.max_chars),
-        ("single_bracket_placeholder", t.rlike(SINGLE_BRACKET)),
-    ]
-    out = F.when(t.isNull(), F.lit(None).cast("string"))
-    for name, broken in rules:
-        out = out.when(broken, name)
-    return out.otherwise("pass")
+    facts = F.struct(
+        count_class(t, profile.script).alias("script"),
+        count_letters(t, profile.marker_letters).alias("markers"),
+        count_tokens(t).alias("words"),
+        F.length(t).alias("chars"),
+        t.rlike(SINGLE_BRACKET).alias("bracket"),
+        *([t.rlike(profile.foreign_script).alias("foreign"), count_class(t, r"\p{L}").alias("letters")] if profile.one_script_only else []),
+    )
+
+    def first_broken(f: Column) -> Column:
+        rules = []
+        if profile.one_script_only:
+            rules += [("latin_present", f["foreign"]), ("non_cyrillic_letters", f["script"] != f["letters"])]
+        rules += [
+            ("min_letters", f["script"] < profile.min_letters),
+            ("min_tatar_letters", f["markers"] < profile.min_marker_letters),
+            ("min_words", f["words"] < profile.min_words),
+            ("max_words", f["words"] > profile.max_words),
+            ("min_chars", f["chars"] < profile.min_chars),
+            ("max_chars", f["chars"] > profile.max_chars),
+            ("single_bracket_placeholder", f["bracket"]),
+        ]
+        out = F.when(f["chars"].isNull(), F.lit(None).cast("string"))
+        for name, broken in rules:
+            out = out.when(broken, name)
+        return out.otherwise("pass")
+
+    return let(facts, first_broken)

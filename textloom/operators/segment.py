@@ -78,9 +78,11 @@ def segments_of(text: Column | str, profile: Profile = DEFAULT, splitter: Callab
         for part in parts:
             yield part.map(lambda t: None if t is None else pack(t, profile, splitter))
 
-    fits = (T.count_tokens(column) <= profile.max_words) & (F.length(column) <= profile.max_chars)
+    # Too long by characters is cheap to see; only the others have their words counted.
+    fits = (F.length(column) <= profile.max_chars) & (T.count_tokens(column) <= profile.max_words)
     whole = F.filter(F.array(T.strip(column)), lambda s: s != "")
-    return F.when(fits, whole).otherwise(run(F.when(~fits, column)))
+    made = run(F.when(~fits, column))
+    return F.when(made.isNotNull(), made).when(column.isNotNull(), whole)
 
 
 def process_messages(messages: DataFrame, source: str, raw: str, names: list[str] | tuple[str, ...] = (), profile: Profile = DEFAULT, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -99,20 +101,22 @@ def process_messages(messages: DataFrame, source: str, raw: str, names: list[str
         .when((F.col("stripped_") == "") | F.col("stripped_").isin(*profile.system_messages), "reject_system_message")
         .when(T.is_contact_only("stripped_"), "reject_contact_only_raw")
     )
+    # Each step is a column of its own, so that what several later steps use is computed once.
     rows = rows.withColumn("stripped_", stripped).withColumn("early_", early)
-    rows = rows.withColumn("clean_", F.when(F.col("early_").isNull(), anonymise(T.normalise_whitespace("stripped_"), names)))
+    rows = rows.withColumn("normal_", F.when(F.col("early_").isNull(), T.normalise_whitespace("stripped_")))
+    rows = rows.withColumn("clean_", anonymise("normal_", names))
     rows = rows.withColumn("early_", F.coalesce("early_", F.when(T.is_contact_only("clean_"), "reject_contact_only_clean")))
-    rows = rows.withColumn("parts_", F.when(F.col("early_").isNull(), segments_of(F.when(F.col("early_").isNull(), F.col("clean_")), profile)))
-    rows = rows.withColumn("parent_digest", T.source_digest("source_"))
-    found = rows.select(*keep, "parent_digest", "early_", F.posexplode_outer("parts_").alias("segment_no", "text"))
-    text = T.strip("text")
+    rows = rows.withColumn("clean_", F.when(F.col("early_").isNull(), F.col("clean_")))
+    rows = rows.withColumn("parts_", segments_of("clean_", profile)).withColumn("parent_digest", T.source_digest("source_"))
+    found = rows.select(*keep, "parent_digest", "early_", F.posexplode_outer("parts_").alias("segment_no", "part_"))
+    found = found.withColumn("text", T.strip("part_"))
     return found.select(
         *keep,
         "parent_digest",
         F.when(F.col("text").isNotNull(), F.concat("parent_digest", F.lit("#"), F.col("segment_no"))).alias("id"),
         "segment_no",
-        text.alias("text"),
-        F.coalesce("early_", T.reject_reason(text, profile), F.lit("no_segments")).alias("reason"),
+        "text",
+        F.coalesce("early_", T.reject_reason("text", profile), F.lit("no_segments")).alias("reason"),
     )
 
 

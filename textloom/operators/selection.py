@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -80,7 +81,7 @@ def quotas(sizes: dict[str, int], limit: int | None, share: float, keep_proporti
     return Quotas(medium, low, high, total)
 
 
-def select(found: DataFrame, limit: int | None = None, share: float = 0.15, keep_proportions: bool = True) -> DataFrame:
+def select(found: DataFrame, materialise: Callable[[DataFrame, str], DataFrame], limit: int | None = None, share: float = 0.15, keep_proportions: bool = True) -> DataFrame:
     """The chosen candidates with bucket_rank and place (from 1, medium before low before high).
 
     Within a bucket the higher score comes first, then the lesser id; candidates that
@@ -88,6 +89,7 @@ def select(found: DataFrame, limit: int | None = None, share: float = 0.15, keep
     taken among the candidates that can be chosen: each bucket is cut to its quota by
     a distributed sort and limit before the window.
     """
+    found = materialise(found, "candidates")
     sizes = {r.density: r.n for r in found.groupBy("density").agg(F.count("*").alias("n")).collect()}
     q = quotas(sizes, limit, share, keep_proportions)
     order = [F.col("score").desc(), F.col("id"), F.col("text")]

@@ -79,8 +79,8 @@ class CurationPipeline:
 
     def prepare_import(self, path: str, source: str = "llm_segments", limit: int | None = None, share: float = 0.15, keep_proportions: bool = True, dry_run: bool = False, seed: int = 0, target: str = "prepare_import") -> dict:
         rows = selection.source_rows(self.store.read(source, "llm_segments"), "labels_json", "toxicity_label", "skipped")
-        found = materialise(selection.candidates(rows, "id", "text", "labels_json", self.store.read("export_log"), target), "candidates")
-        chosen = materialise(selection.select(found, limit, share, keep_proportions), "chosen")
+        found = selection.candidates(rows, "id", "text", "labels_json", self.store.read("export_log"), target)
+        chosen = materialise(selection.select(found, materialise, limit, share, keep_proportions), "chosen")
         counts = {r.density: r.n for r in chosen.groupBy("density").agg(F.count("*").alias("n")).collect()}
         if not dry_run and counts:
             sinks.write_json_array(selection.shuffled(chosen, "id", seed), path)

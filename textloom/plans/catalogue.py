@@ -143,7 +143,7 @@ def token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"SELECT seq, len(regexp_extract_all(text, '[{DEFAULT.marker_letters}]')) AS n_markers, {_SCRIPT} AS n_script FROM clean_segments")
 def marker_letter_count(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "clean_segments").select(
-        "seq", T.count_letters("text", DEFAULT.marker_letters).cast("bigint").alias("n_markers"), F.regexp_count("text", F.lit(DEFAULT.script)).cast("bigint").alias("n_script")
+        "seq", T.count_letters("text", DEFAULT.marker_letters).cast("bigint").alias("n_markers"), T.count_class("text", DEFAULT.script).cast("bigint").alias("n_script")
     )
 
 
@@ -353,12 +353,12 @@ def bucket_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(_selection_sql(100, 0.15, True))
 def selection_keep_proportions(spark: SparkSession, folder: str) -> DataFrame:
-    return selection.select(_candidates(spark, folder), 100, 0.15, True).select("id", "density", F.col("bucket_rank").cast("bigint").alias("bucket_rank"))
+    return selection.select(_candidates(spark, folder), materialise, 100, 0.15, True).select("id", "density", F.col("bucket_rank").cast("bigint").alias("bucket_rank"))
 
 
 @query(_selection_sql(400, 0.1, False))
 def selection_free_fill(spark: SparkSession, folder: str) -> DataFrame:
-    return selection.select(_candidates(spark, folder), 400, 0.1, False).select("id", "density", F.col("bucket_rank").cast("bigint").alias("bucket_rank"))
+    return selection.select(_candidates(spark, folder), materialise, 400, 0.1, False).select("id", "density", F.col("bucket_rank").cast("bigint").alias("bucket_rank"))
 
 
 # ---- exports -------------------------------------------------------------------------------
