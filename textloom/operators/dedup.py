@@ -31,7 +31,7 @@ def deduplicate(rows: DataFrame, order: str, text: str, norm_hash: str, material
     the distance that the *later* row's number of tokens allows. ``stored`` (same
     columns) holds rows kept before, and ``key`` names the id by which rows count as
     already present. A null norm_hash equals nothing; a null text is kept unless its
-    norm_hash is known. ``order`` must be unique.
+    norm_hash is known. ``order`` must be unique; a row without a place is left out.
 
     Rows with one SimHash, one limit and one norm_hash stand or fall by the first of
     them, so only first ones are compared. They are decided in rounds: one that is the
@@ -40,6 +40,7 @@ def deduplicate(rows: DataFrame, order: str, text: str, norm_hash: str, material
     Nearness is joined between distinct SimHash values, never between rows.
     """
     near, short = profile.near_distance, profile.short_distance
+    rows = rows.where(F.col(order).isNotNull())
     present = None
     if stored is not None and key is not None:
         known = stored.select(key).where(F.col(key).isNotNull()).distinct()

@@ -53,14 +53,14 @@ def keep_first(rows: DataFrame, key: str, order: str) -> DataFrame:
 def two_key_first(rows: DataFrame, order: str, one: str, two: str, materialise: Callable[[DataFrame, str], DataFrame], stored: DataFrame | None = None) -> DataFrame:
     """The rows that inserting in order would accept where neither key may repeat an accepted one.
 
-    ``order`` must be unique. A null key conflicts with nothing. ``stored`` has rows (with
-    the same key columns) accepted before.
+    ``order`` must be unique; a row without a place is left out. A null key conflicts with
+    nothing. ``stored`` has rows (with the same key columns) accepted before.
 
     Works in rounds: a row that is the first undecided one of both its keys is accepted,
     and then every row that shares a key with an accepted one goes. Only the first place
     of each key is compared, so a key that very many rows share costs no pairs.
     """
-    waiting = rows.select(F.col(order).alias("place"), F.col(one).alias("one"), F.col(two).alias("two"))
+    waiting = rows.select(F.col(order).alias("place"), F.col(one).alias("one"), F.col(two).alias("two")).where("place IS NOT NULL")
     for k, name in (("one", one), ("two", two)):
         if stored is not None:
             waiting = waiting.join(stored.select(F.col(name).alias(k)).where(F.col(k).isNotNull()).distinct(), k, "left_anti")
