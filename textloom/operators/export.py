@@ -15,7 +15,7 @@ COLUMNS = ("id", "text", "toxicity_label", "toxicity_score", *FIELDS)
 def exportable(scored: DataFrame, toxicity: DataFrame, payload: str, skipped: str) -> DataFrame:
     """Rows of ``scored`` joined by id with ``toxicity``: a payload is there, the label (the second table's first) isn't 1, nothing is skipped."""
     t = toxicity.select("id", F.col("toxicity_label").alias("label_t"), F.col("toxicity_score").alias("score_t"), F.coalesce(skipped, F.lit(0)).alias("skipped_t"))
-    rows = scored.where(F.col(payload).isNotNull() & (F.col(payload) != "")).join(t, "id")
+    rows = scored.where(F.col(payload).isNotNull() & (F.col(payload) != "")).select("seq", "id", "text", "toxicity_label", "toxicity_score", payload).join(t, "id")
     label, score = F.coalesce("label_t", "toxicity_label"), F.coalesce("score_t", "toxicity_score")
     rows = rows.where((F.coalesce(label, F.lit(0)) != 1) & (F.col("skipped_t") == 0))
     return rows.select("seq", "id", "text", label.cast("bigint").alias("toxicity_label"), score.alias("toxicity_score"), F.col(payload).alias("payload"))
