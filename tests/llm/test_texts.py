@@ -263,6 +263,43 @@ def test_leaks_in_spark(spark):
     assert leak.find_leaks(docs.limit(0), "doc_id", "text", items, "item_id", "text").count() == 0
 
 
+def plain_runs(words, items, least):
+    """Every (item, first, count) that is in the item and, prolonged by a word on either side, isn't."""
+    out = set()
+    for item, w in items:
+        inside = {tuple(w[i:j]) for i in range(len(w)) for j in range(i + 1, len(w) + 1)}
+        for i in range(len(words)):
+            for j in range(i + least, len(words) + 1):
+                longer = (i and tuple(words[i - 1 : j]) in inside) or (j < len(words) and tuple(words[i : j + 1]) in inside)
+                if tuple(words[i:j]) in inside and not longer:
+                    out.add((item, i, j - i))
+    return sorted(out)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abc"), max_size=9), min_size=1, max_size=4), st.lists(st.sampled_from("abcd"), max_size=25), st.integers(1, 4))
+def test_automaton_runs(items, doc, least):
+    items, doc = [(i, leak.words_of(" ".join(w))) for i, w in enumerate(items)], leak.words_of(" ".join(doc))
+    assert leak.ItemAutomaton(items, least).runs(doc) == plain_runs(doc, items, least)
+
+
+def test_every_leaked_passage_goes(spark):
+    """Two passages of one item, one of them twice, in documents of different length."""
+    item = [f"сүз{n}" for n in range(40)]
+    one, two = " ".join(item[:12]), " ".join(item[20:32])
+    rest = [" ".join(f"{at}х{n}" for n in range(15)) for at in "абвг"]
+    rows = [(1, f"{rest[0]} {one} {rest[1]} {two} {rest[2]} {one} {rest[3]}"), (2, f"{rest[0]} {one} башка {two}")]
+    docs, items = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    leaks = leak.find_leaks(docs, "doc_id", "text", items, "item_id", "text")
+    got = sorted((r.doc_id, r.first_word, r.n_words, r.item_covered, r.item_words) for r in leaks.collect())
+    assert got == [(1, 15, 12, 24, 40), (1, 42, 12, 24, 40), (1, 69, 12, 24, 40), (2, 15, 12, 24, 40), (2, 28, 12, 24, 40)]
+    cleaned = leak.without_leaks(docs, "doc_id", "text", leaks)
+    assert by_key(cleaned, "doc_id", "text", "leak_action") == {1: ("  ".join(rest), "cut"), 2: (None, "dropped")}
+    assert leak.find_leaks(cleaned, "doc_id", "text", items, "item_id", "text").count() == 0
+    once = leak.find_leaks(docs, "doc_id", "text", items, "item_id", "text", longest=True).collect()
+    assert sorted((r.doc_id, r.item_id, r.first_word) for r in once) == [(1, 7, 15), (2, 7, 15)]
+
+
 # ---- p9
 
 

@@ -66,7 +66,9 @@ class ItemAutomaton:
         self.ids: dict[str, int] = {}
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
-        self.n_words = {item: len(words) for item, words in items}
+        self.words: dict[int, list[list[str]]] = {}
+        for item, words in items:
+            self.words.setdefault(item, []).append(words)
         self.members: list[set[int]] = [set()]
         for item, words in items:
             last = 0
@@ -114,36 +116,66 @@ class ItemAutomaton:
             at = self.link[at]
         return copy
 
-    def matches(self, words: list[str]) -> list[tuple[int, int, int]]:
-        """(item, first word, word count) of the longest run of each item in a document that reaches min_words; ties go to the first."""
-        best: dict[int, tuple[int, int]] = {}
+    def runs(self, words: list[str]) -> list[tuple[int, int, int]]:
+        """(item, first word, word count) of every run of each item in a document that reaches min_words and that no word on either side prolongs."""
+        out: list[tuple[int, int, int]] = []
+        begun: dict[int, int] = {}  # item: first word of its run that ends at the word before
         state = length = 0
         ids, following, link, lengths, least = self.ids, self.next, self.link, self.length, self.min_words
         for at, word in enumerate(words):
             code = ids.get(word)
             if code is None:
                 state = length = 0
-                continue
-            while state and code not in following[state]:
-                state = link[state]
-                length = lengths[state]
-            got = following[state].get(code)
-            if got is None:
-                length = 0
-                continue
-            state, length = got, length + 1
+            else:
+                while state and code not in following[state]:
+                    state = link[state]
+                    length = lengths[state]
+                got = following[state].get(code)
+                if got is None:
+                    length = 0
+                else:
+                    state, length = got, length + 1
+            here: dict[int, int] = {}
             if length >= least:
                 # Longer runs belong to the state itself, shorter ones to more items further up.
                 up, run = state, length
                 while True:
                     for item in self.members[up]:
-                        if run > best.get(item, (0, 0))[1]:
-                            best[item] = (at - run + 1, run)
+                        here.setdefault(item, at - run + 1)
                     up = link[up]
                     run = lengths[up]
                     if run < least:
                         break
-        return [(item, first, run) for item, (first, run) in sorted(best.items())]
+            if begun:
+                out += [(item, first, at - first) for item, first in begun.items() if here.get(item) != first]
+            begun = here
+        out += [(item, first, len(words) - first) for item, first in begun.items()]
+        return sorted(out)
+
+    def matches(self, words: list[str]) -> list[tuple[int, int, int]]:
+        """(item, first word, word count) of the longest run of each item in a document that reaches min_words; ties go to the first."""
+        return _longest(self.runs(words))
+
+    def covered(self, item: int, passages: list[list[str]]) -> tuple[int, int]:
+        """How many words of an item stand in the passages, wherever the item has them, and how many it has; of rows with one id the one covered most."""
+        best = (0, 1)
+        for words in self.words[item]:
+            seen: set[int] = set()
+            for passage in passages:
+                for at in range(len(words) - len(passage) + 1):
+                    if words[at] == passage[0] and words[at : at + len(passage)] == passage:
+                        seen.update(range(at, at + len(passage)))
+            if words and len(seen) * best[1] > best[0] * len(words):
+                best = (len(seen), len(words))
+        return best
+
+
+def _longest(runs: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    best: dict[int, tuple[int, int]] = {}
+    for item, first, run in runs:
+        if run > best.get(item, (0, 0))[1]:
+            best[item] = (first, run)
+    return [(item, first, run) for item, (first, run) in sorted(best.items())]
 
 
 def _shards(items: list[tuple[int, str]]) -> Iterator[list[tuple[int, list[str]]]]:
@@ -159,14 +191,18 @@ def _shards(items: list[tuple[int, str]]) -> Iterator[list[tuple[int, list[str]]
         yield shard
 
 
-RESULT = "item_id bigint, first_word int, n_words int, item_words int, doc_words int, char_start int, char_end int"
+RESULT = "item_id bigint, first_word int, n_words int, item_words int, item_covered int, doc_words int, char_start int, char_end int"
+
 
+def find_leaks(corpus: DataFrame, key: str, text: str, items: DataFrame, item_key: str, item_text: str, min_words: int = MIN_WORDS, longest: bool = False) -> DataFrame:
+    """One row per document, item and run of at least ``min_words`` consecutive words that they share, each as long as it goes.
 
-def find_leaks(corpus: DataFrame, key: str, text: str, items: DataFrame, item_key: str, item_text: str, min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per document and item that share at least ``min_words`` consecutive words: the longest such run.
+    Runs of one item may overlap, and the same passage counts wherever it stands.
+    With ``longest`` there is one row per document and item, for its longest run.
 
-    Columns: ``key``, item_id, first_word, n_words, item_words, doc_words,
-    char_start, char_end (the span in the document's own text). Null and empty
+    Columns: ``key``, item_id, first_word, n_words, item_words, item_covered (how many
+    words of the item stand in any run of the document), doc_words, char_start,
+    char_end (the span in the document's own text). Null and empty
     texts match nothing, on either side; items shorter than ``min_words`` words
     cannot match; of items with one id each row counts by itself; repeated
     documents are reported each.
@@ -190,16 +226,21 @@ def find_leaks(corpus: DataFrame, key: str, text: str, items: DataFrame, item_ke
                     words = words_of(text)
                     if len(words) < auto.min_words:
                         continue
-                    found = auto.matches(words)
+                    found = auto.runs(words)
                     if found:
+                        passages: dict[int, list[list[str]]] = {}
+                        for item, first, run in found:
+                            passages.setdefault(item, []).append(words[first : first + run])
+                        known = {item: auto.covered(item, p) for item, p in passages.items()}
                         spans = word_spans(text)
                         exact = len(spans) == len(words)
-                        for item, first, run in found:
+                        for item, first, run in _longest(found) if longest else found:
                             at.append(i)
-                            rows.append((item, first, run, auto.n_words[item], len(words), spans[first][0] if exact else None, spans[first + run - 1][1] if exact else None))
-                kinds = [pa.int64()] + [pa.int32()] * 6
+                            covered, item_words = known[item]
+                            rows.append((item, first, run, item_words, covered, len(words), spans[first][0] if exact else None, spans[first + run - 1][1] if exact else None))
+                kinds = [pa.int64()] + [pa.int32()] * 7
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(at, pa.int64())), *(pa.array([r[k] for r in rows], kinds[k]) for k in range(7))],
+                    [batch.column(0).take(pa.array(at, pa.int64())), *(pa.array([r[k] for r in rows], kinds[k]) for k in range(8))],
                     names=["key", *(c.split()[0] for c in RESULT.split(", "))],
                 )
 
@@ -213,7 +254,7 @@ def find_leaks(corpus: DataFrame, key: str, text: str, items: DataFrame, item_ke
 def without_leaks(corpus: DataFrame, key: str, text: str, leaks: DataFrame, min_run: int = MIN_WORDS, max_coverage: float = 0.5) -> DataFrame:
     """``key``, ``text`` and ``leak_action`` of every document, with leaked spans taken out.
 
-    ``leaks`` comes from :func:`find_leaks`. A run of at least ``min_run`` words is
+    ``leaks`` comes from :func:`find_leaks`, with every run. A run of at least ``min_run`` words is
     removed; where the removed runs cover more than ``max_coverage`` of a document's
     words, or a span isn't known, the text becomes null (``dropped``). Otherwise
     ``cut`` or ``kept``. Null texts stay null and ``kept``. ``key`` must be unique

@@ -153,19 +153,19 @@ def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokenize.encode_corpus(read_table(spark, folder, "documents"), "doc_id", "text", vocabulary)
 
 
-def p8_leaks(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document and evaluation item that share a passage, with its span."""
-    return leak.find_leaks(read_table(spark, folder, "documents"), "doc_id", "text", read_table(spark, folder, "eval_items"), "item_id", "text")
+def p8_leaks(spark: SparkSession, folder: str, longest: bool = False) -> DataFrame:
+    """Every passage that a document and an evaluation item share, with its span."""
+    return leak.find_leaks(read_table(spark, folder, "documents"), "doc_id", "text", read_table(spark, folder, "eval_items"), "item_id", "text", longest=longest)
 
 
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
-    return p8_leaks(spark, folder).select("doc_id", "item_id")
+    return p8_leaks(spark, folder, longest=True).select("doc_id", "item_id")
 
 
 def p8_items(spark: SparkSession, folder: str) -> DataFrame:
     """Which items leaked, into how many documents, and how much of them at most."""
     return p8_leaks(spark, folder).groupBy("item_id").agg(
-        F.count_distinct("doc_id").alias("n_docs"), F.max("n_words").alias("longest_run"), F.max(F.col("n_words") / F.col("item_words")).alias("coverage")
+        F.count_distinct("doc_id").alias("n_docs"), F.max("n_words").alias("longest_run"), F.max(F.col("item_covered") / F.col("item_words")).alias("coverage")
     )
 
 
