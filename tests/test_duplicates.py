@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions.simhash import bands, hamming, simhash_lists
 from textloom.operators import dedup, firstwins
+from textloom.plans.catalogue import QUERIES
 from textloom.plans.shared import forget, materialise
 from textloom.profile import Profile
 
@@ -43,6 +44,23 @@ def test_bands_lose_nothing(spark):
     assert df.select(F.size(bands("simhash", 2)), hamming("simhash", "simhash")).first()[:] == (3, 0)
 
 
+def test_members_and_pairs_give_all_near_segments(spark, tmp_path):
+    """Other texts of one SimHash, copies of near ones, empty texts and a null one; against all pairs."""
+    given = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/dedup_segments.parquet").where("text IS NOT NULL").sort("seq").limit(60).collect()]
+    texts = [*given, *(t.upper() for t in given[:9]), *(" ".join(reversed(t.split())) for t in given[5:12]), *(f"{t} {t.split()[0]}" for t in given), "", "!", None]
+    spark.createDataFrame(list(enumerate(texts, 1)), "seq long, text string").write.parquet(f"file://{tmp_path}/dedup_segments.parquet")
+    of = {r.seq: r.simhash for r in dedup.with_simhash(spark.read.parquet(f"file://{tmp_path}/dedup_segments.parquet"), "text").where("simhash IS NOT NULL").collect()}
+    want = {(a, b) for a in of for b in of if a < b and bin((of[a] ^ of[b]) & (1 << 64) - 1).count("1") <= 2}
+    assert any(of[a] == of[b] for a, b in want) and any(of[a] != of[b] for a, b in want)
+    members = {r.seq: (r.first_seq, r.n_links) for r in QUERIES["near_dup_members"](spark, f"file://{tmp_path}").collect()}
+    classes = {first: [s for s in members if members[s][0] == first] for first, _ in members.values()}
+    got = {(a, b) for rows in classes.values() for a in rows for b in rows if a < b}
+    for r in QUERIES["near_dup_pairs"](spark, f"file://{tmp_path}").collect():
+        got |= {(min(a, b), max(a, b)) for a in classes[r.seq_a] for b in classes[r.seq_b]}
+    assert got == want and members.keys() == of.keys()
+    assert {s: n for s, (_, n) in members.items()} == {s: sum(s in p for p in want) for s in of}
+
+
 def chain(spark, edges, fixed=None):
     df = spark.createDataFrame(edges, "earlier long, later long")
     return {r.later for r in firstwins.suppressed(df, materialise, fixed).collect()}

@@ -241,7 +241,7 @@ def simhash_halves(spark: SparkSession, folder: str) -> DataFrame:
     FROM firsts a JOIN firsts b ON a.seq < b.seq AND bit_count(xor(a.hi, b.hi)) + bit_count(xor(a.lo, b.lo)) <= 2"""
 )
 def near_dup_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    """Pairs of different SimHash values within two bits, each named by its first segment."""
+    """Pairs of different SimHash values within two bits, each named by its first segment; near_dup_members has the segments of each value."""
     rows = dedup.with_simhash(read_table(spark, folder, "dedup_segments").select("seq", "text"), "text")
     firsts = materialise(rows.where("simhash IS NOT NULL").groupBy("simhash").agg(F.min("seq").alias("seq")), "firsts")
     pairs = dedup.near_pairs(firsts, 2)
@@ -249,6 +249,26 @@ def near_dup_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select(F.least("x", "y").alias("seq_a"), F.greatest("x", "y").alias("seq_b"), hamming("a", "b").alias("distance"))
 
 
+@query(
+    f"""WITH {_simhash_sql('dedup_segments')}, firsts AS (SELECT simhash_hi AS hi, simhash_lo AS lo, min(seq) AS seq, count(*) AS n FROM simhashes GROUP BY 1, 2),
+    near AS (SELECT a.seq, sum(b.n) AS n FROM firsts a JOIN firsts b ON a.seq <> b.seq AND bit_count(xor(a.hi, b.hi)) + bit_count(xor(a.lo, b.lo)) <= 2 GROUP BY a.seq)
+    SELECT s.seq, f.seq AS first_seq, CAST(f.n - 1 + coalesce(near.n, 0) AS BIGINT) AS n_links
+    FROM simhashes s JOIN firsts f ON s.simhash_hi = f.hi AND s.simhash_lo = f.lo LEFT JOIN near ON near.seq = f.seq"""
+)
+def near_dup_members(spark: SparkSession, folder: str) -> DataFrame:
+    """The first segment of the SimHash value of every segment, and how many other segments are within two bits, those of its own value included.
+
+    With near_dup_pairs it gives every pair of segments: those of one value, and of two values all with all.
+    """
+    made = dedup.with_simhash(read_table(spark, folder, "dedup_segments").select("seq", "text"), "text")
+    rows = materialise(made.where("simhash IS NOT NULL").select("seq", "simhash"), "simhash")
+    values = materialise(rows.groupBy("simhash").agg(F.min("seq").alias("first_seq"), F.count("*").alias("n")), "values")
+    pairs = materialise(dedup.near_pairs(values, 2).select("a", "b"), "near")
+    near = pairs.union(pairs.select("b", "a")).join(values.select(F.col("simhash").alias("b"), "n"), "b").groupBy(F.col("a").alias("simhash")).agg(F.sum("n").alias("near"))
+    linked = values.join(near, "simhash", "left").select("simhash", "first_seq", (F.col("n") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"))
+    return rows.join(linked, "simhash").select("seq", "first_seq", "n_links")
+
+
 @query()
 def near_dup_greedy(spark: SparkSession, folder: str) -> DataFrame:
     """What first-come-first-kept deduplication makes of every clean segment."""
