@@ -323,6 +323,15 @@ def test_level_cases(spark):
     assert all(r.level is None for r in level.grade_texts(df, "k", "t", graded.limit(0), "text", "level").collect())
 
 
+def test_diversity_reads_the_last_words():
+    """Texts of one sentence whose first 40 words are alike and whose last ones repeat, or don't."""
+    words = [f"сүз{'абвгдеж'[n % 7]}{'клмнопр'[n // 7 % 7]}{'стуф'[n // 49]}" for n in range(79)]
+    texts = [" ".join(w) for w in (words[:40], words, words[:40] + [words[40]] * 39, words[:40] + words[:1], words[:20])]
+    found = level.Describer(np.ones(1 << 20)).texts(texts)[0][:, -1]
+    assert found[0] == found[1] == found[4] and found[2] < found[1]
+    assert np.isclose(found[2], ((1 + 2 / 40) / 2 - 0.9) / 0.1) and found[3] == found[0]
+
+
 def test_one_odd_sentence_moves_nothing(spark):
     graded = spark.read.parquet(f"{DATA}/level_samples.parquet")
     rows = {r.sample_id: r for r in graded.collect()}

@@ -226,6 +226,8 @@ class Describer:
         for row, (lo, hi) in enumerate(zip(np.append(0, word_end[:-1]), word_end)):
             mine = ids[lo:hi].tolist()
             windows = [mine[i : i + WINDOW_DIVERSITY] for i in range(0, max(1, len(mine) - WINDOW_DIVERSITY + 1), WINDOW_DIVERSITY)]
+            if len(mine) > WINDOW_DIVERSITY and len(mine) % WINDOW_DIVERSITY:
+                windows.append(mine[-WINDOW_DIVERSITY:])  # so that the last words are read as well
             out[row, -1] = (sum(len(set(w)) / len(w) for w in windows) / len(windows) - 0.9) / 0.1
         return out, present
 
