@@ -128,6 +128,14 @@ def test_languages(spark, models):
     assert language.label_languages(df.limit(0), ["i"], "t", models).count() == 0
 
 
+def test_all_languages_in_one_text():
+    """Clauses of every language, each plainly its own, keep their share; a text of one language stays one."""
+    n = len(language.LANGUAGES)
+    log = np.where(np.eye(n)[[*range(n), *range(n), 0, 0]] > 0, 0.0, -60.0)
+    shares, sure = language.mixture(log, np.full(len(log), 8.0), np.array([0, 2 * n]), np.array([0] * 2 * n + [1, 1]))
+    assert np.allclose(shares, [[1 / n] * n, [1.0] + [0.0] * (n - 1)]) and np.all(sure > 0.99)
+
+
 def test_payload_language():
     read = language.payload_language
     assert read('{"main_language": " Tatar "}') == "tatar" and read('{"labels": {"main_language": "MIXED"}}') == "mixed"

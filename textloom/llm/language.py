@@ -170,17 +170,17 @@ def _em(log: np.ndarray, weight: np.ndarray, starts: np.ndarray, owner: np.ndarr
 def mixture(log: np.ndarray, weight: np.ndarray, starts: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Shares under the language set of the best penalised likelihood, and the confidence in its leading languages.
 
-    The sets compared are nested: the largest one, two, ... languages of an
-    unrestricted EM. The confidence is the mean posterior of the clauses' best language.
+    The sets compared are nested: the largest one, two, ... and at last all languages
+    of an unrestricted EM. The confidence is the mean posterior of the clauses' best language.
     """
     peak = log.max(1, keepdims=True)
     log = log - peak
-    free, _ = _em(log, weight, starts, owner, np.ones((len(starts), log.shape[1])))
+    free, free_value = _em(log, weight, starts, owner, np.ones((len(starts), log.shape[1])))
     rank = np.argsort(np.argsort(-free, axis=1, kind="stable"), axis=1)
     size = np.log(np.maximum(np.add.reduceat(weight, starts), 2.0))
     best, best_value = None, None
-    for k in (1, 2, 3):
-        share, value = _em(log, weight, starts, owner, (rank < k).astype(float))
+    for k in range(1, log.shape[1] + 1):
+        share, value = (free, free_value) if k == log.shape[1] else _em(log, weight, starts, owner, (rank < k).astype(float))
         value = value - PENALTY * (k - 1) * size
         if best is None:
             best, best_value = share, value
