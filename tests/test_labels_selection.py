@@ -96,8 +96,6 @@ def test_membership(spark):
     flagged = membership.with_skip_flag(rows, spark.createDataFrame([("a",)], "id string"), "id", "skipped")
     assert {r.seq for r in flagged.where("skipped = 1").collect()} == {1, 4} and flagged.columns == rows.columns
     assert "flag" in membership.with_skip_flag(rows, done, "id", "flag").columns
-    responses = spark.createDataFrame([("a", "old", 1), ("a", "new", 2), ("zz", "x", 1)], "id string, labels string, response_no int")
-    assert {r.id: r.labels for r in membership.matched_responses(rows.select("id").where("id IN ('a', 'b')"), responses).collect()} == {"a": "new", "b": None}
     new = membership.new_log_rows(rows.select("id", F.lit("t").alias("target")), spark.createDataFrame([("a", "t")], "id string, target string"), ["id", "target"])
     assert {r.id for r in new.collect()} == {"b", "c", "d", None, "e"}
 

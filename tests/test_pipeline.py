@@ -128,7 +128,7 @@ def test_queries_match_their_sql(spark, name):
         want = db.execute(f"SELECT {', '.join(sorted(got.columns))} FROM ({entry.oracle_sql()[name]})").fetchall()
 
         def plain(rows):
-            return sorted(tuple("" if v is None or v != v else f"{v:.9g}" if isinstance(v, float) else str(v) for v in r) for r in rows)
+            return sorted(tuple("null" if v is None else "NaN" if v != v else f"{v:.9g}" if isinstance(v, float) else str(v) for v in r) for r in rows)
 
         assert plain(rows) == plain(want)
     assert rows or name in ("selection_free_fill",)

@@ -8,15 +8,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.labels import FIELDS, any_labels
+from textloom.operators.firstwins import keep_last
+from textloom.operators.membership import known
 
 COLUMNS = ("id", "text", "toxicity_label", "toxicity_score", *FIELDS)
 
 
 def exportable(scored: DataFrame, toxicity: DataFrame, payload: str, skipped: str) -> DataFrame:
-    """Rows of ``scored`` joined by id with ``toxicity``: a payload is there, the label (the second table's first) isn't 1, nothing is skipped."""
-    t = toxicity.select("id", F.col("toxicity_label").alias("label_t"), F.col("toxicity_score").alias("score_t"), F.coalesce(skipped, F.lit(0)).alias("skipped_t"))
-    rows = scored.where(F.col(payload).isNotNull() & (F.col(payload) != "")).select("seq", "id", "text", "toxicity_label", "toxicity_score", payload).join(t, "id")
-    label, score = F.coalesce("label_t", "toxicity_label"), F.coalesce("score_t", "toxicity_score")
+    """Rows of ``scored`` joined by id with ``toxicity``: a payload is there, the label (the second table's first) isn't 1, nothing is skipped.
+
+    An id that stands in a table more than once counts by its last row (insert or replace),
+    so every id, and every seq, comes out once. A NaN score is none. Null ids join nothing.
+    """
+    mine = keep_last(scored.where("id IS NOT NULL").select("seq", "id", "text", "toxicity_label", "toxicity_score", payload), "id", "seq")
+    last = keep_last(toxicity.where("id IS NOT NULL").select("seq", "id", "toxicity_label", "toxicity_score", skipped), "id", "seq")
+    t = last.select("id", F.col("toxicity_label").alias("label_t"), known("toxicity_score", "double").alias("score_t"), F.coalesce(skipped, F.lit(0)).alias("skipped_t"))
+    rows = mine.where(F.col(payload).isNotNull() & (F.col(payload) != "")).join(t, "id")
+    label, score = F.coalesce("label_t", "toxicity_label"), F.coalesce("score_t", known("toxicity_score", "double"))
     rows = rows.where((F.coalesce(label, F.lit(0)) != 1) & (F.col("skipped_t") == 0))
     return rows.select("seq", "id", "text", label.cast("bigint").alias("toxicity_label"), score.alias("toxicity_score"), F.col(payload).alias("payload"))
 
@@ -50,19 +58,23 @@ def running_total(rows: DataFrame, order: str, value: str, materialise: Callable
 
 
 def part_numbers(rows: DataFrame, order: str, batch_rows: int, max_bytes: int, materialise: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
-    """``order`` and part (from 0, without gaps) of every row.
+    """``order`` (unique) and part (from 0, without gaps) of every row.
 
     Rows go out in batches of ``batch_rows`` in order. A new file begins with a batch before
     which the bytes of all rows have passed a further multiple of ``max_bytes``; so a batch
-    is never torn, and a file holds at most ``max_bytes`` and one batch.
+    is never torn, and a file holds at most ``max_bytes`` and one batch. Rows and bytes are
+    placed in one pass over ranges of ``order``; what is summed after it has one row a batch.
     """
-    sized = rows.select(order, row_bytes(rows).alias("bytes")).withColumn("one", F.lit(1).cast("bigint"))
-    placed = running_total(sized, order, "one", materialise).select(order, F.floor(F.col("before") / batch_rows).alias("batch"))
-    batches = sized.join(placed, order).groupBy("batch").agg(F.sum("bytes").alias("bytes"))
-    begun = running_total(batches, "batch", "bytes", materialise)
-    crossed = F.floor(F.col("before") / max_bytes)
-    opened = F.when(F.col("before") == 0, 0).otherwise((crossed > F.floor((F.col("before") - F.col("previous_")) / max_bytes)).cast("bigint"))
-    sizes = batches.select((F.col("batch") + 1).alias("batch"), F.col("bytes").alias("previous_"))
-    marks = begun.join(sizes, "batch", "left").select("batch", opened.cast("bigint").alias("opens"))
-    numbered = running_total(marks, "batch", "opens", materialise).select("batch", (F.col("before") + F.col("opens")).cast("int").alias("part"))
+    ranged = materialise(rows.select(order, row_bytes(rows).alias("bytes")).repartitionByRange(order).withColumn("range_", F.spark_partition_id()), "ranges")
+    totals = ranged.groupBy("range_").agg(F.count("*").alias("n_"))
+    ahead = Window.orderBy("range_").rowsBetween(Window.unboundedPreceding, -1)
+    start = totals.select("range_", F.coalesce(F.sum("n_").over(ahead), F.lit(0)).alias("start_"))
+    inner = F.row_number().over(Window.partitionBy("range_").orderBy(order)) - 1
+    placed = ranged.withColumn("in_", inner).join(F.broadcast(start), "range_").select(order, "bytes", F.floor((F.col("start_") + F.col("in_")) / batch_rows).alias("batch"))
+    placed = materialise(placed, "placed")
+    batches = running_total(placed.groupBy("batch").agg(F.sum("bytes").alias("bytes")), "batch", "bytes", materialise)
+    # A batch that starts past a further multiple opens a file; numbers of files without gaps are the ranks of the multiples at which one opens.
+    crossed = materialise(batches.select("batch", F.floor(F.col("before") / max_bytes).alias("crossed")), "crossed")
+    files = running_total(crossed.select("crossed").distinct().withColumn("one", F.lit(1).cast("bigint")), "crossed", "one", materialise)
+    numbered = crossed.join(files.select("crossed", F.col("before").cast("int").alias("part")), "crossed").select("batch", "part")
     return placed.join(numbered, "batch").select(order, "part")

@@ -13,30 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def suppressed(edges: DataFrame, materialise: Callable[[DataFrame, str], DataFrame], fixed: DataFrame | None = None) -> DataFrame:
-    """``later`` and ``by``: each row that is dropped and the first kept row that drops it.
-
-    ``edges`` has earlier and later, whose order is that of the rows; nulls and loops
-    are ignored. ``fixed`` (node) are rows kept in any case. Each round decides all rows
-    whose earlier neighbours are decided; the rounds are at most the longest chain of
-    dependent rows, and what is undecided shrinks every round, as only edges are touched.
-    """
-    edges = materialise(edges.select("earlier", "later").where("earlier IS NOT NULL AND later IS NOT NULL AND earlier <> later").distinct(), "edges")
-    if fixed is not None:
-        edges = materialise(edges.join(fixed.select(F.col("node").alias("later")), "later", "left_anti").select("earlier", "later"), "edges")
-    dropped = None
-    while True:
-        # Rows nobody undecided stands before are kept; what they point at is dropped.
-        heads = edges.select(F.col("earlier").alias("node")).distinct().join(edges.select(F.col("later").alias("node")).distinct(), "node", "left_anti")
-        falling = materialise(
-            edges.join(heads.withColumnRenamed("node", "earlier"), "earlier", "left_semi").groupBy("later").agg(F.min("earlier").alias("by")), "dropped"
-        )
-        if falling.isEmpty():
-            return dropped if dropped is not None else falling
-        dropped = falling if dropped is None else dropped.unionByName(falling)
-        gone = falling.select("later")
-        left = edges.join(gone, "later", "left_anti").join(gone.withColumnRenamed("later", "earlier"), "earlier", "left_anti")
-        edges = materialise(left.select("earlier", "later"), "edges")
+#: Rounds after which what they have accepted is written as one table.
+FOLD_ROUNDS = 8
 
 
 def keep_first(rows: DataFrame, key: str, order: str) -> DataFrame:
@@ -65,7 +43,7 @@ def two_key_first(rows: DataFrame, order: str, one: str, two: str, materialise:
         if stored is not None:
             waiting = waiting.join(stored.select(F.col(name).alias(k)).where(F.col(k).isNotNull()).distinct(), k, "left_anti")
     waiting = materialise(waiting.select("place", "one", "two"), "waiting")
-    accepted = None
+    accepted, rounds = None, 0
     while not waiting.isEmpty():
         marked = waiting
         for k in ("one", "two"):
@@ -74,6 +52,9 @@ def two_key_first(rows: DataFrame, order: str, one: str, two: str, materialise:
         ahead = (F.col("one").isNull() | (F.col("place") == F.col("first_one"))) & (F.col("two").isNull() | (F.col("place") == F.col("first_two")))
         chosen = materialise(marked.where(ahead).select("place", "one", "two"), "accepted")
         accepted = chosen if accepted is None else accepted.unionByName(chosen)
+        rounds += 1
+        if rounds % FOLD_ROUNDS == 0:  # so that a long chain doesn't make a long plan
+            accepted = materialise(accepted, "accepted")
         left = waiting.join(chosen.select("place"), "place", "left_anti")
         for k in ("one", "two"):
             left = left.join(chosen.select(k).where(F.col(k).isNotNull()).distinct(), k, "left_anti")

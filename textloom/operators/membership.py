@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textloom.operators.firstwins import keep_last
+
 
 def pending(rows: DataFrame, done: DataFrame, key: str, label: str | None = None, skipped: str | None = None) -> DataFrame:
     """Rows whose key isn't in ``done``, that aren't labelled 1 and aren't marked skipped.
@@ -61,14 +63,18 @@ def with_skip_flag(rows: DataFrame, skips: DataFrame, key: str, flag: str) -> Da
     return joined.select(*(F.col("flag_").alias(c) if c == flag else c for c in rows.columns), *([] if flag in rows.columns else [F.col("flag_").alias(flag)]))
 
 
-def matched_responses(chunk: DataFrame, responses: DataFrame, key: str = "id") -> DataFrame:
-    """Every row of a chunk with the labels of the last response for it (by response_no), null if it is missing; unknown ids are left out."""
-    last = responses.groupBy(key).agg(F.max_by("labels", "response_no").alias("labels"))
-    return chunk.join(last, key, "left")
+def known(column: str, kind: str) -> Column:
+    """A column of a type, a NaN as null: a store that can't hold NaN would have given null."""
+    return F.nanvl(column, F.lit(None).cast(kind)) if kind in ("double", "float") else F.col(column)
+
 
+def scored_join(scored: DataFrame, toxicity: DataFrame, key: str, columns: tuple[str, ...], order: str | None = None) -> DataFrame:
+    """Inner join on the key; of each column the second table's value counts, the first's where that is null or NaN.
 
-def scored_join(scored: DataFrame, toxicity: DataFrame, key: str, columns: tuple[str, ...]) -> DataFrame:
-    """Inner join on the key; of each column the second table's value counts, the first's where that is null."""
-    right = toxicity.select(F.col(key), *(F.col(c).alias(f"{c}_right") for c in columns))
+    A NaN on both sides gives null. With ``order`` only the last row of each key of the second table counts.
+    """
+    latest = keep_last(toxicity.select(key, order, *columns), key, order) if order else toxicity
+    right = latest.select(F.col(key), *(known(c, toxicity.schema[c].dataType.simpleString()).alias(f"{c}_right") for c in columns))
+    own = {c: known(c, scored.schema[c].dataType.simpleString()) for c in columns}
     joined = scored.join(right, key)
-    return joined.select(*(F.coalesce(f"{c}_right", c).alias(c) if c in columns else c for c in scored.columns))
+    return joined.select(*(F.coalesce(f"{c}_right", own[c]).alias(c) if c in columns else c for c in scored.columns))
