@@ -1,26 +1,34 @@
 """Contacts and name placeholders replaced by stable stand-ins.
 
 A replacement depends on each match, which no built-in function can do, so it is
-an Arrow function; callers hand it only the texts that have something to replace.
+an Arrow function over whole batches; callers hand it only the texts that have
+something to replace. A text is split at the matches of a pattern; the matches of all
+texts of a batch are hashed and laid out together, and put between the pieces.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-import regex
 import xxhash
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
 
-# The same patterns as in the JVM, for the `regex` package.
-_EMAIL = regex.compile(T.EMAIL, regex.I)
-_PHONE = regex.compile(r"(?:\+?7|8)?[\s\-]?(?:\(\d{3}\)|\d{3})[\s\-]?\d{3}[\s\-]?\d{2}[\s\-]?\d{2}")
-_LINK = regex.compile(r"\b(?:https?://|www\.)\S+", regex.I)
-_NAME = regex.compile(T.NAME_PLACEHOLDER)
+# What is replaced, in this order, how a stand-in is written, and its
+# numbers, each as (divisor, modulus, offset) of the 32-bit hash of the match. A
+# phone-like run inside a link becomes a number with blanks, at which the link then
+# ends; a blank before a phone number belongs to its match.
+STAND_INS = (
+    (rf"({T.EMAIL})", "mail%05d@example.com", ((1, 100_000, 0),)),
+    (rf"({T.PHONE})", "+7 %03d %03d-%02d-%02d", ((1, 90, 900), (100, 1_000, 0), (100, 100, 0), (1, 100, 0))),
+    (rf"(\b{T.URL})", "https://%06d.com", ((1, 1_000_000, 0),)),
+)
+_STAND_INS = [(T.python_pattern(p, ignore_case=True), layout, numbers) for p, layout, numbers in STAND_INS]
+_NAME = T.python_pattern(T.NAME_PLACEHOLDER)
 
 
 def stable_hash(seed: str) -> int:
@@ -28,36 +36,35 @@ def stable_hash(seed: str) -> int:
     return xxhash.xxh32_intdigest(seed)
 
 
-def fake_email(seed: str) -> str:
-    return "mail%05d@example.com" % (stable_hash(seed) % 100_000)
+def _filled(texts: list[str], pattern, make) -> list[str]:
+    """The texts with every match of a pattern replaced by what ``make`` gives for the list of all matches (the pattern's one group)."""
+    pieces = [pattern.split(t) for t in texts]
+    made = iter(make([seed for p in pieces for seed in p[1::2]]))
+    for p in pieces:
+        for at in range(1, len(p), 2):
+            p[at] = next(made)
+    return ["".join(p) for p in pieces]
 
 
-def fake_phone(seed: str) -> str:
-    h = stable_hash(seed)
-    last = h % 10_000
-    return "+7 %03d %03d-%02d-%02d" % (900 + h % 90, h // 100 % 1000, last // 100, last % 100)
+def hide_contacts(texts: list[str]) -> list[str]:
+    """Mail addresses, then phone numbers, then links replaced; the whole match is the seed."""
+    for pattern, layout, numbers in _STAND_INS:
 
+        def made(seeds: list[str], layout=layout, numbers=numbers) -> list[str]:
+            h = np.array([stable_hash(s) for s in seeds], np.int64)
+            return [layout % row for row in zip(*((h // d % m + o).tolist() for d, m, o in numbers))]
 
-def fake_link(seed: str) -> str:
-    return "https://%06d.com" % (stable_hash(seed) % 1_000_000)
+        texts = _filled(texts, pattern, made)
+    return texts
 
 
-def hide_contacts(text: str) -> str:
-    """Mail addresses, then phone numbers, then links replaced; the whole match is the seed.
-
-    The order matters: a phone-like run inside a link becomes a number with blanks, at
-    which the link then ends. A blank before a phone number belongs to its match.
-    """
-    for pattern, made in ((_EMAIL, fake_email), (_PHONE, fake_phone), (_LINK, fake_link)):
-        text = pattern.sub(lambda m, made=made: made(m[0]), text)
-    return text
+def fill_names(texts: list[str], names: list[str] | tuple[str, ...]) -> list[str]:
+    """``[[name]]`` replaced by a name chosen by the hash of what is inside; removed if there are no names."""
+    return _filled(texts, _NAME, lambda inner: [names[stable_hash(i.strip()) % len(names)] if names else "" for i in inner])
 
 
-def fill_names(text: str, names: list[str]) -> str:
-    """``[[name]]`` replaced by a name chosen by the hash of what is inside; removed if there are no names."""
-    if not names:
-        return _NAME.sub("", text)
-    return _NAME.sub(lambda m: names[stable_hash(m[1].strip()) % len(names)], text)
+def anonymised(texts: list[str], names: list[str] | tuple[str, ...]) -> list[str]:
+    return hide_contacts(fill_names(texts, names))
 
 
 def anonymise(text: Column | str, names: list[str] | tuple[str, ...] = ()) -> Column:
@@ -68,7 +75,10 @@ def anonymise(text: Column | str, names: list[str] | tuple[str, ...] = ()) -> Co
     @F.pandas_udf("string")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
-            yield part.map(lambda t: t if t is None else hide_contacts(fill_names(t, names)))
+            there = part.notna()
+            out = part.astype(object).where(there, None)
+            out[there] = anonymised(part[there].tolist(), names)
+            yield out
 
     touched = column.contains("[[") | T.has_contact_sign(column)
     return F.coalesce(run(F.when(touched, column)), column)

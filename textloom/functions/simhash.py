@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -15,7 +16,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 BITS = 64
-_CACHE = 200_000
 
 
 class _TokenBits(dict):
@@ -68,17 +68,20 @@ def hamming(a: Column | str, b: Column | str) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
+#: Blocks of bits that a key joins: values that differ in d bits agree in three of d + 3 blocks.
+JOINED = 3
+
+
 def bands(value: Column | str, distance: int) -> Column:
-    """An array of (band, bits): values within ``distance`` agree in at least one of distance + 1 bands."""
+    """An array of (band, bits): values within ``distance`` agree in at least one band.
+
+    The 64 bits are cut into distance + JOINED blocks, and a band is a choice of JOINED of
+    them; so a key has about 38 bits at distance 2, few enough values share one even
+    among very many, and no pair is lost.
+    """
     value = F.col(value) if isinstance(value, str) else value
-    n = distance + 1
-    edges = [BITS * k // n for k in range(n + 1)]
-    return F.array(
-        *(
-            F.struct(
-                F.lit(k).alias("band"),
-                F.shiftrightunsigned(F.shiftleft(value, BITS - hi) if hi < BITS else value, BITS - hi + lo if hi < BITS else lo).alias("bits"),
-            )
-            for k, (lo, hi) in enumerate(zip(edges, edges[1:]))
-        )
-    )
+    blocks = distance + JOINED
+    edges = [BITS * k // blocks for k in range(blocks + 1)]
+    bits = [((1 << hi) - 1) ^ ((1 << lo) - 1) for lo, hi in zip(edges, edges[1:])]
+    masks = [sum(chosen) for chosen in combinations(bits, JOINED)]
+    return F.array(*(F.struct(F.lit(k).alias("band"), value.bitwiseAND(F.lit(m - (1 << BITS) if m >> (BITS - 1) else m).cast("bigint")).alias("bits")) for k, m in enumerate(masks)))

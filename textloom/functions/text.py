@@ -7,8 +7,10 @@ Every function of a null is null.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
+import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,17 +33,33 @@ WORD = r"[\p{L}\p{Nd}]+(?:'[\p{L}\p{Nd}]+)?"
 WORD_START = r"(^|[^\p{L}\p{Nd}_])"
 
 
+_INNER = SPACE.replace(r"\x{9}-\x{d}", r"\x{9}\x{b}-\x{d}")
+#: White space made regular, step by step: what is replaced by what. Blank lines stay.
+REGULAR_SPACE = (
+    (r"[\x{d}\x{200b}\x{feff}\x{2060}]", ""),
+    (LINE_BREAK, "\n"),
+    (r"\n\z", ""),
+    (r"[ \x{9}\x{a0}]+", " "),
+    (rf"\n[{_INNER}]+", "\n"),
+    (rf"[{_INNER}]+\n", "\n"),
+    (rf"\A[{_INNER}]+|[{_INNER}]+\z", ""),
+)
+ENDS = rf"\A[{SPACE}]+|[{SPACE}]+\z"
+
+
+def python_pattern(pattern: str, ignore_case: bool = False) -> regex.Pattern:
+    """A pattern of this module for the ``regex`` package."""
+    spelled = re.sub(r"\\x\{([0-9a-f]+)\}", lambda m: re.escape(chr(int(m[1], 16))), pattern).replace(r"\z", r"\Z")
+    return regex.compile(spelled, regex.I if ignore_case else 0)
+
+
 def _column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
 def strip(text: Column | str) -> Column:
     """Without white space at either end."""
-    return F.regexp_replace(_column(text), rf"\A[{SPACE}]+|[{SPACE}]+\z", "")
-
-
-def strip_only(text: Column, letters: str) -> Column:
-    return F.regexp_replace(text, rf"\A[{letters}]+|[{letters}]+\z", "")
+    return F.regexp_replace(_column(text), ENDS, "")
 
 
 def first_filled(*values: Column | str) -> Column:
@@ -51,13 +69,10 @@ def first_filled(*values: Column | str) -> Column:
 
 def normalise_whitespace(text: Column | str) -> Column:
     """Lines stripped and joined by one newline each, inner blanks collapsed, zero-width characters and CR removed; blank lines stay."""
-    t = F.regexp_replace(_column(text), r"[\x{d}\x{200b}\x{feff}\x{2060}]", "")
-    t = F.regexp_replace(t, LINE_BREAK, "\n")
-    t = F.regexp_replace(t, r"\n\z", "")
-    t = F.regexp_replace(t, r"[ \x{9}\x{a0}]+", " ")
-    inner = SPACE.replace(r"\x{9}-\x{d}", r"\x{9}\x{b}-\x{d}")
-    t = F.regexp_replace(t, rf"\n[{inner}]+", "\n")
-    return strip_only(F.regexp_replace(t, rf"[{inner}]+\n", "\n"), inner)
+    t = _column(text)
+    for pattern, by in REGULAR_SPACE:
+        t = F.regexp_replace(t, pattern, by)
+    return t
 
 
 def let(value: Column, make: Callable[[Column], Column]) -> Column:
@@ -145,31 +160,21 @@ def sentences(text: Column | str) -> Column:
 def reject_reason(text: Column | str, profile: Profile = DEFAULT) -> Column:
     """The first rule that a segment breaks, else ``pass``; null for a null text."""
     t = _column(text)
-    facts = F.struct(
-        count_class(t, profile.script).alias("script"),
-        count_letters(t, profile.marker_letters).alias("markers"),
-        count_tokens(t).alias("words"),
-        F.length(t).alias("chars"),
-        t.rlike(SINGLE_BRACKET).alias("bracket"),
-        *([t.rlike(profile.foreign_script).alias("foreign"), count_class(t, r"\p{L}").alias("letters")] if profile.one_script_only else []),
-    )
-
-    def first_broken(f: Column) -> Column:
-        rules = []
-        if profile.one_script_only:
-            rules += [("latin_present", f["foreign"]), ("non_cyrillic_letters", f["script"] != f["letters"])]
-        rules += [
-            ("min_letters", f["script"] < profile.min_letters),
-            ("min_tatar_letters", f["markers"] < profile.min_marker_letters),
-            ("min_words", f["words"] < profile.min_words),
-            ("max_words", f["words"] > profile.max_words),
-            ("min_chars", f["chars"] < profile.min_chars),
-            ("max_chars", f["chars"] > profile.max_chars),
-            ("single_bracket_placeholder", f["bracket"]),
-        ]
-        out = F.when(f["chars"].isNull(), F.lit(None).cast("string"))
-        for name, broken in rules:
-            out = out.when(broken, name)
-        return out.otherwise("pass")
-
-    return let(facts, first_broken)
+    words, chars, script = count_tokens(t), F.length(t), count_class(t, profile.script)
+    rules = []
+    if profile.one_script_only:
+        rules += [("latin_present", t.rlike(profile.foreign_script)), ("non_cyrillic_letters", script != count_class(t, r"\p{L}"))]
+    rules += [
+        ("min_letters", script < profile.min_letters),
+        ("min_tatar_letters", count_letters(t, profile.marker_letters) < profile.min_marker_letters),
+        ("min_words", words < profile.min_words),
+        ("max_words", words > profile.max_words),
+        ("min_chars", chars < profile.min_chars),
+        ("max_chars", chars > profile.max_chars),
+        ("single_bracket_placeholder", t.rlike(SINGLE_BRACKET)),
+    ]
+    # A plain chain is compiled, and stops at the first rule that is broken.
+    out = F.when(t.isNull(), F.lit(None).cast("string"))
+    for name, broken in rules:
+        out = out.when(broken, name)
+    return out.otherwise("pass")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import text as T
 from textloom.functions.simhash import bands, hamming, simhash
+from textloom.operators.firstwins import FOLD_ROUNDS
 from textloom.profile import DEFAULT, Profile
 
 
@@ -29,8 +30,8 @@ def deduplicate(rows: DataFrame, order: str, text: str, norm_hash: str, material
 
     A row is dropped if a kept earlier row has its norm_hash, or a SimHash within
     the distance that the *later* row's number of tokens allows. ``stored`` (same
-    columns) holds rows kept before, and ``key`` names the id by which rows count as
-    already present. A null norm_hash equals nothing; a null text is kept unless its
+    columns, and a ``simhash`` where it was stored with the rows) holds rows kept before, and
+    ``key`` names the id by which rows count as already present. A null norm_hash equals nothing; a null text is kept unless its
     norm_hash is known. ``order`` must be unique; a row without a place is left out.
 
     Rows with one SimHash, one limit and one norm_hash stand or fall by the first of
@@ -54,7 +55,10 @@ def deduplicate(rows: DataFrame, order: str, text: str, norm_hash: str, material
     first = materialise(own.where("norm IS NOT NULL OR simhash IS NOT NULL").groupBy(*shape).agg(F.min("place").alias("place")), "first")
     kept = first.select("norm", "simhash", "place", F.lit(False).alias("stored")).limit(0)
     if stored is not None:
-        old = with_simhash(stored.select(F.col(text).alias("text"), F.col(norm_hash).alias("norm")), "text")
+        had = F.col("simhash") if "simhash" in stored.columns else F.lit(None).cast("bigint")
+        old = stored.select(F.col(text).alias("text"), F.col(norm_hash).alias("norm"), had.alias("had"))
+        # Only stored rows without their SimHash are hashed again.
+        old = old.withColumn("tokens_", F.when(F.col("had").isNull(), T.tokens("text"))).withColumn("simhash", F.coalesce("had", simhash("tokens_")))
         # Rows kept before have no place: they precede everything.
         kept = materialise(old.select("norm", "simhash", F.lit(None).cast(first.schema["place"].dataType).alias("place"), F.lit(True).alias("stored")).distinct(), "stored")
     pairs = materialise(near_pairs(first.select("simhash").unionByName(kept.select("simhash")), max(near, short)), "near")
@@ -82,6 +86,7 @@ def deduplicate(rows: DataFrame, order: str, text: str, norm_hash: str, material
         return joined.where(~hit).select(*shape, "place")
 
     waiting = first if stored is None else materialise(after_kept(first, kept), "waiting")
+    rounds = 0
     while not waiting.isEmpty():
         values = waiting.groupBy("simhash").agg(F.min("place").alias("first")).withColumn("stored", F.lit(False))
         norms = waiting.where("norm IS NOT NULL").groupBy("norm").agg(F.min("place").alias("first_norm"))
@@ -91,6 +96,9 @@ def deduplicate(rows: DataFrame, order: str, text: str, norm_hash: str, material
         ahead = ahead & F.coalesce(by_limit("first") > F.col("place"), F.lit(True))
         chosen = materialise(joined.where(ahead).select("norm", "simhash", "place", F.lit(False).alias("stored")), "kept")
         kept = kept.unionByName(chosen)
+        rounds += 1
+        if rounds % FOLD_ROUNDS == 0:
+            kept = materialise(kept, "kept")
         left = waiting.join(chosen.select("place"), "place", "left_anti")
         waiting = materialise(after_kept(left, chosen), "waiting")
     kept = materialise(kept.select("norm", "place"), "kept")
@@ -100,3 +108,9 @@ def deduplicate(rows: DataFrame, order: str, text: str, norm_hash: str, material
     status = F.when(F.col("is_kept") | (F.col("norm").isNull() & F.col("simhash").isNull()), "kept").when(F.col("norm_stored") | (F.col("norm_place") < F.col("place")), "exact_dup").otherwise("near_dup")
     out = own.join(is_kept, "place", "left").join(seen, "norm", "left").select("place", status.alias("status"))
     return (out if present is None else out.unionByName(present)).withColumnRenamed("place", order)
+
+
+def greedy_constant(rows: DataFrame, order: str, text: str, distance: int, materialise: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """``order`` and status of every row when only nearness counts, with one distance for texts of any length."""
+    like = DEFAULT.__class__(near_distance=distance, short_distance=distance)
+    return deduplicate(rows.select(order, text).withColumn("none_", F.lit(None).cast("string")), order, text, "none_", materialise, like)

@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import pandas as pd
-import regex
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
-from textloom.functions.privacy import anonymise
+from textloom.functions.privacy import anonymised
 from textloom.profile import DEFAULT, Profile
 
-_WORD = regex.compile(r"[\p{L}\d]+(?:'[\p{L}\d]+)?")
-_STOP = regex.compile(r"(?<=[.!?…])\s+")
+_WORD = T.python_pattern(T.WORD)
+_STOP = T.python_pattern(rf"(?<=[.!?…])[{T.WHITE}]+")
+_ENDS = T.python_pattern(T.ENDS)
+_REGULAR = [(T.python_pattern(p), by) for p, by in T.REGULAR_SPACE]
+_CONTACT = T.python_pattern(rf"{T.WORD_START}{T.URL}|{T.EMAIL}|{T.PHONE}", ignore_case=True)
+_TELLING = T.python_pattern(rf"[^\p{{P}}\p{{S}}{T.SPACE}]")
+_SIGN = T.python_pattern(rf"@|://|www\.|{T.PHONE_SIGN}", ignore_case=True)
 
 
 def split_by_marks(text: str) -> list[str]:
@@ -22,50 +29,42 @@ def split_by_marks(text: str) -> list[str]:
     return [s for part in _STOP.split(text) if (s := part.strip())]
 
 
-def word_chunks(sentence: str, profile: Profile) -> list[str]:
-    """A sentence over the limits as runs of its lower-cased words; a run ends once it reaches either limit."""
-    out: list[str] = []
-    run: list[str] = []
-    length = -1
-    for word in _WORD.findall(sentence.lower()):
-        run.append(word)
-        length += 1 + len(word)
-        if len(run) >= profile.max_words or length >= profile.max_chars:
-            out.append(" ".join(run))
-            run, length = [], -1
-    return [*out, " ".join(run)] if run else out
+def count_words(text: str) -> int:
+    return len(_WORD.findall(text.lower()))
 
 
-def pack(text: str, profile: Profile = DEFAULT, splitter: Callable[[str], list[str]] = split_by_marks) -> list[str]:
-    """Whole sentences packed in order as long as both limits hold; an oversized sentence is cut into word runs.
+def word_runs(sentence: str, profile: Profile) -> list[str]:
+    """The lower-cased words of a sentence in runs; a run ends with the word at which it reaches either limit.
 
-    Counts are kept as sums: words never cross the blank that joins two sentences.
+    Where a run ends is looked up among the running sums of the words' lengths.
     """
+    words = _WORD.findall(sentence.lower())
+    ends = list(accumulate(len(w) + 1 for w in words))
+    out, at = [], 0
+    while at < len(words):
+        reached = bisect_left(ends, (ends[at - 1] if at else 0) + profile.max_chars + 1, at)
+        to = min(reached + 1, at + max(1, profile.max_words))
+        out.append(" ".join(words[at:to]))
+        at = to
+    return out
 
-    def measure(s: str) -> tuple[int, int]:
-        return len(_WORD.findall(s.lower())), len(s)
-
-    words, chars = measure(text)
-    if words <= profile.max_words and chars <= profile.max_chars:
-        return [text.strip()] if text.strip() else []
-    out: list[str] = []
-    held: list[str] = []
-    held_words, held_chars = 0, -1
-    for sentence in splitter(text):
-        words, chars = measure(sentence)
-        if held_words + words <= profile.max_words and held_chars + 1 + chars <= profile.max_chars:
-            held.append(sentence)
-            held_words, held_chars = held_words + words, held_chars + 1 + chars
-            continue
-        if held:
-            out.append(" ".join(held).strip())
-        held, held_words, held_chars = [], 0, -1
-        if words <= profile.max_words and chars <= profile.max_chars:
-            held, held_words, held_chars = [sentence], words, chars
-        else:
-            out += word_chunks(sentence, profile)
-    if held:
-        out.append(" ".join(held).strip())
+
+def pack(text: str, profile: Profile = DEFAULT, splitter: Callable[[str], list[str]] = split_by_marks) -> list[str]:
+    """The segments of a text: as many whole sentences each as both limits hold, in order; an oversized sentence in word runs.
+
+    Words never cross the blank that joins two sentences, so words and characters are
+    running sums over the sentences, and the furthest end of a segment is found in both by bisection.
+    """
+    if len(text) <= profile.max_chars and count_words(text) <= profile.max_words:
+        return [whole] if (whole := text.strip()) else []
+    sentences = splitter(text)
+    words = [0, *accumulate(count_words(s) for s in sentences)]
+    chars = [0, *accumulate(len(s) + 1 for s in sentences)]
+    out, at = [], 0
+    while at < len(sentences):
+        to = min(bisect_right(words, words[at] + profile.max_words), bisect_right(chars, chars[at] + profile.max_chars + 1)) - 1
+        out += [" ".join(sentences[at:to]).strip()] if to > at else word_runs(sentences[at], profile)
+        at = max(to, at + 1)
     return [s for s in out if s]
 
 
@@ -85,7 +84,41 @@ def segments_of(text: Column | str, profile: Profile = DEFAULT, splitter: Callab
     return F.when(made.isNotNull(), made).when(column.isNotNull(), whole)
 
 
-def process_messages(messages: DataFrame, source: str, raw: str, names: list[str] | tuple[str, ...] = (), profile: Profile = DEFAULT, keep: tuple[str, ...] = ()) -> DataFrame:
+def contact_only(text: str) -> bool:
+    """True if nothing but contacts, punctuation, symbols and white space is there; so for an empty text."""
+    if not _SIGN.search(text):
+        return not _TELLING.search(text)
+    return not _TELLING.search(_CONTACT.sub(" ", text))
+
+
+def regular_space(text: str) -> str:
+    for pattern, by in _REGULAR:
+        text = pattern.sub(by, text)
+    return text
+
+
+def message_parts(texts: list[str], names: tuple[str, ...], profile: Profile, splitter: Callable[[str], list[str]]) -> list[tuple[str | None, list[str]]]:
+    """For each raw text why it is rejected as a whole (or None), and its segments."""
+    out: list[tuple[str | None, list[str]]] = [(None, [])] * len(texts)
+    clean: dict[int, str] = {}
+    for i, raw in enumerate(texts):
+        stripped = _ENDS.sub("", raw)
+        if not raw:
+            out[i] = ("reject_empty", [])
+        elif not stripped or stripped in profile.system_messages:
+            out[i] = ("reject_system_message", [])
+        elif contact_only(stripped):
+            out[i] = ("reject_contact_only_raw", [])
+        else:
+            clean[i] = regular_space(stripped)
+    touched = [i for i, t in clean.items() if "[[" in t or _SIGN.search(t)]
+    clean.update(zip(touched, anonymised([clean[i] for i in touched], names)))
+    for i, text in clean.items():
+        out[i] = ("reject_contact_only_clean", []) if contact_only(text) else (None, pack(text, profile, splitter))
+    return out
+
+
+def process_messages(messages: DataFrame, source: str, raw: str, names: list[str] | tuple[str, ...] = (), profile: Profile = DEFAULT, keep: tuple[str, ...] = (), splitter: Callable[[str], list[str]] = split_by_marks) -> DataFrame:
     """One row per message that is rejected and per segment that a message gives.
 
     Columns: ``keep``, parent_digest, id, segment_no, text, reason. A rejected message
@@ -93,33 +126,50 @@ def process_messages(messages: DataFrame, source: str, raw: str, names: list[str
     also for blank ones, reject_contact_only_raw, reject_contact_only_clean). A segment
     has reason ``pass`` or the first rule it breaks. A null raw text is an empty one; a
     null source has a null digest and id. Segment numbers count rejected segments too.
+
+    Every pattern runs once a text: one Arrow step takes raw texts to segments, and
+    the rules for segments follow in the JVM. No shuffle.
     """
-    stripped = T.strip("raw_")
-    rows = messages.select(*keep, F.col(source).alias("source_"), F.coalesce(raw, F.lit("")).alias("raw_"))
-    early = (
-        F.when(F.col("raw_") == "", "reject_empty")
-        .when((F.col("stripped_") == "") | F.col("stripped_").isin(*profile.system_messages), "reject_system_message")
-        .when(T.is_contact_only("stripped_"), "reject_contact_only_raw")
-    )
-    # Each step is a column of its own, so that what several later steps use is computed once.
-    rows = rows.withColumn("stripped_", stripped).withColumn("early_", early)
-    rows = rows.withColumn("normal_", F.when(F.col("early_").isNull(), T.normalise_whitespace("stripped_")))
-    rows = rows.withColumn("clean_", anonymise("normal_", names))
-    rows = rows.withColumn("early_", F.coalesce("early_", F.when(T.is_contact_only("clean_"), "reject_contact_only_clean")))
-    rows = rows.withColumn("clean_", F.when(F.col("early_").isNull(), F.col("clean_")))
-    rows = rows.withColumn("parts_", segments_of("clean_", profile)).withColumn("parent_digest", T.source_digest("source_"))
-    found = rows.select(*keep, "parent_digest", "early_", F.posexplode_outer("parts_").alias("segment_no", "part_"))
-    found = found.withColumn("text", T.strip("part_"))
+    names = tuple(names)
+    rows = messages.select(*(F.col(c).alias(f"k{i}") for i, c in enumerate(keep)), T.source_digest(source).alias("digest"), F.coalesce(raw, F.lit("")).alias("raw"))
+    kinds = [f"k{i} {messages.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)]
+    last = len(keep) + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, numbers, texts, early = [], [], [], []
+            for i, (reason, parts) in enumerate(message_parts(batch.column(last).to_pylist(), names, profile, splitter)):
+                at += [i] * max(1, len(parts))
+                early += [reason] * max(1, len(parts))
+                numbers += range(len(parts)) if parts else [None]
+                texts += parts or [None]
+            which = pa.array(at, pa.int64())
+            cols = [pa.array(numbers, pa.int32()), pa.array(texts, pa.string()), pa.array(early, pa.string())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(which) for k in range(last)), *cols], names=[*(f"k{i}" for i in range(len(keep))), "digest", "segment_no", "part", "early"])
+
+    found = rows.mapInArrow(run, ", ".join([*kinds, "digest string, segment_no int, part string, early string"]))
     return found.select(
-        *keep,
-        "parent_digest",
-        F.when(F.col("text").isNotNull(), F.concat("parent_digest", F.lit("#"), F.col("segment_no"))).alias("id"),
+        *(F.col(f"k{i}").alias(c) for i, c in enumerate(keep)),
+        F.col("digest").alias("parent_digest"),
+        F.when(F.col("part").isNotNull(), F.concat("digest", F.lit("#"), F.col("segment_no"))).alias("id"),
         "segment_no",
-        "text",
-        F.coalesce("early_", T.reject_reason("text", profile), F.lit("no_segments")).alias("reason"),
+        F.col("part").alias("text"),
+        F.coalesce("early", T.reject_reason("part", profile), F.lit("no_segments")).alias("reason"),
     )
 
 
 def reason_counts(processed: DataFrame) -> DataFrame:
     """How often each reason occurs."""
     return processed.groupBy("reason").agg(F.count("*").alias("n"))
+
+
+def ingest_counters(processed: DataFrame) -> DataFrame:
+    """name and n: the reasons, and rows_total (messages), segments_generated and segments_kept of a run's messages.
+
+    ``processed`` comes from :func:`process_messages`; a message has one row without, or a first one with, a segment number.
+    """
+    message = F.coalesce("segment_no", F.lit(0)) == 0
+    totals = processed.agg(F.count_if(message).alias("rows_total"), F.count("segment_no").alias("segments_generated"), F.count_if(F.col("reason") == "pass").alias("segments_kept"))
+    rows = totals.select(F.explode(F.create_map(*(x for c in totals.columns for x in (F.lit(c), F.col(c))))).alias("name", "n"))
+    named = F.when(F.col("reason").startswith("reject_") | (F.col("reason") == "no_segments"), F.col("reason")).otherwise(F.concat(F.lit("segment_reject_"), "reason"))
+    return rows.unionByName(reason_counts(processed.where("reason <> 'pass'")).select(named.alias("name"), "n"))

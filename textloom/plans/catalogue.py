@@ -16,7 +16,7 @@ from textloom.functions.labels import FIELDS, NUMBERS, WORDS, any_labels, flat_l
 from textloom.functions.privacy import anonymise
 from textloom.functions.simhash import hamming
 from textloom.operators import dedup, export, firstwins, membership, scoring, segment, selection
-from textloom.plans.shared import materialise
+from textloom.plans.shared import materialise, spread
 from textloom.profile import DEFAULT
 from textloom.sources.messages import resolved
 from textloom.sources.tables import read_table
@@ -37,6 +37,11 @@ def query(sql: str | None = None):
     return register
 
 
+def _texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table whose texts are worked on, spread over all cores where one small file holds it."""
+    return spread(read_table(spark, folder, name))
+
+
 # ---- SQL pieces ----------------------------------------------------------------
 
 _LOWER_WORDS = f"regexp_extract_all(lower(text), '{T.WORD.replace(chr(39), chr(39) * 2)}')"
@@ -115,34 +120,44 @@ def _selection_sql(limit: int, share: float, keep: bool) -> str:
     WHERE bucket_rank <= most AND place <= {limit}"""
 
 
+def _last_sql(table: str) -> str:
+    return f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS place FROM {table} WHERE id IS NOT NULL) WHERE place = 1)"
+
+
+def _known(table: str) -> str:
+    return f"CASE WHEN NOT isnan({table}.toxicity_score) THEN {table}.toxicity_score END"
+
+
+_LATEST = f"latest AS {_last_sql('toxicity_segments')}"
+
 # ---- sources and cleaning ----------------------------------------------------------
 
 
 @query(f"SELECT seq, {_SOURCE} AS source_id, {_RAW} AS raw_text, sha1({_SOURCE}) AS parent_digest, sha1({_SOURCE} || chr(10) || {_RAW}) AS row_hash FROM raw_messages")
 def scan_resolve_source(spark: SparkSession, folder: str) -> DataFrame:
     """Source id, raw text, digest and hash of every raw message."""
-    return resolved(read_table(spark, folder, "raw_messages"), "seq").select("seq", "source_id", "raw_text", "parent_digest", "row_hash")
+    return resolved(_texts(spark, folder, "raw_messages"), "seq").select("seq", "source_id", "raw_text", "parent_digest", "row_hash")
 
 
 @query(f"SELECT seq, {_NORMAL} AS text FROM raw_messages")
 def norm_whitespace(spark: SparkSession, folder: str) -> DataFrame:
     raw = T.first_filled("text", "message")
-    return read_table(spark, folder, "raw_messages").select("seq", T.normalise_whitespace(raw).alias("text"))
+    return _texts(spark, folder, "raw_messages").select("seq", T.normalise_whitespace(raw).alias("text"))
 
 
 @query(rf"SELECT seq, regexp_replace(lower({_strip_sql('text')}), '[{T.WHITE}]+', ' ', 'g') AS form FROM clean_segments")
 def dedup_normal_form(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, folder, "clean_segments").select("seq", T.normal_form("text").alias("form"))
+    return _texts(spark, folder, "clean_segments").select("seq", T.normal_form("text").alias("form"))
 
 
 @query(f"SELECT seq, len({_LOWER_WORDS}) AS n_tokens, length(text) AS n_chars FROM clean_segments")
 def token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, folder, "clean_segments").select("seq", T.count_tokens("text").cast("bigint").alias("n_tokens"), F.length("text").cast("bigint").alias("n_chars"))
+    return _texts(spark, folder, "clean_segments").select("seq", T.count_tokens("text").cast("bigint").alias("n_tokens"), F.length("text").cast("bigint").alias("n_chars"))
 
 
 @query(f"SELECT seq, len(regexp_extract_all(text, '[{DEFAULT.marker_letters}]')) AS n_markers, {_SCRIPT} AS n_script FROM clean_segments")
 def marker_letter_count(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, folder, "clean_segments").select(
+    return _texts(spark, folder, "clean_segments").select(
         "seq", T.count_letters("text", DEFAULT.marker_letters).cast("bigint").alias("n_markers"), T.count_class("text", DEFAULT.script).cast("bigint").alias("n_script")
     )
 
@@ -153,24 +168,24 @@ def marker_letter_count(spark: SparkSession, folder: str) -> DataFrame:
 )
 def contact_counts(spark: SparkSession, folder: str) -> DataFrame:
     raw = T.first_filled("text", "message")
-    return read_table(spark, folder, "raw_messages").select(
+    return _texts(spark, folder, "raw_messages").select(
         "seq", T.count_links(raw).cast("bigint").alias("n_links"), T.count_emails(raw).cast("bigint").alias("n_emails"), T.count_phones(raw).cast("bigint").alias("n_phones")
     )
 
 
 @query(f"SELECT seq, {_CONTACT_ONLY} AS contact_only FROM raw_messages")
 def contact_only_flag(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, folder, "raw_messages").select("seq", T.is_contact_only(T.first_filled("text", "message")).alias("contact_only"))
+    return _texts(spark, folder, "raw_messages").select("seq", T.is_contact_only(T.first_filled("text", "message")).alias("contact_only"))
 
 
 @query(f"SELECT seq, regexp_matches({_RAW}, '{T.SINGLE_BRACKET}') AS bracketed FROM raw_messages")
 def single_bracket_flag(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, folder, "raw_messages").select("seq", T.first_filled("text", "message").rlike(T.SINGLE_BRACKET).alias("bracketed"))
+    return _texts(spark, folder, "raw_messages").select("seq", T.first_filled("text", "message").rlike(T.SINGLE_BRACKET).alias("bracketed"))
 
 
 @query(f"SELECT seq, {_REASON} AS reason FROM clean_segments")
 def filter_reason(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, folder, "clean_segments").select("seq", T.reject_reason("text").alias("reason"))
+    return _texts(spark, folder, "clean_segments").select("seq", T.reject_reason("text").alias("reason"))
 
 
 @query(f"SELECT reason, count(*) AS n FROM (SELECT {_REASON} AS reason FROM clean_segments) GROUP BY reason")
@@ -183,7 +198,7 @@ def filter_reason_histogram(spark: SparkSession, folder: str) -> DataFrame:
     SELECT seq, list_filter(list_transform(string_split(regexp_replace(text, '([.!?…])[{T.WHITE}]+', '\1' || chr(1), 'g'), chr(1)), lambda x: {_strip_sql('x')}), lambda x: x <> '') AS s FROM clean_segments))"""
 )
 def sentence_split(spark: SparkSession, folder: str) -> DataFrame:
-    parts = read_table(spark, folder, "clean_segments").select("seq", F.posexplode(T.sentences("text")).alias("sentence_no", "sentence"))
+    parts = _texts(spark, folder, "clean_segments").select("seq", F.posexplode(T.sentences("text")).alias("sentence_no", "sentence"))
     return parts.withColumn("sentence_no", F.col("sentence_no").cast("bigint"))
 
 
@@ -191,11 +206,11 @@ def sentence_split(spark: SparkSession, folder: str) -> DataFrame:
 def anonymised_messages(spark: SparkSession, folder: str) -> DataFrame:
     """Every raw message with contacts hidden and name placeholders filled."""
     raw = T.normalise_whitespace(T.first_filled("text", "message"))
-    return read_table(spark, folder, "raw_messages").select("seq", anonymise(raw, ("Айгөл", "Булат", "Ләйсән", "Тимур")).alias("text"))
+    return _texts(spark, folder, "raw_messages").select("seq", anonymise(raw, ("Айгөл", "Булат", "Ләйсән", "Тимур")).alias("text"))
 
 
 def _processed(spark: SparkSession, folder: str) -> DataFrame:
-    return segment.process_messages(resolved(read_table(spark, folder, "raw_messages"), "seq"), "source_id", "raw_text", keep=("seq",))
+    return segment.process_messages(resolved(_texts(spark, folder, "raw_messages"), "seq"), "source_id", "raw_text", keep=("seq",))
 
 
 @query()
@@ -215,7 +230,7 @@ def message_reasons(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT seq, id FROM (SELECT *, row_number() OVER (PARTITION BY norm_hash ORDER BY seq) AS n FROM clean_segments) WHERE n = 1 OR norm_hash IS NULL")
 def exact_dedup_first(spark: SparkSession, folder: str) -> DataFrame:
-    return firstwins.keep_first(read_table(spark, folder, "clean_segments").select("seq", "id", "norm_hash"), "norm_hash", "seq").select("seq", "id")
+    return firstwins.keep_first(_texts(spark, folder, "clean_segments").select("seq", "id", "norm_hash"), "norm_hash", "seq").select("seq", "id")
 
 
 @query()
@@ -231,7 +246,7 @@ def insert_or_replace_latest(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"WITH {_simhash_sql('clean_segments')} SELECT * FROM simhashes")
 def simhash_halves(spark: SparkSession, folder: str) -> DataFrame:
-    rows = dedup.with_simhash(read_table(spark, folder, "clean_segments").select("seq", "text").where("text IS NOT NULL"), "text")
+    rows = dedup.with_simhash(_texts(spark, folder, "clean_segments").select("seq", "text").where("text IS NOT NULL"), "text")
     return rows.select("seq", F.shiftrightunsigned("simhash", 32).alias("simhash_hi"), F.col("simhash").bitwiseAND(F.lit(0xFFFFFFFF)).alias("simhash_lo"))
 
 
@@ -242,7 +257,7 @@ def simhash_halves(spark: SparkSession, folder: str) -> DataFrame:
 )
 def near_dup_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs of different SimHash values within two bits, each named by its first segment; near_dup_members has the segments of each value."""
-    rows = dedup.with_simhash(read_table(spark, folder, "dedup_segments").select("seq", "text"), "text")
+    rows = dedup.with_simhash(_texts(spark, folder, "dedup_segments").select("seq", "text"), "text")
     firsts = materialise(rows.where("simhash IS NOT NULL").groupBy("simhash").agg(F.min("seq").alias("seq")), "firsts")
     pairs = dedup.near_pairs(firsts, 2)
     a, b = firsts.select(F.col("simhash").alias("a"), F.col("seq").alias("x")), firsts.select(F.col("simhash").alias("b"), F.col("seq").alias("y"))
@@ -260,7 +275,7 @@ def near_dup_members(spark: SparkSession, folder: str) -> DataFrame:
 
     With near_dup_pairs it gives every pair of segments: those of one value, and of two values all with all.
     """
-    made = dedup.with_simhash(read_table(spark, folder, "dedup_segments").select("seq", "text"), "text")
+    made = dedup.with_simhash(_texts(spark, folder, "dedup_segments").select("seq", "text"), "text")
     rows = materialise(made.where("simhash IS NOT NULL").select("seq", "simhash"), "simhash")
     values = materialise(rows.groupBy("simhash").agg(F.min("seq").alias("first_seq"), F.count("*").alias("n")), "values")
     pairs = materialise(dedup.near_pairs(values, 2).select("a", "b"), "near")
@@ -272,7 +287,13 @@ def near_dup_members(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def near_dup_greedy(spark: SparkSession, folder: str) -> DataFrame:
     """What first-come-first-kept deduplication makes of every clean segment."""
-    return dedup.deduplicate(read_table(spark, folder, "clean_segments"), "seq", "text", "norm_hash", materialise)
+    return dedup.deduplicate(_texts(spark, folder, "clean_segments"), "seq", "text", "norm_hash", materialise)
+
+
+@query()
+def near_dup_constant(spark: SparkSession, folder: str) -> DataFrame:
+    """First-come-first-kept by nearness alone, three bits for texts of any length."""
+    return dedup.greedy_constant(_texts(spark, folder, "dedup_segments"), "seq", "text", 3, materialise)
 
 
 @query()
@@ -294,12 +315,12 @@ def toxic_filter_by_label(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    "SELECT l.seq, l.id, coalesce(t.toxicity_label, l.toxicity_label) AS toxicity_label, coalesce(t.toxicity_score, l.toxicity_score) AS toxicity_score "
-    "FROM llm_segments l JOIN toxicity_segments t USING (id)"
+    f"WITH {_LATEST} SELECT l.seq, l.id, coalesce(t.toxicity_label, l.toxicity_label) AS toxicity_label, coalesce({_known('t')}, {_known('l')}) AS toxicity_score "
+    "FROM llm_segments l JOIN latest t USING (id)"
 )
 def toxicity_join_coalesce(spark: SparkSession, folder: str) -> DataFrame:
     scored = read_table(spark, folder, "llm_segments").select("seq", "id", "toxicity_label", "toxicity_score")
-    return membership.scored_join(scored, read_table(spark, folder, "toxicity_segments"), "id", ("toxicity_label", "toxicity_score"))
+    return membership.scored_join(scored, read_table(spark, folder, "toxicity_segments"), "id", ("toxicity_label", "toxicity_score"), "seq")
 
 
 _PENDING = "toxicity_label <> 1 AND coalesce(gemini_skipped, 0) = 0 AND NOT EXISTS (SELECT 1 FROM llm_segments l WHERE l.id = t.id)"
@@ -323,7 +344,7 @@ def pending_counts(spark: SparkSession, folder: str) -> DataFrame:
 )
 def incremental_new_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Messages not yet logged for one output table, each hash once."""
-    rows = resolved(read_table(spark, folder, "raw_messages"), "seq").select("seq", "row_hash")
+    rows = resolved(_texts(spark, folder, "raw_messages"), "seq").select("seq", "row_hash")
     return membership.unseen(rows, read_table(spark, folder, "ingest_log"), "row_hash", "seq", {"dataset": "wall_messages:clean_trial"})
 
 
@@ -345,16 +366,16 @@ def export_log_new_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"WITH {_labels_sql('any')}, f AS (SELECT seq, l IS NOT NULL AS any_valid FROM labelled), g AS ({'WITH ' + _labels_sql('flat')} SELECT seq, l IS NOT NULL AS flat_valid FROM labelled) SELECT seq, flat_valid, any_valid FROM f JOIN g USING (seq)")
 def label_parse_valid(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, folder, "llm_segments").select("seq", flat_labels("gemini_json").isNotNull().alias("flat_valid"), any_labels("gemini_json").isNotNull().alias("any_valid"))
+    return _texts(spark, folder, "llm_segments").select("seq", flat_labels("gemini_json").isNotNull().alias("flat_valid"), any_labels("gemini_json").isNotNull().alias("any_valid"))
 
 
 @query(f"WITH {_labels_sql('any')} SELECT seq, {', '.join(f'l.{f} AS {f}' for f in FIELDS)} FROM labelled WHERE l IS NOT NULL")
 def label_flatten(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, folder, "llm_segments").select("seq", any_labels("gemini_json").alias("l")).where("l IS NOT NULL").select("seq", "l.*")
+    return _texts(spark, folder, "llm_segments").select("seq", any_labels("gemini_json").alias("l")).where("l IS NOT NULL").select("seq", "l.*")
 
 
 def _candidates(spark: SparkSession, folder: str) -> DataFrame:
-    rows = selection.source_rows(read_table(spark, folder, "llm_segments"), "gemini_json", "toxicity_label", "gemini_skipped")
+    rows = selection.source_rows(_texts(spark, folder, "llm_segments"), "gemini_json", "toxicity_label", "gemini_skipped")
     return selection.candidates(rows, "id", "text", "gemini_json")
 
 
@@ -390,9 +411,9 @@ def export_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "toxicity_segments").where("toxicity_label <> 1").select("id", "text")
 
 
-_EXPORT = f"""{_labels_sql('any')},
-exported AS (SELECT p.seq, p.id, p.text, coalesce(t.toxicity_label, p.toxicity_label)::BIGINT AS toxicity_label, coalesce(t.toxicity_score, p.toxicity_score) AS toxicity_score, {', '.join(f'l.{f} AS {f}' for f in FIELDS)}
-    FROM labelled p JOIN toxicity_segments t USING (id)
+_EXPORT = f"""{_labels_sql('any')}, {_LATEST},
+exported AS (SELECT p.seq, p.id, p.text, coalesce(t.toxicity_label, p.toxicity_label)::BIGINT AS toxicity_label, coalesce({_known('t')}, {_known('p')}) AS toxicity_score, {', '.join(f'l.{f} AS {f}' for f in FIELDS)}
+    FROM {_last_sql('labelled')} p JOIN latest t USING (id)
     WHERE gemini_json IS NOT NULL AND gemini_json <> '' AND coalesce(t.toxicity_label, p.toxicity_label, 0) <> 1 AND coalesce(t.gemini_skipped, 0) = 0 AND l IS NOT NULL)"""
 
 
@@ -411,20 +432,16 @@ def _bytes_sql() -> str:
 
 
 @query(
-    f"""WITH {_EXPORT}, latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY seq ORDER BY toxicity_label, toxicity_score) AS k FROM exported) WHERE k = 1),
-    numbered AS (SELECT seq, {_bytes_sql()} AS bytes, (row_number() OVER (ORDER BY seq) - 1) // 100 AS batch FROM latest),
+    f"""WITH {_EXPORT},
+    numbered AS (SELECT seq, {_bytes_sql()} AS bytes, (row_number() OVER (ORDER BY seq) - 1) // 100 AS batch FROM exported),
     batches AS (SELECT batch, sum(bytes) AS bytes FROM numbered GROUP BY batch),
-    sums AS (SELECT batch, coalesce(sum(bytes) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b, lag(bytes) OVER (ORDER BY batch) AS p FROM batches),
-    marks AS (SELECT batch, CASE WHEN b = 0 THEN 0 WHEN b // 100000 > (b - p) // 100000 THEN 1 ELSE 0 END AS opens FROM sums),
-    parts AS (SELECT batch, CAST(sum(opens) OVER (ORDER BY batch) AS INTEGER) AS part FROM marks)
+    sums AS (SELECT batch, coalesce(sum(bytes) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // 100000 AS crossed FROM batches),
+    parts AS (SELECT batch, CAST(dense_rank() OVER (ORDER BY crossed) - 1 AS INTEGER) AS part FROM sums)
     SELECT seq, part FROM numbered JOIN parts USING (batch)"""
 )
 def part_assignment(spark: SparkSession, folder: str) -> DataFrame:
     """The file that each exported row goes to, for files of 100 kB and batches of 100 rows."""
-    rows = _exported(spark, folder)
-    first = rows.groupBy("seq").agg(F.min(F.struct("toxicity_label", "toxicity_score", *(c for c in export.COLUMNS if not c.startswith("toxicity")))).alias("r"))
-    rows = materialise(first.select("seq", *(F.col(f"r.{c}").alias(c) for c in export.COLUMNS)), "exported")
-    return export.part_numbers(rows, "seq", 100, 100_000, materialise)
+    return export.part_numbers(_exported(spark, folder), "seq", 100, 100_000, materialise)
 
 
 @query()

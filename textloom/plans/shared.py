@@ -2,8 +2,8 @@
 
 Every executor must be able to read an intermediate table after any other
 executor is lost, so such tables are written to the folder the cluster names in
-``spark.checkpoint.dir``. Only where that is unset (tests, a laptop) does the
-engine pick a folder of its own.
+``spark.checkpoint.dir``. Only where that is unset and the session runs on one
+machine (tests, a laptop) does the engine pick a folder of its own; on a cluster it is an error.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder of this session as a URI, without a trailing slash."""
     named = spark.conf.get(_KEY, None) or spark.sparkContext.getConf().get(_KEY, None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{_KEY} isn't set; on a cluster it must name a folder that all executors share")
         named = "file://" + os.path.join(tempfile.gettempdir(), f"textloom-{os.getuid()}")
     path = spark._jvm.org.apache.hadoop.fs.Path(named)
     uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
@@ -39,6 +41,15 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     return _expiring(df.sparkSession, path).read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in as many partitions as there are cores, if it has fewer: a scan of one small file would keep one core busy.
+
+    A table large enough to have a split for every core stays as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def temporary_folder(spark: SparkSession, tag: str) -> str:
     """A new name in the shared folder."""
     return f"{shared_dir(spark)}/textloom/{tag}-{uuid.uuid4().hex}"
