@@ -11,53 +11,49 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 BITS = 64
 
 
-class _TokenBits(dict):
-    """Tokens to the rows of a table of bits."""
+#: Token occurrences whose bits are summed at once.
+AT_ONCE = 200_000
 
-    def __init__(self):
-        super().__init__()
-        self.rows: list[np.ndarray] = []
 
-    def __missing__(self, token: str) -> int:
-        low = hashlib.md5(token.encode("utf-8", "surrogatepass")).digest()[8:]
-        self.rows.append(np.unpackbits(np.frombuffer(low, np.uint8)))
-        self[token] = len(self.rows) - 1
-        return self[token]
-
-
-def simhash_lists(lists: list) -> np.ndarray:
-    """The SimHash of each list of tokens as a signed 64-bit number."""
-    table = _TokenBits()
-    sizes = np.array([len(x) for x in lists], np.int64)
-    ids = np.array([table[t] for x in lists for t in x], np.int64)
-    out = np.zeros(len(lists), np.int64)
+def simhash_lists(lists: pa.ListArray) -> np.ndarray:
+    """The SimHash of each list of tokens as a signed 64-bit number; 0 for an empty or null list."""
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+    out = np.zeros(len(sizes), np.int64)
     filled = np.flatnonzero(sizes)
-    if len(ids):
-        bits = np.stack(table.rows)
-        starts = np.concatenate([[0], np.cumsum(sizes[filled])[:-1]])
-        for lo in range(0, len(filled), 2_000):
-            hi = min(lo + 2_000, len(filled))
-            first, last = starts[lo], starts[hi] if hi < len(starts) else len(ids)
-            ones = np.add.reduceat(bits[ids[first:last]].astype(np.int32), starts[lo:hi] - first, axis=0)
-            set_ = ones * 2 > sizes[filled[lo:hi], None]
-            out[filled[lo:hi]] = np.packbits(set_, axis=1).view(">i8").ravel().astype(np.int64)
+    if not len(filled):
+        return out
+    # Each distinct token of the batch is hashed once.
+    tokens = lists.flatten().dictionary_encode()
+    low = b"".join(hashlib.md5(t.as_py().encode("utf-8", "surrogatepass")).digest()[8:] for t in tokens.dictionary)
+    bits = np.unpackbits(np.frombuffer(low, np.uint8).reshape(-1, 8), axis=1)
+    ids = tokens.indices.to_numpy()
+    ends = np.cumsum(sizes[filled])
+    at = 0
+    while at < len(filled):
+        first = ends[at] - sizes[filled[at]]
+        to = max(at + 1, int(np.searchsorted(ends, first + AT_ONCE, side="right")))
+        starts = ends[at:to] - sizes[filled[at:to]] - first
+        ones = np.add.reduceat(bits[ids[first : ends[to - 1]]], starts, axis=0, dtype=np.int32)
+        out[filled[at:to]] = np.packbits(ones * 2 > sizes[filled[at:to], None], axis=1).view(">i8").ravel().astype(np.int64)
+        at = to
     return out
 
 
 def simhash(tokens: Column | str) -> Column:
     """The SimHash of an array of tokens; null for null."""
 
-    @F.pandas_udf("bigint")
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("bigint")
+    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in parts:
-            yield pd.Series(simhash_lists([() if t is None else t for t in part]))
+            yield pa.array(simhash_lists(part))
 
     column = F.col(tokens) if isinstance(tokens, str) else tokens
     return F.when(column.isNotNull(), run(column))

@@ -418,7 +418,7 @@ exported AS (SELECT p.seq, p.id, p.text, coalesce(t.toxicity_label, p.toxicity_l
 
 
 def _exported(spark: SparkSession, folder: str) -> DataFrame:
-    return export.flattened(export.exportable(read_table(spark, folder, "llm_segments"), read_table(spark, folder, "toxicity_segments"), "gemini_json", "gemini_skipped"))
+    return export.flattened(export.exportable(_texts(spark, folder, "llm_segments"), read_table(spark, folder, "toxicity_segments"), "gemini_json", "gemini_skipped"))
 
 
 @query(f"WITH {_EXPORT} SELECT * FROM exported")
@@ -441,7 +441,7 @@ def _bytes_sql() -> str:
 )
 def part_assignment(spark: SparkSession, folder: str) -> DataFrame:
     """The file that each exported row goes to, for files of 100 kB and batches of 100 rows."""
-    return export.part_numbers(_exported(spark, folder), "seq", 100, 100_000, materialise)
+    return export.part_numbers(materialise(_exported(spark, folder), "exported"), "seq", 100, 100_000, materialise)
 
 
 @query()
