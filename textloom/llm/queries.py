@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.plans.shared import expire, materialise, temporary_folder
+from textloom.plans.shared import expire, materialise, spread, temporary_folder
 from textloom.sources.tables import read_table
 
 from . import history, language, leak, level, looks, neardup, split, tokenize, toxicity
@@ -57,18 +57,43 @@ def p2_forms(spark: SparkSession, folder: str) -> DataFrame:
     return forms.select(F.col("key").alias("seq"), F.col("form").alias("text"))
 
 
+def _history(spark: SparkSession, folder: str) -> tuple[history.FingerprintStore, history.KeyLog]:
+    """The store of accepted texts and the log of row hashes.
+
+    With ``textloom.history`` set in the session they stand in that folder from one run to the
+    next, and only batches that aren't there yet are added. Without it they are made of
+    dedup_segments and ingest_log in the shared folder, and removed with the session.
+    """
+    at = spark.conf.get("textloom.history", None)
+    if at is None:
+        at = temporary_folder(spark, "history")
+        expire(spark, at)
+    log = history.KeyLog(spark, f"{at}/log")
+    log.add(read_table(spark, folder, "ingest_log"), "row_hash", 0)
+    if history.FingerprintStore.there(spark, f"{at}/texts"):
+        return history.FingerprintStore(spark, f"{at}/texts"), log
+    accepted = history.text_sets(spread(read_table(spark, folder, "dedup_segments").select("seq", "text")), "seq", "text").select("class", "words")
+    return history.FingerprintStore.create(materialise(accepted, "accepted"), f"{at}/texts"), log
+
+
 def _incoming_checked(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Incoming rows, and the (batch_no, seq) of those known by row hash, from history, and from earlier incoming rows."""
+    """Incoming rows, and the (batch_no, seq) of those known by row hash, from the store, and from an earlier row of their batch.
+
+    Batch by batch: its rows are looked up, and then added, so the next batch meets them in the store.
+    """
     rows = read_table(spark, folder, "incoming_segments").withColumn("place", F.struct("batch_no", "seq"))
-    logged = rows.join(read_table(spark, folder, "ingest_log").select("row_hash").distinct(), "row_hash", "left_semi").select("place")
-    accepted = history.text_sets(read_table(spark, folder, "dedup_segments"), "seq", "text").select("class", "words")
-    store = history.FingerprintStore.create(accepted, temporary_folder(spark, "store"))
-    expire(spark, store.folder)
-    sets = materialise(history.text_sets(rows, "place", "text"), "incoming")
-    stored = history.known_in_history(sets, store).withColumnRenamed("key", "place")
-    within = neardup.class_links(sets.where(F.size("words") > 0).select("class", F.transform("words", lambda w: F.xxhash64(w)).alias("words")))
-    earlier = history.known_in_batch(sets.withColumn("place", F.col("key")), within).withColumnRenamed("key", "place")
-    return rows, logged, stored, earlier
+    store, log = _history(spark, folder)
+    logged = rows.join(log.known(rows, "row_hash").withColumnRenamed("key", "row_hash"), "row_hash", "left_semi").select("place")
+    stored = earlier = None
+    # A row without a batch number is of no batch: it is checked last, and not added. Generation 0 is what was there before.
+    for r in rows.select("batch_no").distinct().orderBy(F.col("batch_no").asc_nulls_last()).collect():
+        batch = rows.where(F.col("batch_no").eqNullSafe(F.lit(r.batch_no)))
+        number = None if r.batch_no is None else r.batch_no + 1
+        found = history.check_and_add(store, history.text_sets(batch, "place", "text"), number, materialise)
+        found = [f.withColumnRenamed("key", "place") for f in found]
+        stored, earlier = found if stored is None else (stored.unionByName(found[0]), earlier.unionByName(found[1]))
+    none = rows.select("place").limit(0)
+    return rows, logged, none if stored is None else stored, none if earlier is None else earlier
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -80,7 +105,7 @@ def p3_status(spark: SparkSession, folder: str) -> DataFrame:
     """Whether each incoming row is new, and if not, by what it is known."""
     rows, *known = _incoming_checked(spark, folder)
     marks = None
-    for name, places in zip(("row_hash", "history", "earlier"), known):
+    for name, places in zip(("row_hash", "store", "batch"), known):
         part = places.distinct().select("place", F.lit(name).alias("by"))
         marks = part if marks is None else marks.unionByName(part)
     marks = marks.groupBy("place").agg(F.array_sort(F.collect_set("by")).alias("known_by"))
