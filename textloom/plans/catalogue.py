@@ -1,7 +1,7 @@
 """The queries of the curation operators, each over its whole tables, and the SQL that gives the same rows.
 
-Queries without SQL need a hash that SQL engines lack, or decide row by row in order;
-they are tested against plain implementations instead.
+Queries without SQL need a hash that SQL engines lack; they are tested against plain
+implementations instead.
 """
 
 from __future__ import annotations
@@ -120,6 +120,49 @@ def _selection_sql(limit: int, share: float, keep: bool) -> str:
     WHERE bucket_rank <= most AND place <= {limit}"""
 
 
+def _greedy_sql(table: str, near: str, norms: bool) -> str:
+    """First come, first kept, row by row in order: a row with a kept earlier neighbour goes. Only rows that have neighbours are gone through."""
+    same = f"UNION SELECT a.seq, b.seq FROM {table} a JOIN {table} b ON a.norm_hash = b.norm_hash AND a.seq < b.seq" if norms else ""
+    exact = "WHEN list_has_any(kept.seqs, same.before) THEN 'exact_dup'" if norms else ""
+    return f"""WITH RECURSIVE {_simhash_sql(table)},
+    hashed AS MATERIALIZED (SELECT s.*, len({_LOWER_WORDS}) AS n_tokens FROM simhashes s JOIN {table} USING (seq)),
+    edges AS MATERIALIZED (SELECT a.seq AS earlier, b.seq AS later FROM hashed a JOIN hashed b
+        ON a.seq < b.seq AND bit_count(xor(a.simhash_hi, b.simhash_hi)) + bit_count(xor(a.simhash_lo, b.simhash_lo)) <= {near} {same}),
+    queue AS MATERIALIZED (SELECT seq, list(earlier) FILTER (earlier IS NOT NULL) AS before, row_number() OVER (ORDER BY seq) AS k FROM (
+        SELECT later AS seq, earlier FROM edges UNION SELECT earlier, NULL FROM edges) GROUP BY seq),
+    walk AS (SELECT CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS seqs UNION ALL
+        SELECT q.k, CASE WHEN coalesce(list_has_any(w.seqs, q.before), false) THEN w.seqs ELSE list_append(w.seqs, q.seq) END FROM walk w JOIN queue q ON q.k = w.k + 1),
+    kept AS (SELECT seqs FROM walk ORDER BY k DESC LIMIT 1),
+    same AS (SELECT b.seq, list(a.seq) AS before FROM {table} a JOIN {table} b ON {'a.norm_hash = b.norm_hash AND a.seq < b.seq' if norms else 'false'} GROUP BY b.seq)
+    SELECT t.seq, CASE WHEN q.seq IS NULL OR list_contains(kept.seqs, t.seq) THEN 'kept' {exact} ELSE 'near_dup' END AS status
+    FROM {table} t CROSS JOIN kept LEFT JOIN queue q USING (seq) LEFT JOIN same USING (seq)"""
+
+
+_PENDING = "toxicity_label <> 1 AND coalesce(gemini_skipped, 0) = 0 AND NOT EXISTS (SELECT 1 FROM llm_segments l WHERE l.id = t.id)"
+_SENTENCES = rf"list_filter(list_transform(string_split(regexp_replace(text, '([.!?…])[{T.WHITE}]+', '\1' || chr(1), 'g'), chr(1)), lambda x: {_strip_sql('x')}), lambda x: x <> '')"
+_PACK = rf"""WITH RECURSIVE texts AS MATERIALIZED (SELECT seq, text, len({_LOWER_WORDS}) <= 50 AND length(text) <= 500 AS fits, {_SENTENCES} AS s FROM clean_segments WHERE text IS NOT NULL),
+    sentences AS MATERIALIZED (SELECT seq, k, text, len({_LOWER_WORDS}) AS n, {_LOWER_WORDS} AS tokens FROM (
+        SELECT seq, unnest(s) AS text, generate_subscripts(s, 1) AS k FROM texts WHERE NOT fits)),
+    big AS MATERIALIZED (SELECT seq, k, tokens FROM sentences WHERE n > 50 OR length(text) > 500),
+    runs AS (SELECT seq, k, CAST(0 AS BIGINT) AS i, '' AS run, 0 AS n, CAST([] AS VARCHAR[]) AS out FROM big UNION ALL
+        SELECT seq, k, i, CASE WHEN ends THEN '' ELSE longer END, CASE WHEN ends THEN 0 ELSE n END, CASE WHEN ends THEN list_append(out, longer) ELSE out END FROM (
+            SELECT seq, k, i, n, out, longer, n >= 50 OR length(longer) >= 500 AS ends FROM (
+                SELECT r.seq, r.k, r.i + 1 AS i, r.n + 1 AS n, r.out, CASE WHEN r.n = 0 THEN b.tokens[r.i + 1] ELSE r.run || ' ' || b.tokens[r.i + 1] END AS longer
+                FROM runs r JOIN big b USING (seq, k) WHERE r.i < len(b.tokens)))),
+    chunks AS MATERIALIZED (SELECT r.seq, r.k, CASE WHEN r.n > 0 THEN list_append(r.out, r.run) ELSE r.out END AS parts FROM runs r JOIN big b USING (seq, k) WHERE r.i = len(b.tokens)),
+    fold AS (SELECT seq, CAST(0 AS BIGINT) AS k, '' AS held, CAST(0 AS BIGINT) AS n, CAST([] AS VARCHAR[]) AS out FROM texts WHERE NOT fits UNION ALL
+        SELECT f.seq, s.k,
+            CASE WHEN f.n + s.n <= 50 AND length(f.held) + (f.held <> '')::INT + length(s.text) <= 500 THEN CASE WHEN f.held = '' THEN s.text ELSE f.held || ' ' || s.text END
+                WHEN c.parts IS NULL THEN s.text ELSE '' END,
+            CASE WHEN f.n + s.n <= 50 AND length(f.held) + (f.held <> '')::INT + length(s.text) <= 500 THEN f.n + s.n WHEN c.parts IS NULL THEN s.n ELSE 0 END,
+            CASE WHEN f.n + s.n <= 50 AND length(f.held) + (f.held <> '')::INT + length(s.text) <= 500 THEN f.out
+                ELSE list_concat(CASE WHEN f.held = '' THEN f.out ELSE list_append(f.out, {_strip_sql('f.held')}) END, coalesce(c.parts, [])) END
+        FROM fold f JOIN sentences s ON s.seq = f.seq AND s.k = f.k + 1 LEFT JOIN chunks c ON c.seq = s.seq AND c.k = s.k),
+    packed AS (SELECT f.seq, list_filter(CASE WHEN f.held = '' THEN f.out ELSE list_append(f.out, {_strip_sql('f.held')}) END, lambda x: x <> '') AS parts FROM fold f JOIN texts t USING (seq) WHERE f.k = len(t.s)
+        UNION ALL SELECT seq, list_filter([{_strip_sql('text')}], lambda x: x <> '') FROM texts WHERE fits)
+    SELECT seq, CAST(segment_no - 1 AS INTEGER) AS segment_no, segment FROM (SELECT seq, unnest(parts) AS segment, generate_subscripts(parts, 1) AS segment_no FROM packed)"""
+
+
 def _last_sql(table: str) -> str:
     return f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS place FROM {table} WHERE id IS NOT NULL) WHERE place = 1)"
 
@@ -202,6 +245,13 @@ def sentence_split(spark: SparkSession, folder: str) -> DataFrame:
     return parts.withColumn("sentence_no", F.col("sentence_no").cast("bigint"))
 
 
+@query(_PACK)
+def segment_pack(spark: SparkSession, folder: str) -> DataFrame:
+    """The segments that packing makes of every clean text: whole sentences up to the limits, oversized ones in word runs."""
+    rows = _texts(spark, folder, "clean_segments").select("seq", F.posexplode(segment.segments_of("text")).alias("segment_no", "segment"))
+    return rows.select("seq", "segment_no", "segment")
+
+
 @query()
 def anonymised_messages(spark: SparkSession, folder: str) -> DataFrame:
     """Every raw message with contacts hidden and name placeholders filled."""
@@ -233,7 +283,15 @@ def exact_dedup_first(spark: SparkSession, folder: str) -> DataFrame:
     return firstwins.keep_first(_texts(spark, folder, "clean_segments").select("seq", "id", "norm_hash"), "norm_hash", "seq").select("seq", "id")
 
 
-@query()
+@query(
+    """WITH RECURSIVE marked AS MATERIALIZED (SELECT seq, id, norm_hash, (id IS NOT NULL AND count(*) OVER (PARTITION BY id) > 1) OR (norm_hash IS NOT NULL AND count(*) OVER (PARTITION BY norm_hash) > 1) AS contested
+        FROM toxicity_segments WHERE seq IS NOT NULL),
+    queue AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY seq) AS k FROM marked WHERE contested),
+    walk AS (SELECT CAST(0 AS BIGINT) AS k, CAST([] AS VARCHAR[]) AS ids, CAST([] AS VARCHAR[]) AS hashes, CAST(NULL AS BIGINT) AS kept UNION ALL
+        SELECT k, CASE WHEN free THEN list_append(ids, id) ELSE ids END, CASE WHEN free THEN list_append(hashes, norm_hash) ELSE hashes END, CASE WHEN free THEN seq END FROM (
+            SELECT q.*, w.ids, w.hashes, NOT coalesce(list_contains(w.ids, q.id), false) AND NOT coalesce(list_contains(w.hashes, q.norm_hash), false) AS free FROM walk w JOIN queue q ON q.k = w.k + 1))
+    SELECT seq, id, norm_hash FROM marked WHERE NOT contested OR seq IN (SELECT kept FROM walk WHERE kept IS NOT NULL)"""
+)
 def two_key_first_wins(spark: SparkSession, folder: str) -> DataFrame:
     """Of the scored segments those an insert-or-ignore on id and on norm_hash would accept."""
     return firstwins.two_key_first(read_table(spark, folder, "toxicity_segments").select("seq", "id", "norm_hash"), "seq", "id", "norm_hash", materialise)
@@ -284,19 +342,19 @@ def near_dup_members(spark: SparkSession, folder: str) -> DataFrame:
     return rows.join(linked, "simhash").select("seq", "first_seq", "n_links")
 
 
-@query()
+@query(_greedy_sql("clean_segments", "CASE WHEN b.n_tokens <= 8 THEN 1 ELSE 2 END", True))
 def near_dup_greedy(spark: SparkSession, folder: str) -> DataFrame:
     """What first-come-first-kept deduplication makes of every clean segment."""
     return dedup.deduplicate(_texts(spark, folder, "clean_segments"), "seq", "text", "norm_hash", materialise)
 
 
-@query()
+@query(_greedy_sql("dedup_segments", "3", False))
 def near_dup_constant(spark: SparkSession, folder: str) -> DataFrame:
     """First-come-first-kept by nearness alone, three bits for texts of any length."""
     return dedup.greedy_constant(_texts(spark, folder, "dedup_segments"), "seq", "text", 3, materialise)
 
 
-@query()
+@query(f"SELECT status, count(*) AS n FROM ({_greedy_sql('clean_segments', 'CASE WHEN b.n_tokens <= 8 THEN 1 ELSE 2 END', True)}) GROUP BY status")
 def dedup_status_counts(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup_greedy(spark, folder).groupBy("status").agg(F.count("*").alias("n"))
 
@@ -323,9 +381,6 @@ def toxicity_join_coalesce(spark: SparkSession, folder: str) -> DataFrame:
     return membership.scored_join(scored, read_table(spark, folder, "toxicity_segments"), "id", ("toxicity_label", "toxicity_score"), "seq")
 
 
-_PENDING = "toxicity_label <> 1 AND coalesce(gemini_skipped, 0) = 0 AND NOT EXISTS (SELECT 1 FROM llm_segments l WHERE l.id = t.id)"
-
-
 @query(f"SELECT seq, id FROM toxicity_segments t WHERE {_PENDING}")
 def pending_anti_join(spark: SparkSession, folder: str) -> DataFrame:
     rows = read_table(spark, folder, "toxicity_segments").select("seq", "id", "toxicity_label", "gemini_skipped")
@@ -444,7 +499,11 @@ def part_assignment(spark: SparkSession, folder: str) -> DataFrame:
     return export.part_numbers(materialise(_exported(spark, folder), "exported"), "seq", 100, 100_000, materialise)
 
 
-@query()
+@query(
+    f"""WITH waiting AS (SELECT seq, id, text, (row_number() OVER (ORDER BY seq) - 1) // 64 AS batch_no FROM toxicity_segments t WHERE {_PENDING})
+    SELECT batch_no, CAST(count(*) AS INTEGER) AS n_items, 'Rate each text.' || chr(10) || to_json(struct_pack(task := 'scoring', items := list(struct_pack(id := coalesce(id, ''), text := coalesce(text, '')) ORDER BY seq)))::VARCHAR AS prompt
+    FROM waiting GROUP BY batch_no"""
+)
 def batch_prompts(spark: SparkSession, folder: str) -> DataFrame:
     """The prompts for all pending segments, 64 rows each in order of seq."""
     rows = read_table(spark, folder, "toxicity_segments").select("seq", "id", "text", "toxicity_label", "gemini_skipped")
@@ -464,10 +523,15 @@ def _offline_service():
     return call
 
 
-@query()
+@query(
+    rf"""WITH waiting AS (SELECT id, min(coalesce(text, '')) AS text FROM toxicity_segments t WHERE {_PENDING} GROUP BY id)
+    SELECT id, CASE WHEN length(text) % 29 = 0 THEN 'skipped' ELSE 'ok' END AS status,
+        CASE WHEN length(text) % 29 <> 0 THEN '{{"length": ' || length(text) || ', "words": ' || len(regexp_extract_all(text, '[^{T.SPACE}]+')) || '}}' END AS labels_json,
+        CASE WHEN length(text) % 29 = 0 THEN 'missing' END AS reason FROM waiting"""
+)
 def scorer_offline(spark: SparkSession, folder: str) -> DataFrame:
     """All pending segments through the request scheduler, with a service that answers at once."""
     rows = read_table(spark, folder, "toxicity_segments").select("seq", "id", "text", "toxicity_label", "gemini_skipped")
     waiting = membership.pending(rows, read_table(spark, folder, "llm_segments"), "id", "toxicity_label", "gemini_skipped")
     accounts = {f"account_{i}": [f"key_{i}"] for i in range(1, 5)}
-    return scoring.score_with_service(waiting.groupBy("id").agg(F.min("text").alias("text")), accounts, _offline_service, materialise, pause=False)
+    return scoring.score_with_service(waiting.groupBy("id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text")), accounts, _offline_service, materialise, pause=False)
