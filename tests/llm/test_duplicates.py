@@ -231,3 +231,19 @@ def test_a_store_lasts(spark, tmp_path):
         assert len(history.FingerprintStore(spark, f"file://{tmp_path}/kept/texts").generations()) == 4
     finally:
         spark.conf.unset("textloom.history")
+
+
+def test_a_hot_key_is_dealt_out(spark, monkeypatch):
+    """A third of the rows share their rarest words; their keys are joined in blocks, and nothing is lost."""
+    monkeypatch.setattr(neardup, "BLOCK", 20)
+    monkeypatch.setattr(neardup, "HELD", 50)
+    monkeypatch.setattr(neardup, "PAIR_BLOCK", 7)
+    rng = random.Random(9)
+    texts = ["бу бер дә " + " ".join(rng.choice("абвгдеж") for _ in range(rng.randrange(1, 4))) for _ in range(150)] + corpus(4, 300)
+    df = spark.createDataFrame(list(enumerate(texts)), "seq long, text string")
+    met = []
+    keep = lambda d, tag: met.append((tag, materialise(d, tag))) or met[-1][1]
+    found = [(r.key_a, r.key_b) for r in neardup.like_pairs(df, "seq", "text", keep).collect()]
+    want = {(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if alike(texts[i], texts[j])}
+    assert len(found) == len(set(found)) and set(found) == want
+    assert dict(met)["met"].where("id_b IS NULL").count() > 20

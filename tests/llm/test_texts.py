@@ -261,14 +261,14 @@ def test_leaks_in_spark(spark):
     rows = [(1, f"башы {passage} ахыры"), (2, None), (3, ""), (4, "бер ике өч дүрт биш алты җиде сигез тугыз"), (5, f"сүз {noisy} сүз"), (1, passage)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("item_id", F.lit("clash"))
     items = spark.createDataFrame([(7, passage), (8, None), (9, ""), (10, "кыска"), (11, passage + " тагын")], "item_id long, text string")
-    got = leak.find_leaks(docs, "doc_id", "text", items, "item_id", "text").collect()
+    got = leak.find_leaks(docs, "doc_id", "text", items, "item_id", "text", materialise).collect()
     assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 7), (1, 7), (1, 11), (1, 11), (5, 7), (5, 11)]
     first = next(r for r in got if r.doc_id == 1 and r.doc_words == 13)
     assert rows[0][1][first.char_start : first.char_end] == passage
-    cleaned = by_key(leak.without_leaks(docs.where("doc_id > 1"), "doc_id", "text", leak.find_leaks(docs.where("doc_id > 1"), "doc_id", "text", items, "item_id", "text"), max_coverage=0.9), "doc_id", "text", "leak_action")
+    cleaned = by_key(leak.without_leaks(docs.where("doc_id > 1"), "doc_id", "text", leak.find_leaks(docs.where("doc_id > 1"), "doc_id", "text", items, "item_id", "text", materialise), max_coverage=0.9), "doc_id", "text", "leak_action")
     assert cleaned[5] == ("сүз  сүз", "cut") and cleaned[2] == (None, "kept") and cleaned[4][1] == "kept"
-    assert leak.find_leaks(docs, "doc_id", "text", items.limit(0), "item_id", "text").count() == 0
-    assert leak.find_leaks(docs.limit(0), "doc_id", "text", items, "item_id", "text").count() == 0
+    assert leak.find_leaks(docs, "doc_id", "text", items.limit(0), "item_id", "text", materialise).count() == 0
+    assert leak.find_leaks(docs.limit(0), "doc_id", "text", items, "item_id", "text", materialise).count() == 0
 
 
 def plain_runs(words, items, least):
@@ -298,13 +298,13 @@ def test_every_leaked_passage_goes(spark):
     rest = [" ".join(f"{at}х{n}" for n in range(15)) for at in "абвг"]
     rows = [(1, f"{rest[0]} {one} {rest[1]} {two} {rest[2]} {one} {rest[3]}"), (2, f"{rest[0]} {one} башка {two}")]
     docs, items = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
-    leaks = leak.find_leaks(docs, "doc_id", "text", items, "item_id", "text")
+    leaks = leak.find_leaks(docs, "doc_id", "text", items, "item_id", "text", materialise)
     got = sorted((r.doc_id, r.first_word, r.n_words, r.item_covered, r.item_words) for r in leaks.collect())
     assert got == [(1, 15, 12, 24, 40), (1, 42, 12, 24, 40), (1, 69, 12, 24, 40), (2, 15, 12, 24, 40), (2, 28, 12, 24, 40)]
     cleaned = leak.without_leaks(docs, "doc_id", "text", leaks)
     assert by_key(cleaned, "doc_id", "text", "leak_action") == {1: ("  ".join(rest), "cut"), 2: (None, "dropped")}
-    assert leak.find_leaks(cleaned, "doc_id", "text", items, "item_id", "text").count() == 0
-    once = leak.find_leaks(docs, "doc_id", "text", items, "item_id", "text", longest=True).collect()
+    assert leak.find_leaks(cleaned, "doc_id", "text", items, "item_id", "text", materialise).count() == 0
+    once = leak.find_leaks(docs, "doc_id", "text", items, "item_id", "text", materialise, longest=True).collect()
     assert sorted((r.doc_id, r.item_id, r.first_word) for r in once) == [(1, 7, 15), (2, 7, 15)]
 
 
@@ -348,3 +348,42 @@ def test_one_odd_sentence_moves_nothing(spark):
     docs = spark.createDataFrame([(1, easy.text), (2, f"{easy.text} {hard}.")], "k long, t string")
     got = by_key(level.grade_texts(docs, "k", "t", graded, "text", "level"), "k", "level")
     assert got == {1: 1, 2: 1}
+
+
+def test_shards_of_items(spark, monkeypatch):
+    """Items in many automata, one after another, give the rows of one automaton; rows of one id stay together."""
+    rng = random.Random(3)
+    items = [(i // 2, " ".join(f"w{rng.randrange(300)}" for _ in range(20))) for i in range(24)]
+    docs = [(d, " ".join(" ".join(rng.choice(items)[1].split()[rng.randrange(6) :]) for _ in range(3))) for d in range(40)]
+    frames = [spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([*items, (None, items[0][1])], "item_id long, text string")]
+    whole = {tuple(r) for r in leak.find_leaks(frames[0], "doc_id", "text", frames[1], "item_id", "text", materialise, longest=True).collect()}
+    monkeypatch.setattr(leak, "SHARD_CHARS", 200)
+    assert len(list(leak._shards(items))) == 12
+    rows = [tuple(r) for r in leak.find_leaks(frames[0], "doc_id", "text", frames[1], "item_id", "text", materialise, longest=True).collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == whole and len({r[:2] for r in rows}) == len(rows)
+
+
+def test_kinds_of_abuse():
+    """Kinds go by whole beginnings of words, and the links agree on sentences they weren't fitted on."""
+    cues = {
+        "you are an idiot": "insult", "everybody here is a moron": "insult", "your mother is ugly": "insult", "i will find you and break your legs": "threat", "send naked photos": "sexual",
+        "they are not people": "incitement", "ты полный кретин": "insult", "скинь голые фото": "sexual", "они не люди, их надо уничтожить": "incitement", "сен нағыз ақымақсың": "insult",
+    }
+    assert {s: toxicity.kind_by_cue(toxicity.sentence_words(s)[0]) for s in cues} == cues
+
+
+def test_chain_kinds(spark):
+    from textloom.llm.queries import _toxicity_chain
+
+    chain = _toxicity_chain(spark, "/root/testdata/sf0.1")
+    wanted = {"кичкә аякларыңны сындырам": "threat", "ялангач фотоңны җибәр": "sexual", "алар кеше түгел, аларны бетерергә кирәк": "incitement", "син ахмак": "insult", "you are an idiot": "insult", "я тебя найду и убью": "threat", "hang yourself": "threat"}
+    scores = toxicity.score_segments(list(wanted), chain, toxicity.Features())
+    assert [chain.names[k] for k in scores[:, :4].argmax(1)] == list(wanted.values()) and (scores[:, -1] >= toxicity.THRESHOLD).all()
+
+
+def test_ligatures_and_members(spark):
+    assert looks.settle("ﬁne ﬂow oﬃce") == "fine flow office"
+    texts = ["салам дус", "caлам дус", "салам дус", "башка", None, "салам\u200b дус"]
+    df = spark.createDataFrame(list(enumerate(texts)), "seq long, text string")
+    got = {r.key: (r.first, r.n_rows, r.n_texts, r.n_links) for r in looks.same_look_members(df, "seq", "text", materialise).collect()}
+    assert got == {0: (0, 4, 3, 2), 1: (0, 4, 3, 3), 2: (0, 4, 3, 2), 3: (3, 1, 1, 0), 5: (0, 4, 3, 3)}

@@ -16,10 +16,11 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .looks import LATIN, TO_CYRILLIC, TO_LATIN, settle
@@ -27,6 +28,8 @@ from .looks import LATIN, TO_CYRILLIC, TO_LATIN, settle
 LANGUAGES = ("tt", "ru", "en", "kk")
 #: A language with this share of the words counts towards a mixed text.
 MIXED_SHARE = 0.3
+#: A proportion below this is none: EM takes what a language doesn't have to nothing, but not to zero.
+LEAST_SHARE = 1e-3
 UNIT_WORDS = 5
 NGRAMS = (1, 2, 3, 4)
 #: Texts per language on which a model is fitted at most; a documented bound of the sample.
@@ -168,7 +171,7 @@ def _em(log: np.ndarray, weight: np.ndarray, starts: np.ndarray, owner: np.ndarr
 
 
 def mixture(log: np.ndarray, weight: np.ndarray, starts: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Shares under the language set of the best penalised likelihood, and the confidence in its leading languages.
+    """The EM proportions under the language set of the best penalised likelihood, and the confidence in its leading languages.
 
     The sets compared are nested: the largest one, two, ... and at last all languages
     of an unrestricted EM. The confidence is the mean posterior of the clauses' best language.
@@ -191,10 +194,8 @@ def mixture(log: np.ndarray, weight: np.ndarray, starts: np.ndarray, owner: np.n
     posterior = np.exp(log) * best[owner]
     posterior /= np.maximum(posterior.sum(1, keepdims=True), 1e-300)
     sure = np.add.reduceat(posterior.max(1) * weight, starts) / np.add.reduceat(weight, starts)
-    # The share counts words of clauses given to their likeliest language.
-    hard = np.zeros_like(posterior)
-    hard[np.arange(len(posterior)), posterior.argmax(1)] = weight
-    return np.add.reduceat(hard, starts, axis=0) / np.add.reduceat(weight, starts)[:, None], sure
+    best = np.where(best < LEAST_SHARE, 0.0, best)
+    return best / best.sum(1, keepdims=True), sure
 
 
 def fit(spark, labelled: DataFrame, lang: str, text: str) -> LanguageModels:
@@ -203,14 +204,11 @@ def fit(spark, labelled: DataFrame, lang: str, text: str) -> LanguageModels:
     Rows with a null text or another language are ignored. A language without texts
     keeps a flat model, which no text prefers.
     """
-    sample = (
-        labelled.select(F.lower(F.trim(lang)).alias("lang"), F.col(text).alias("text"))
-        .where(F.col("lang").isin(*LANGUAGES) & F.col("text").isNotNull())
-        .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")))
-        .where(F.col("place") <= MAX_FIT_TEXTS)
-        .select("lang", "text")
-    )
-    return LanguageModels([(r.lang, r.text) for r in sample.sort("lang", F.xxhash64("text"), "text").collect()])
+    known = labelled.select(F.lower(F.trim(lang)).alias("lang"), F.col(text).alias("text")).where(F.col("text").isNotNull())
+    # A sort with a limit keeps the least of every partition, so no task holds all rows of a language.
+    samples = [known.where(F.col("lang") == k).orderBy(F.xxhash64("text"), "text").limit(MAX_FIT_TEXTS) for k in LANGUAGES]
+    rows = reduce(DataFrame.unionByName, samples).collect()
+    return LanguageModels([(r.lang, r.text) for r in sorted(rows, key=lambda r: (r.lang, r.text))])
 
 
 def document_language(shares: np.ndarray) -> list[str | None]:

@@ -13,8 +13,11 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
+from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +26,9 @@ from .looks import INVISIBLE, TO_CYRILLIC
 
 MIN_WORDS = 10
 #: Code points of items in one automaton; more items make more passes over the corpus, not a larger broadcast.
-SHARD_CHARS = 4_000_000
+SHARD_CHARS = 2_000_000
+# What stands for the one word that leads on from a state if there is none, or if there are several.
+NOWHERE, FORKED = -1, -2
 
 _DROP = re.compile(f"[{INVISIBLE}\u200c\u200d\ufe00-\ufe0f\u0300-\u0305\u0307\u0309-\u036f]")
 _WORD = re.compile(r"[^\W_]+")
@@ -59,60 +64,86 @@ def word_spans(text: str) -> list[tuple[int, int]]:
 
 
 class ItemAutomaton:
-    """A generalised suffix automaton of word sequences, with the items of every state."""
+    """A generalised suffix automaton of word sequences, with the items of every state that is long enough to be reported.
+
+    States are in arrays. Most states have one way on, which stands in two of them; only
+    states with several have a dictionary.
+    """
 
     def __init__(self, items: list[tuple[int, list[str]]], min_words: int = MIN_WORDS):
         self.min_words = min_words
         self.ids: dict[str, int] = {}
-        self.next: list[dict[int, int]] = [{}]
-        self.link, self.length = [-1], [0]
-        self.words: dict[int, list[list[str]]] = {}
-        for item, words in items:
-            self.words.setdefault(item, []).append(words)
-        self.members: list[set[int]] = [set()]
-        for item, words in items:
+        self.link, self.length = array("i"), array("i")
+        self.code, self.to, self.fork = array("i"), array("i"), {}
+        self._state(0)
+        coded = [(item, array("i", [self.ids.setdefault(w, len(self.ids)) for w in words])) for item, words in items]
+        for _, codes in coded:
             last = 0
-            for word in words:
-                last = self._extend(last, self.ids.setdefault(word, len(self.ids)))
+            for code in codes:
+                last = self._extend(last, code)
+        # The word sequences of each item, for coverage.
+        self.words: dict[int, list[array]] = {}
+        for item, codes in coded:
+            self.words.setdefault(item, []).append(codes)
         # An item belongs to the states of its prefixes and to all their suffix links.
-        for item, words in items:
+        seen, states, owners = array("i", [-1]) * len(self.link), array("i"), array("q")
+        for number, (item, codes) in enumerate(coded):
             state = 0
-            for word in words:
-                state = self.next[state][self.ids[word]]
-                up = state
-                while up > 0 and item not in self.members[up]:
-                    self.members[up].add(item)
+            for code in codes:
+                up = state = self.following(state, code)
+                while self.length[up] >= min_words and seen[up] != number:
+                    seen[up] = number
+                    states.append(up)
+                    owners.append(item)
                     up = self.link[up]
+        order = np.argsort(np.frombuffer(states, np.int32), kind="stable") if len(states) else np.zeros(0, np.int64)
+        self.members = array("q", np.frombuffer(owners, np.int64)[order].tobytes()) if len(states) else owners
+        counts = np.bincount(np.frombuffer(states, np.int32), minlength=len(self.link)) if len(states) else np.zeros(len(self.link), np.int64)
+        self.first_member = array("i", np.append(0, np.cumsum(counts)).astype(np.int32).tobytes())
+
+    def following(self, state: int, code: int) -> int:
+        """The state after one more word, or -1."""
+        return self.to[state] if self.code[state] == code else self.fork[state].get(code, -1) if self.code[state] == FORKED else -1
+
+    def _lead(self, state: int, code: int, to: int) -> None:
+        held = self.code[state]
+        if held == FORKED:
+            self.fork[state][code] = to
+        elif held in (NOWHERE, code):
+            self.code[state], self.to[state] = code, to
+        else:
+            self.fork[state] = {held: self.to[state], code: to}
+            self.code[state] = FORKED
 
     def _state(self, length: int, like: int | None = None) -> int:
-        self.next.append({} if like is None else dict(self.next[like]))
-        self.link.append(-1 if like is None else self.link[like])
+        new = len(self.link)
         self.length.append(length)
-        self.members.append(set())
-        return len(self.next) - 1
+        self.link.append(-1 if like is None else self.link[like])
+        self.code.append(NOWHERE if like is None else self.code[like])
+        self.to.append(-1 if like is None else self.to[like])
+        if like in self.fork:
+            self.fork[new] = dict(self.fork[like])
+        return new
 
     def _extend(self, last: int, word: int) -> int:
-        if word in self.next[last]:
-            known = self.next[last][word]
-            if self.length[known] == self.length[last] + 1:
-                return known
-            return self._split(last, known, word)
+        known = self.following(last, word)
+        if known >= 0:
+            return known if self.length[known] == self.length[last] + 1 else self._split(last, known, word)
         new, at = self._state(self.length[last] + 1), last
-        while at >= 0 and word not in self.next[at]:
-            self.next[at][word] = new
+        while at >= 0 and (known := self.following(at, word)) < 0:
+            self._lead(at, word, new)
             at = self.link[at]
         if at < 0:
             self.link[new] = 0
         else:
-            known = self.next[at][word]
             self.link[new] = known if self.length[known] == self.length[at] + 1 else self._split(at, known, word)
         return new
 
     def _split(self, at: int, known: int, word: int) -> int:
         copy = self._state(self.length[at] + 1, known)
         self.link[known] = copy
-        while at >= 0 and self.next[at].get(word) == known:
-            self.next[at][word] = copy
+        while at >= 0 and self.following(at, word) == known:
+            self._lead(at, word, copy)
             at = self.link[at]
         return copy
 
@@ -121,31 +152,34 @@ class ItemAutomaton:
         out: list[tuple[int, int, int]] = []
         begun: dict[int, int] = {}  # item: first word of its run that ends at the word before
         state = length = 0
-        ids, following, link, lengths, least = self.ids, self.next, self.link, self.length, self.min_words
-        for at, word in enumerate(words):
-            code = ids.get(word)
+        codes, tos, fork, link, lengths, least = self.code, self.to, self.fork, self.link, self.length, self.min_words
+        members, first_member = self.members, self.first_member
+        for at, code in enumerate(map(self.ids.get, words)):
             if code is None:
                 state = length = 0
             else:
-                while state and code not in following[state]:
+                while True:
+                    held = codes[state]
+                    got = tos[state] if held == code else fork[state].get(code, -1) if held == FORKED else -1
+                    if got >= 0:
+                        state, length = got, length + 1
+                        break
+                    if not state:
+                        length = 0
+                        break
                     state = link[state]
                     length = lengths[state]
-                got = following[state].get(code)
-                if got is None:
-                    length = 0
-                else:
-                    state, length = got, length + 1
+            if length < least and not begun:
+                continue
             here: dict[int, int] = {}
             if length >= least:
                 # Longer runs belong to the state itself, shorter ones to more items further up.
                 up, run = state, length
-                while True:
-                    for item in self.members[up]:
+                while run >= least:
+                    for item in members[first_member[up] : first_member[up + 1]]:
                         here.setdefault(item, at - run + 1)
                     up = link[up]
                     run = lengths[up]
-                    if run < least:
-                        break
             if begun:
                 out += [(item, first, at - first) for item, first in begun.items() if here.get(item) != first]
             begun = here
@@ -159,9 +193,10 @@ class ItemAutomaton:
     def covered(self, item: int, passages: list[list[str]]) -> tuple[int, int]:
         """How many words of an item stand in the passages, wherever the item has them, and how many it has; of rows with one id the one covered most."""
         best = (0, 1)
+        coded = [array("i", [self.ids[w] for w in p]) for p in passages]
         for words in self.words[item]:
             seen: set[int] = set()
-            for passage in passages:
+            for passage in coded:
                 for at in range(len(words) - len(passage) + 1):
                     if words[at] == passage[0] and words[at : at + len(passage)] == passage:
                         seen.update(range(at, at + len(passage)))
@@ -178,11 +213,11 @@ def _longest(runs: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     return [(item, first, run) for item, (first, run) in sorted(best.items())]
 
 
-def _shards(items: list[tuple[int, str]]) -> Iterator[list[tuple[int, list[str]]]]:
-    """The items with their words, in lists of at most SHARD_CHARS code points (or one item)."""
+def _shards(items: Iterable[tuple[int, str]]) -> Iterator[list[tuple[int, list[str]]]]:
+    """The items, in order of id, with their words, in lists of at most SHARD_CHARS code points (or one id)."""
     shard, chars = [], 0
     for item, text in items:
-        if shard and chars + len(text) > SHARD_CHARS:
+        if shard and chars + len(text) > SHARD_CHARS and shard[-1][0] != item:
             yield shard
             shard, chars = [], 0
         shard.append((item, words_of(text)))
@@ -194,7 +229,7 @@ def _shards(items: list[tuple[int, str]]) -> Iterator[list[tuple[int, list[str]]
 RESULT = "item_id bigint, first_word int, n_words int, item_words int, item_covered int, doc_words int, char_start int, char_end int"
 
 
-def find_leaks(corpus: DataFrame, key: str, text: str, items: DataFrame, item_key: str, item_text: str, min_words: int = MIN_WORDS, longest: bool = False) -> DataFrame:
+def find_leaks(corpus: DataFrame, key: str, text: str, items: DataFrame, item_key: str, item_text: str, materialise, min_words: int = MIN_WORDS, longest: bool = False) -> DataFrame:
     """One row per document, item and run of at least ``min_words`` consecutive words that they share, each as long as it goes.
 
     Runs of one item may overlap, and the same passage counts wherever it stands.
@@ -203,19 +238,23 @@ def find_leaks(corpus: DataFrame, key: str, text: str, items: DataFrame, item_ke
     Columns: ``key``, item_id, first_word, n_words, item_words, item_covered (how many
     words of the item stand in any run of the document), doc_words, char_start,
     char_end (the span in the document's own text). Null and empty
-    texts match nothing, on either side; items shorter than ``min_words`` words
+    texts match nothing, on either side; an item without an id is left out; items shorter than ``min_words`` words
     cannot match; of items with one id each row counts by itself; repeated
     documents are reported each.
 
-    The items (a held-out set, far smaller than the corpus) are read to the driver
-    in order of id and put into automata of a bounded size; each automaton is one
-    pass over the corpus, without a shuffle.
+    Items stream through the driver in order of id, a shard of bounded size at a time;
+    each shard makes one automaton and one pass over the corpus, without a shuffle.
+    Where there are several shards, the rows of a pass are written before the next shard
+    is read, so that one automaton is alive at a time, in the driver and in the workers.
     """
-    held = [(r[0], r[1]) for r in items.where(F.col(item_text).isNotNull()).select(item_key, item_text).orderBy(item_key, item_text).toLocalIterator()]
     source = corpus.select(F.col(key).alias("key"), F.col(text).alias("text")).where("text IS NOT NULL")
     kind = source.schema["key"].dataType.simpleString()
-    result = None
-    for shard in _shards(held):
+    rows = items.where(F.col(item_key).isNotNull() & F.col(item_text).isNotNull()).select(item_key, item_text).orderBy(item_key, item_text)
+    done, part = [], None
+    for shard in _shards((r[0], r[1]) for r in rows.toLocalIterator()):
+        if part is not None:
+            done.append(materialise(part, "leaks"))
+            automaton.destroy()
         automaton = corpus.sparkSession.sparkContext.broadcast(ItemAutomaton(shard, min_words))
 
         def run(batches: Iterator[pa.RecordBatch], automaton=automaton) -> Iterator[pa.RecordBatch]:
@@ -245,10 +284,9 @@ def find_leaks(corpus: DataFrame, key: str, text: str, items: DataFrame, item_ke
                 )
 
         part = source.mapInArrow(run, f"key {kind}, {RESULT}")
-        result = part if result is None else result.unionByName(part)
-    if result is None:
-        result = corpus.sparkSession.createDataFrame([], f"key {kind}, {RESULT}")
-    return result.withColumnRenamed("key", key)
+    if part is None:
+        part = corpus.sparkSession.createDataFrame([], f"key {kind}, {RESULT}")
+    return reduce(DataFrame.unionByName, done, part).withColumnRenamed("key", key)
 
 
 def without_leaks(corpus: DataFrame, key: str, text: str, leaks: DataFrame, min_run: int = MIN_WORDS, max_coverage: float = 0.5) -> DataFrame:

@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .neardup import pairs_within
+
 # Letters of the two scripts with the same shape, Latin then Cyrillic.
 LATIN = "aceopxyijshəɵABCEHIJKMOPSTXYƏƟ"
 CYRILLIC = "асеорхуіјѕһәөАВСЕНІЈКМОРЅТХҮӘӨ"
@@ -30,6 +32,8 @@ SPACES = "\t\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u
 
 _SIMPLE = {ord(c): None for c in INVISIBLE} | {ord(c): " " for c in SPACES} | {c: chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)}
 _SIMPLE[0x2026] = "..."
+# Ligatures, which look like their letters.
+_SIMPLE |= {0xFB00: "ff", 0xFB01: "fi", 0xFB02: "fl", 0xFB03: "ffi", 0xFB04: "ffl", 0xFB05: "st", 0xFB06: "st"}
 # Joiners and variation selectors shape emoji; anywhere else they show nothing.
 _EMOJI = "[←-⯿〰〽㊗㊙\ufe0f\u200d\U0001f000-\U0001faff]"
 _JOINERS = re.compile(f"\u200c|(?<!{_EMOJI})\u200d|\u200d(?!{_EMOJI})|(?<![0-9#*])(?<!{_EMOJI})[\ufe00-\ufe0f]")
@@ -90,11 +94,11 @@ def apply_repairs(text: str, repairs: dict[str, str]) -> str:
 
 
 def _settle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Key, settled text and the doubtful words with their candidates, as word, newline, candidates."""
+    """Key, settled text, the doubtful words with their candidates, as word, newline, candidates, and the two hashes of the text as it was."""
     for batch in batches:
         settled = [None if t is None else settle(t) for t in batch.column(1).to_pylist()]
         words = [None if t is None else ["\n".join([w, *c]) for w, c in sorted(doubtful(t).items())] for t in settled]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(settled, pa.string()), pa.array(words, pa.list_(pa.string()))], names=["key", "settled", "words"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(settled, pa.string()), pa.array(words, pa.list_(pa.string())), batch.column(2), batch.column(3)], names=["key", "settled", "words", "r1", "r2"])
 
 
 def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,7 +113,7 @@ def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def consistent_form(df: DataFrame, key: str, text: str, materialise) -> DataFrame:
-    """``key``, ``raw`` and ``form``: every text of ``df`` in one consistent form.
+    """``key``, ``form``, and ``r1``, ``r2`` (128 bits of hash of the text as it was): every text of ``df`` in one consistent form.
 
     A null text has a null form, an empty one an empty form. Repeated rows stay.
     ``key`` must be unique where a text needs repair (else the repairs of its rows
@@ -122,8 +126,8 @@ def consistent_form(df: DataFrame, key: str, text: str, materialise) -> DataFram
     doubtful words are exploded, and the vocabulary is distinct before its shuffle.
     """
     kind = df.schema[key].dataType.simpleString()
-    rows = df.select(F.col(key).alias("key"), F.col(text).alias("raw"))
-    settled = materialise(rows.mapInArrow(_settle_rows, f"key {kind}, settled string, words array<string>"), "settled")
+    rows = df.select(F.col(key).alias("key"), F.col(text).alias("raw"), F.xxhash64(text).alias("r1"), F.xxhash64(F.lit("#"), text).alias("r2"))
+    settled = materialise(rows.mapInArrow(_settle_rows, f"key {kind}, settled string, words array<string>, r1 bigint, r2 bigint"), "settled")
     asked = settled.where(F.size("words") > 0).select("key", F.explode("words").alias("ask"))
     words = (
         asked.select("ask").distinct().withColumn("parts", F.split("ask", "\n"))
@@ -138,7 +142,7 @@ def consistent_form(df: DataFrame, key: str, text: str, materialise) -> DataFram
         .groupBy("ask").agg(F.min_by(F.struct("word", "candidate"), "rank").alias("repair"))
     )
     repairs = asked.join(chosen, "ask").groupBy("key").agg(F.collect_set("repair").alias("repairs"))
-    touched = settled.where(F.size("words") > 0).select("key", "settled").join(repairs, "key", "left")
+    touched = settled.where(F.size("words") > 0).select("key", "settled", "r1", "r2").join(repairs, "key", "left")
 
     def repair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -146,27 +150,37 @@ def consistent_form(df: DataFrame, key: str, text: str, materialise) -> DataFram
                 apply_repairs(t, {r["word"]: r["candidate"] for r in rs or []})
                 for t, rs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
             ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(forms, pa.string())], names=["key", "form"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(forms, pa.string()), batch.column(3), batch.column(4)], names=["key", "form", "r1", "r2"])
 
-    fixed = touched.select("key", "settled", "repairs").mapInArrow(repair, f"key {kind}, form string")
-    plain = settled.where(F.coalesce(F.size("words"), F.lit(-1)) <= 0).select("key", F.col("settled").alias("form"))
+    fixed = touched.select("key", "settled", "repairs", "r1", "r2").mapInArrow(repair, f"key {kind}, form string, r1 bigint, r2 bigint")
+    plain = settled.where(F.coalesce(F.size("words"), F.lit(-1)) <= 0).select("key", F.col("settled").alias("form"), "r1", "r2")
     return plain.unionByName(fixed)
 
 
+def look_classes(df: DataFrame, key: str, text: str, materialise) -> DataFrame:
+    """key, r1, r2 (hash of its text) and h1, h2 (hash of its form) of every row with a text, as a table."""
+    forms = consistent_form(df, key, text, materialise).where("form IS NOT NULL")
+    return materialise(forms.select("key", "r1", "r2", F.xxhash64("form").alias("h1"), F.xxhash64(F.lit("#"), "form").alias("h2")), "looks")
+
+
 def same_look_pairs(df: DataFrame, key: str, text: str, materialise) -> DataFrame:
     """``key_a`` < ``key_b``: rows with different texts of one consistent form.
 
     Rows with a null text are in no pair; equal texts are no pair. Groups are
     found on a 128-bit hash of the form; only groups that hold two different raw
-    texts are joined with themselves, and the join is as large as its result.
+    texts are joined with themselves, large ones in blocks. The result has every pair,
+    so it is as large as the copies make it; :func:`same_look_members` has one row per record.
     """
-    forms = consistent_form(df, key, text, materialise).where("form IS NOT NULL").select("key", F.xxhash64("form").alias("h1"), F.xxhash64(F.lit("#"), "form").alias("h2"))
-    raw = df.select(F.col(key).alias("key"), F.xxhash64(text).alias("r1"), F.xxhash64(F.lit("#"), text).alias("r2"))
-    rows = materialise(forms.join(raw, "key"), "looks")
-    mixed = rows.groupBy("h1", "h2").agg(F.min("r1").alias("lo"), F.max("r1").alias("hi")).where("lo <> hi").select("h1", "h2")
+    rows = look_classes(df, key, text, materialise)
+    mixed = rows.groupBy("h1", "h2").agg(F.min("r1").alias("lo"), F.max("r1").alias("hi"), F.min("r2").alias("lo2"), F.max("r2").alias("hi2")).where("lo <> hi OR lo2 <> hi2").select("h1", "h2")
     few = rows.join(mixed, ["h1", "h2"], "left_semi")
-    a, b = few.alias("a"), few.alias("b")
-    return (
-        a.join(b, (F.col("a.h1") == F.col("b.h1")) & (F.col("a.h2") == F.col("b.h2")) & (F.col("a.key") < F.col("b.key")) & ((F.col("a.r1") != F.col("b.r1")) | (F.col("a.r2") != F.col("b.r2"))))
-        .select(F.col("a.key").alias("key_a"), F.col("b.key").alias("key_b"))
-    )
+    return pairs_within(few, ["h1", "h2"], "key").where("a.r1 <> b.r1 OR a.r2 <> b.r2").select(F.col("a.key").alias("key_a"), F.col("b.key").alias("key_b"))
+
+
+def same_look_members(df: DataFrame, key: str, text: str, materialise) -> DataFrame:
+    """key, first (the least key of its look), n_rows and n_texts (different texts) of its look, and n_links (rows of the look with another text) of every row with a text."""
+    rows = look_classes(df, key, text, materialise)
+    texts = rows.groupBy("h1", "h2", "r1", "r2").agg(F.min("key").alias("first"), F.count("*").alias("n"))
+    looks = texts.groupBy("h1", "h2").agg(F.min("first").alias("first"), F.sum("n").alias("n_rows"), F.count("*").alias("n_texts"))
+    linked = texts.select("h1", "h2", "r1", "r2", "n").join(looks, ["h1", "h2"])
+    return rows.join(linked, ["h1", "h2", "r1", "r2"]).select("key", "first", "n_rows", "n_texts", (F.col("n_rows") - F.col("n")).alias("n_links"))

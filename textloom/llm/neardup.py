@@ -17,7 +17,8 @@ rare ones first. If texts x and y are alike, they share a word among the first
 ``n - ceil(SIMILARITY * n) + 1`` of each, and the first k of the shared words are among
 the first ``n - ceil(SIMILARITY * n) + k``. The key is the first shared word, or the
 first two, three or four where fewer words would gather too many texts;
-how many is decided from the words alone, so both texts decide alike. Before the
+how many is decided from the words alone, so both texts decide alike. A key that is hot all
+the same, also one of a short text, is joined in blocks of points by several tasks. Before the
 first shared word nothing is shared, so a point holds the counts of the words from
 there on. No pair is missed, and there is no limit on keys or partners.
 """
@@ -47,6 +48,12 @@ TOGETHER = 8.0
 FAN = 16
 #: Pairs of nodes or points handled at once.
 AT_ONCE = 1_000_000
+#: Points of one key that one task joins; the points of a larger key are dealt out in blocks of this size.
+BLOCK = 20_000
+#: Points that a task holds before it joins the keys that are complete.
+HELD = 100_000
+#: Rows of a group of copies whose pairs one task makes.
+PAIR_BLOCK = 2_000
 #: Below this number of words a text is too short for keys of MAX_DEPTH words.
 SHORT = math.ceil(MAX_DEPTH / SIMILARITY)
 
@@ -225,42 +232,114 @@ class _Tree:
                     stack.append((level - 1, x, y))
 
 
-def _join_points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs among the points of a partition, which hold every point of a key one after another."""
-    names = ["id_a", "id_b"]
-    held: list[pa.RecordBatch] = []
-
-    def joined(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        key, ids, size, rest, one, two = (table.column(k).to_numpy() for k in range(6))
-        many = np.flatnonzero(np.append(False, key[1:] == key[:-1]) | np.append(key[1:] == key[:-1], False))
-        key, ids, size, rest, one, two = (column[many] for column in (key, ids, size, rest, one, two))
-        order = np.lexsort((ids, rest, size, key))
-        # Copies of a class from different partitions are one point.
-        order = order[np.append(True, (key[order][1:] != key[order][:-1]) | (ids[order][1:] != ids[order][:-1]))[: len(order)]]
-        key, ids, size, rest, one, two = (column[order] for column in (key, ids, size, rest, one, two))
-        one, two, size, rest = unpack_counts(one), unpack_counts(two), size.astype(np.float32), rest.astype(np.float32)
-        for x, y in _Tree(key, size, rest, one + two).pairs():
-            keep = halves_allow(one, two, x, y, overlap_needed(size[x], size[y]))
-            x, y = x[keep], y[keep]
-            a, b = np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])
-            pair = np.unique(np.stack([a, b], 1)[a != b], axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy())], names=names)
-
-    rows = 0
-    for batch in batches:
-        if rows > 100_000 and held:
-            # All keys but the last one are complete.
-            table = pa.Table.from_batches(held)
-            key = table.column(0).to_numpy()
-            cut = int(np.searchsorted(key, key[-1]))
-            if cut:
-                yield from joined(table.slice(0, cut))
-                held = table.slice(cut).to_batches()
-                rows = sum(b.num_rows for b in held)
-        held.append(batch)
-        rows += batch.num_rows
-    if held:
-        yield from joined(pa.Table.from_batches(held))
+def _joined(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Candidate pairs of ids among the points of a table that holds every point of its keys."""
+    key, ids, size, rest, one, two = (table.column(k).to_numpy() for k in range(6))
+    many = np.flatnonzero(np.append(False, key[1:] == key[:-1]) | np.append(key[1:] == key[:-1], False))
+    key, ids, size, rest, one, two = (column[many] for column in (key, ids, size, rest, one, two))
+    order = np.lexsort((ids, rest, size, key))
+    # Copies of a class from different partitions are one point.
+    order = order[np.append(True, (key[order][1:] != key[order][:-1]) | (ids[order][1:] != ids[order][:-1]))[: len(order)]]
+    key, ids, size, rest, one, two = (column[order] for column in (key, ids, size, rest, one, two))
+    one, two, size, rest = unpack_counts(one), unpack_counts(two), size.astype(np.float32), rest.astype(np.float32)
+    for x, y in _Tree(key, size, rest, one + two).pairs():
+        keep = halves_allow(one, two, x, y, overlap_needed(size[x], size[y]))
+        x, y = x[keep], y[keep]
+        a, b = np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])
+        pair = np.unique(np.stack([a, b], 1)[a != b], axis=0)
+        yield pair[:, 0].copy(), pair[:, 1].copy()
+
+
+#: A candidate pair, or, where id_b is null, a point of a key that has too many of them for one task.
+JOINED = "id_a bigint, id_b bigint, key bigint, size int, rest int, counts bigint, counts2 bigint"
+_JOINED = [c.split()[0] for c in JOINED.split(", ")]
+
+
+def _join_points(block: int | None):
+    """A function from points in order of key, every point of a key in one partition, to candidate pairs.
+
+    A key of more than ``block`` points isn't joined here; its points come out as they are, so no
+    task ever holds them all. Without a block every key is joined.
+    """
+
+    def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        for a, b in _joined(table):
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), *(pa.nulls(len(a), t) for t in (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()))], names=_JOINED)
+
+    def passed(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        for b in table.to_batches():
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.nulls(b.num_rows, pa.int64()), b.column(0), *(b.column(k) for k in range(2, 6))], names=_JOINED)
+
+    def whole_keys(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        key = table.column(0).to_numpy()
+        begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        size = np.diff(np.append(begin, len(key)))
+        hot = np.repeat(size > block, size) if block else np.zeros(len(key), bool)
+        if hot.any():
+            yield from passed(table.filter(pa.array(hot)))
+            table = table.filter(pa.array(~hot))
+        yield from pairs(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        rows, hot = 0, None
+        for batch in batches:
+            if hot is not None:
+                n = int(np.searchsorted(batch.column(0).to_numpy(), hot, side="right"))
+                yield from passed(pa.Table.from_batches([batch.slice(0, n)]))
+                batch = batch.slice(n)
+                if not batch.num_rows:
+                    continue
+                hot = None
+            held.append(batch)
+            rows += batch.num_rows
+            if rows > HELD:
+                # All keys but the last one are complete; if that is hot already, what comes of it passes by.
+                table = pa.Table.from_batches(held)
+                key = table.column(0).to_numpy()
+                cut = int(np.searchsorted(key, key[-1]))
+                if cut:
+                    yield from whole_keys(table.slice(0, cut))
+                last = table.slice(cut)
+                if block and last.num_rows > block:
+                    hot = int(key[-1])
+                    yield from passed(last)
+                    held, rows = [], 0
+                else:
+                    held, rows = last.to_batches(), last.num_rows
+        if held:
+            yield from whole_keys(pa.Table.from_batches(held))
+
+    return run
+
+
+def _in_blocks(points: DataFrame) -> DataFrame:
+    """Points of hot keys, each key dealt out into blocks and a key of its own for each pair of blocks.
+
+    Any two points of a key meet in a pair of blocks, which has at most about two blocks of points.
+    """
+    points = points.dropDuplicates(["key", "id"])
+    sizes = points.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    placed = points.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    cells = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return cells.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("key"), "id", "size", "rest", "counts", "counts2")
+
+
+def pairs_within(rows: DataFrame, group: list[str], key: str) -> DataFrame:
+    """key_a < key_b, with all columns of ``rows`` as a and b: all pairs of rows of a group.
+
+    A large group is dealt out into blocks, and each pair of blocks is joined by itself,
+    so its pairs don't come from one task. ``key`` must be unique within a group.
+    """
+    sizes = rows.groupBy(*group).agg(F.count("*").alias("n_")).where("n_ > 1").select(*group, F.ceil(F.col("n_") / PAIR_BLOCK).cast("int").alias("blocks_"))
+    placed = rows.join(sizes, group).withColumn("block_", F.pmod(F.xxhash64(key), F.col("blocks_")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks_") - 1))
+    a = placed.withColumn("x_", F.col("block_")).withColumn("y_", every).alias("a")
+    b = placed.withColumn("y_", F.col("block_")).withColumn("x_", every).alias("b")
+    same = F.lit(True)
+    for c in [*group, "x_", "y_"]:
+        same = same & (F.col(f"a.{c}") == F.col(f"b.{c}"))
+    return a.join(b, same & (F.col(f"a.{key}") < F.col(f"b.{key}")))
 
 
 def word_sets(df: DataFrame, key: str, text: str, materialise) -> DataFrame:
@@ -274,8 +353,12 @@ def unique_sets(sets: DataFrame) -> DataFrame:
     return sets.select("class", "words").mapInArrow(_first_of_class, "class bigint, words array<bigint>")
 
 
-def class_links(sets: DataFrame) -> DataFrame:
-    """a < b: the pairs of different classes whose word sets are alike."""
+def class_links(sets: DataFrame, materialise) -> DataFrame:
+    """a < b: the pairs of different classes whose word sets are alike.
+
+    A key is joined in one task if it has at most BLOCK points; the points of a larger one,
+    found as they stream by, are joined in blocks. No key, however hot, is held by one task.
+    """
     spark = sets.sparkSession
     once = unique_sets(sets)
     shared = spark.sparkContext.broadcast(frequency_sketch(once))
@@ -304,7 +387,13 @@ def class_links(sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(ids[of]), pa.array(size.astype(np.int32)), pa.array(rest.astype(np.int32)), pa.array(one), pa.array(two)], names=[c.split()[0] for c in POINT.split(", ")])
 
     points = once.mapInArrow(put, POINT).repartition("key").sortWithinPartitions("key")
-    candidates = points.mapInArrow(_join_points, "id_a bigint, id_b bigint").distinct()
+    met = materialise(points.mapInArrow(_join_points(BLOCK), JOINED), "met")
+    candidates = met.where("id_b IS NOT NULL").select("id_a", "id_b")
+    hot = met.where("id_b IS NULL")
+    if not hot.isEmpty():
+        cells = _in_blocks(hot.withColumnRenamed("id_a", "id").drop("id_b")).repartition("key").sortWithinPartitions("key")
+        candidates = candidates.unionByName(cells.mapInArrow(_join_points(None), JOINED).select("id_a", "id_b"))
+    candidates = candidates.distinct()
     a, b = once.select(F.col("class").alias("id_a"), F.col("words").alias("words_a")), once.select(F.col("class").alias("id_b"), F.col("words").alias("words_b"))
     both = candidates.join(a, "id_a").join(b, "id_b")
     shared_words = F.size(F.array_intersect("words_a", "words_b"))
@@ -322,13 +411,10 @@ def like_pairs(df: DataFrame, key: str, text: str, materialise) -> DataFrame:
     """
     sets = word_sets(df, key, text, materialise)
     member = sets.select("key", "class")
-    links = materialise(class_links(sets), "links")
+    links = materialise(class_links(sets, materialise), "links")
     a, b = member.select(F.col("key").alias("x"), F.col("class").alias("a")), member.select(F.col("key").alias("y"), F.col("class").alias("b"))
     between = links.join(a, "a").join(b, "b").select(F.least("x", "y").alias("key_a"), F.greatest("x", "y").alias("key_b"))
-    several = member.groupBy("class").count().where("count > 1").select("class")
-    copies = member.join(several, "class", "left_semi")
-    c, d = copies.select("class", F.col("key").alias("key_a")), copies.select("class", F.col("key").alias("key_b"))
-    within = c.join(d, "class").where("key_a < key_b").select("key_a", "key_b")
+    within = pairs_within(member, ["class"], "key").select(F.col("a.key").alias("key_a"), F.col("b.key").alias("key_b"))
     return between.unionByName(within)
 
 
@@ -359,7 +445,7 @@ def groups(df: DataFrame, key: str, text: str, materialise) -> DataFrame:
     text, or none of whose texts has words, is a group of its own without links.
     """
     sets = word_sets(df, key, text, materialise)
-    links = materialise(class_links(sets), "links")
+    links = materialise(class_links(sets, materialise), "links")
     degree = links.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count("*").alias("n_links"))
     root = components(links, materialise)
     placed = sets.select("key", "class").join(root.select(F.col("id").alias("class"), "root"), "class", "left").join(degree, "class", "left")

@@ -19,11 +19,11 @@ def _toxicity_chain(spark: SparkSession, folder: str) -> toxicity.Chain:
 
 def p1_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Every row of toxicity_segments with its own score and category, beside the given label and score."""
-    return toxicity.score(read_table(spark, folder, "toxicity_segments"), ["seq", "id", "parent_digest", "toxicity_label", "toxicity_score"], "text", _toxicity_chain(spark, folder))
+    return toxicity.score(spread(read_table(spark, folder, "toxicity_segments")), ["seq", "id", "parent_digest", "toxicity_label", "toxicity_score"], "text", _toxicity_chain(spark, folder))
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
-    scored = toxicity.score(read_table(spark, folder, "toxicity_segments"), ["id"], "text", _toxicity_chain(spark, folder))
+    scored = toxicity.score(spread(read_table(spark, folder, "toxicity_segments")), ["id"], "text", _toxicity_chain(spark, folder))
     return scored.where(F.col("toxicity") >= toxicity.THRESHOLD).select("id").distinct()
 
 
@@ -32,7 +32,7 @@ def p1_rates(spark: SparkSession, folder: str) -> DataFrame:
 
     A segment that was scored twice counts once, by its higher score.
     """
-    scored = toxicity.score(read_table(spark, folder, "toxicity_segments"), ["id", "parent_digest"], "text", _toxicity_chain(spark, folder))
+    scored = toxicity.score(spread(read_table(spark, folder, "toxicity_segments")), ["id", "parent_digest"], "text", _toxicity_chain(spark, folder))
     segments = scored.groupBy("id", "parent_digest").agg(F.max("toxicity").alias("toxicity"))
     source = F.coalesce(F.nullif("url", F.lit("")), F.nullif("message_url", F.lit("")))
     communities = (
@@ -47,13 +47,18 @@ def p1_rates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
-    pairs = looks.same_look_pairs(read_table(spark, folder, "clean_segments"), "seq", "text", materialise)
+    pairs = looks.same_look_pairs(spread(read_table(spark, folder, "clean_segments").select("seq", "text")), "seq", "text", materialise)
     return pairs.select(F.col("key_a").alias("seq_a"), F.col("key_b").alias("seq_b"))
 
 
+def p2_members(spark: SparkSession, folder: str) -> DataFrame:
+    """The look of every clean segment, named by its first one, with how many segments and texts have it."""
+    return looks.same_look_members(spread(read_table(spark, folder, "clean_segments").select("seq", "text")), "seq", "text", materialise).withColumnsRenamed({"key": "seq", "first": "first_seq"})
+
+
 def p2_forms(spark: SparkSession, folder: str) -> DataFrame:
     """Every clean segment in its consistent form."""
-    forms = looks.consistent_form(read_table(spark, folder, "clean_segments"), "seq", "text", materialise)
+    forms = looks.consistent_form(spread(read_table(spark, folder, "clean_segments").select("seq", "text")), "seq", "text", materialise)
     return forms.select(F.col("key").alias("seq"), F.col("form").alias("text"))
 
 
@@ -120,17 +125,17 @@ def _language_models(spark: SparkSession, folder: str) -> language.LanguageModel
 
 def p4_documents(spark: SparkSession, folder: str) -> DataFrame:
     """The language of every document, with confidence and shares, beside its given label."""
-    return language.label_languages(read_table(spark, folder, "documents"), ["doc_id", "lang"], "text", _language_models(spark, folder))
+    return language.label_languages(spread(read_table(spark, folder, "documents")), ["doc_id", "lang"], "text", _language_models(spark, folder))
 
 
 def p4_spans(spark: SparkSession, folder: str) -> DataFrame:
     """The spans of each language in every document that mixes some."""
-    return language.language_spans(read_table(spark, folder, "documents"), "doc_id", "text", _language_models(spark, folder))
+    return language.language_spans(spread(read_table(spark, folder, "documents")), "doc_id", "text", _language_models(spark, folder))
 
 
 def p4_segments(spark: SparkSession, folder: str) -> DataFrame:
     """The language of every row of llm_segments, beside the one its payload gives."""
-    return language.payload_languages(read_table(spark, folder, "llm_segments"), "id", "gemini_json", "text", _language_models(spark, folder))
+    return language.payload_languages(spread(read_table(spark, folder, "llm_segments")), "id", "gemini_json", "text", _language_models(spark, folder))
 
 
 def p4_payload(spark: SparkSession, folder: str) -> DataFrame:
@@ -144,18 +149,18 @@ def p4_payload(spark: SparkSession, folder: str) -> DataFrame:
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     models = _language_models(spark, folder)
-    documents = language.label_languages(read_table(spark, folder, "documents"), ["doc_id", "lang"], "text", models)
+    documents = language.label_languages(spread(read_table(spark, folder, "documents")), ["doc_id", "lang"], "text", models)
     wrong = documents.where("language IS NOT NULL AND lower(trim(coalesce(lang, ''))) <> language").select(
         F.lit("document").alias("kind"), F.col("doc_id").cast("string").alias("item_key"), "language"
     )
-    segments = language.payload_languages(read_table(spark, folder, "llm_segments"), "id", "gemini_json", "text", models)
+    segments = language.payload_languages(spread(read_table(spark, folder, "llm_segments")), "id", "gemini_json", "text", models)
     bad = segments.where("language IS NOT NULL AND coalesce(given, '') <> language").groupBy("id").agg(F.min("language").alias("language"))
     return wrong.unionByName(bad.select(F.lit("segment").alias("kind"), F.col("id").alias("item_key"), "language"))
 
 
 def p5_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """The pieces of every oversized clean segment, traceable by id and parent_digest."""
-    return split.split_oversized(read_table(spark, folder, "clean_segments"), "text", ["seq", "id", "parent_digest"])
+    return split.split_oversized(spread(read_table(spark, folder, "clean_segments")), "text", ["seq", "id", "parent_digest"])
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -163,24 +168,24 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
-    pairs = neardup.like_pairs(read_table(spark, folder, "dedup_segments"), "seq", "text", materialise)
+    pairs = neardup.like_pairs(spread(read_table(spark, folder, "dedup_segments").select("seq", "text")), "seq", "text", materialise)
     return pairs.select(F.col("key_a").alias("seq_a"), F.col("key_b").alias("seq_b"))
 
 
 def p6_groups(spark: SparkSession, folder: str) -> DataFrame:
     """The group of alike segments of every dedup segment, and how many it is like."""
-    found = neardup.groups(read_table(spark, folder, "dedup_segments"), "seq", "text", materialise)
+    found = neardup.groups(spread(read_table(spark, folder, "dedup_segments").select("seq", "text")), "seq", "text", materialise)
     return found.select(F.col("key").alias("seq"), F.col("group").alias("group_seq"), "group_size", "n_links")
 
 
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = f"{tokenize.tokenizer_dir()}/byte_bpe_50k.tiktoken"
-    return tokenize.encode_corpus(read_table(spark, folder, "documents"), "doc_id", "text", vocabulary)
+    return tokenize.encode_corpus(spread(read_table(spark, folder, "documents")), "doc_id", "text", vocabulary)
 
 
 def p8_leaks(spark: SparkSession, folder: str, longest: bool = False) -> DataFrame:
     """Every passage that a document and an evaluation item share, with its span."""
-    return leak.find_leaks(read_table(spark, folder, "documents"), "doc_id", "text", read_table(spark, folder, "eval_items"), "item_id", "text", longest=longest)
+    return leak.find_leaks(spread(read_table(spark, folder, "documents").select("doc_id", "text")), "doc_id", "text", read_table(spark, folder, "eval_items"), "item_id", "text", materialise, longest=longest)
 
 
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -201,7 +206,7 @@ def p8_cleaned(spark: SparkSession, folder: str) -> DataFrame:
 
 def p9_levels(spark: SparkSession, folder: str) -> DataFrame:
     """The reading level of every document, on the scale of level_samples."""
-    return level.grade_texts(read_table(spark, folder, "documents"), "doc_id", "text", read_table(spark, folder, "level_samples"), "text", "level")
+    return level.grade_texts(spread(read_table(spark, folder, "documents")), "doc_id", "text", read_table(spark, folder, "level_samples"), "text", "level")
 
 
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -222,6 +227,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_rates": p1_rates,
     "p2_found": p2_found,
     "p2_forms": p2_forms,
+    "p2_members": p2_members,
     "p3_found": p3_found,
     "p3_status": p3_status,
     "p4_found": p4_found,
@@ -243,6 +249,53 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p9_sources": p9_sources,
 }
 
+# ---- SQL, by all pairs of word sets and all runs of ten words ---------------------
+
+
+def _like_sql(one: str, two: str) -> str:
+    """a, b: alike rows of two tables (row, text), by the distinct words both have; texts without words are alike if they are equal."""
+    words = r"list_distinct(regexp_extract_all(lower(text), '[\p{L}\p{N}]+'))"
+    return f"""one AS MATERIALIZED (SELECT row, text, {words} AS words FROM ({one}) WHERE text IS NOT NULL),
+    two AS MATERIALIZED (SELECT row, text, {words} AS words FROM ({two}) WHERE text IS NOT NULL),
+    shared AS (SELECT a.row AS a, b.row AS b, count(*) AS n FROM (SELECT row, unnest(words) AS w FROM one) a JOIN (SELECT row, unnest(words) AS w FROM two) b USING (w) GROUP BY a.row, b.row),
+    alike AS (SELECT a, b FROM shared JOIN one ON one.row = a JOIN two ON two.row = b WHERE n * 5 >= (len(one.words) + len(two.words) - n) * 3
+        UNION ALL SELECT one.row, two.row FROM one JOIN two USING (text) WHERE len(one.words) = 0)"""
+
+
+_DEDUP = "SELECT seq AS row, text FROM dedup_segments"
+_P3 = f"""WITH {_like_sql("SELECT struct_pack(b := batch_no, s := seq) AS row, text FROM incoming_segments",
+    "SELECT struct_pack(b := -1, s := seq) AS row, text FROM dedup_segments UNION ALL SELECT struct_pack(b := batch_no, s := seq), text FROM incoming_segments")}
+    SELECT seq FROM incoming_segments WHERE row_hash IN (SELECT row_hash FROM ingest_log) UNION SELECT a.s FROM alike WHERE b.b < a.b OR (b.b = a.b AND b.s < a.s)"""
+_P6 = f"WITH {_like_sql(_DEDUP, _DEDUP)} SELECT a AS seq_a, b AS seq_b FROM alike WHERE a < b AND len((SELECT words FROM one WHERE one.row = a)) > 0"
+_P6_GROUPS = f"""WITH RECURSIVE {_like_sql(_DEDUP, _DEDUP)},
+    class AS MATERIALIZED (SELECT row, min(row) OVER (PARTITION BY list_sort(words)) AS class FROM one WHERE len(words) > 0),
+    edges AS MATERIALIZED (SELECT DISTINCT a, b FROM alike JOIN class x ON x.row = a AND x.class = a JOIN class y ON y.row = b AND y.class = b),
+    reach AS (SELECT class AS root, class AS node FROM class UNION SELECT r.root, e.b FROM reach r JOIN edges e ON e.a = r.node),
+    least AS (SELECT node, min(root) AS root FROM reach GROUP BY node),
+    degree AS (SELECT a, count(*) - 1 AS n FROM edges GROUP BY a),
+    found AS (SELECT c.row, l.root, coalesce(d.n, 0) AS n FROM class c JOIN least l ON l.node = c.class LEFT JOIN degree d ON d.a = c.class)
+    SELECT t.seq, coalesce(f.root, t.seq) AS group_seq, coalesce(count(*) OVER (PARTITION BY f.root), 1) * (f.root IS NOT NULL)::INT + (f.root IS NULL)::INT AS group_size, coalesce(f.n, 0) AS n_links
+    FROM dedup_segments t LEFT JOIN found f ON f.row = t.seq"""
+
+
+def _leak_words_sql() -> str:
+    """The words of a text in the form in which leaks compare them."""
+    narrow = "".join(chr(c) for c in range(0x21, 0x7F))
+    wide = "".join(chr(c) for c in range(0xFF01, 0xFF5F))
+    fold = {k: v for k, v in leak._FOLD.items()}
+    letters, by = "".join(map(chr, fold)), "".join(v if isinstance(v, str) else chr(v) for v in fold.values())
+    plain = f"nfc_normalize(translate(regexp_replace(text, '{leak._DROP.pattern}', '', 'g'), '{wide}', '{narrow.replace(chr(39), chr(39) * 2)}'))"
+    return rf"regexp_extract_all(translate(lower({plain}), '{letters}', '{by}'), '[\p{{L}}\p{{N}}]+')"
+
+
+_P8 = f"""WITH items AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 8), lambda k: list_aggregate(w[k:k + 9], 'string_agg', ' '))) AS gram FROM (SELECT item_id, {_leak_words_sql()} AS w FROM eval_items)),
+    docs AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 8), lambda k: list_aggregate(w[k:k + 9], 'string_agg', ' '))) AS gram FROM (SELECT doc_id, {_leak_words_sql()} AS w FROM documents WHERE text IS NOT NULL))
+    SELECT DISTINCT doc_id, item_id FROM docs JOIN items USING (gram)"""
+
 SQL: dict[str, str] = {
+    "p3_found": _P3,
     "p5_found": "SELECT seq FROM clean_segments WHERE length(text) > 500",
+    "p6_found": _P6,
+    "p6_groups": _P6_GROUPS,
+    "p8_found": _P8,
 }

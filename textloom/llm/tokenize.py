@@ -138,19 +138,30 @@ class ChunkEncoder:
 
 
 
+_ENCODERS: dict[str, ChunkEncoder] = {}
+
+
+def worker_encoder(vocabulary: str) -> ChunkEncoder:
+    """The encoder of this worker process, with its caches; tasks that follow in the same process go on with it."""
+    if vocabulary not in _ENCODERS:
+        _ENCODERS[vocabulary] = ChunkEncoder(load_encoder(vocabulary).encode_ordinary)
+    return _ENCODERS[vocabulary]
+
+
 def encode_corpus(df: DataFrame, key: str, text: str, vocabulary: str) -> DataFrame:
     """``key`` and ``ids`` (array of int) for every row of ``df``.
 
     ``vocabulary`` is the path of a rank file that every executor can read. A null
     and an empty text give an empty list; repeated rows give repeated rows. Text is
     always ordinary text: strings that look like special tokens are encoded as
-    characters. No shuffle: the caches live in the worker, so a passage is encoded
-    once per worker instead of being sent across the cluster.
+    characters. No shuffle: the vocabulary and the caches live in the worker process from
+    one task to the next, so a passage is encoded once per worker instead of being sent
+    across the cluster.
     """
     source = df.select(df[key].alias("key"), df[text].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(load_encoder(vocabulary).encode_ordinary)
+        encoder = worker_encoder(vocabulary)
         for batch in batches:
             keys, texts = batch.column(0), [x or "" for x in batch.column(1).to_pylist()]
             start = 0

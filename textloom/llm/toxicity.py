@@ -10,8 +10,8 @@ last abusive altogether. Each link is a regularised logistic regression over has
 words, word pairs and letter runs, and over the probabilities of the links before
 it; in training these are out-of-fold predictions, so that a later link sees
 them as unsure as they will be on new text. The kinds of abuse are not given
-in the data: a positive sentence gets its kind from a few cue stems, and is an
-insult otherwise. A segment has the score of its worst sentence.
+in the data: a positive sentence gets its kind from cues at the beginnings of words,
+and is an insult otherwise; the links learn from these, and judge sentences without a cue as well. A segment has the score of its worst sentence.
 
 Disguises (look-alikes, separated or repeated letters, masks, shifted spaces) are
 undone as far as they can be; letter runs are taken across spaces.
@@ -44,13 +44,17 @@ THRESHOLD = 0.35
 LETTER_RUN = 4
 CATEGORIES = ("sexual", "threat", "incitement", "insult")
 
-# Stems (in Tatar, Russian, English, Kazakh) that tell the kind of a sentence already judged abusive.
+# How words begin (in Tatar, Russian, English, Kazakh) that tell the kind of a sentence
+# already judged abusive; a comma parts them, and a blank stands for any further letters and a blank.
 CUES = {
-    "sexual": "ялангач чишен йокла кунакханә тәнеңне кием кызый голы голая голую раздев переспи интим постел фотк naked nude undress bed sexy hotel body жалаңаш шешін ұйықта денең",
-    "threat": "сындыр ярам үтер табып үкен еламас асылын тумаса кайда яшәг убью найду сломаю сдохни повес умри пожале родил kill find you break hang yourself regret die born өлтір тауып сындырам өкін",
-    "incitement": "түгел бетерергә куарга җиребез халык барысы гнать уничтож не люди народ наш wiped out not people our land vermin expel nation адам емес қуу жерімізді халқы",
+    "incitement": "кеше түгел, бетерергә кирәк, куарга кирәк, җиребезне пычрат, не люди, уничтож, выгнать, изгнать, нашу землю, истреб, vermin, not people, not human, "
+    "wiped out, wipe them, expel, drive them, our land, адам емес, қуу керек, жою керек, жерімізді",
+    "threat": "сындырам, ярам, үтерәм, табып, үкендер, кайда яшәгән, беркем дә еламас, тумаса, асылын, убью, найду, сломаю, переломаю, выбью, прирежу, ножом, сдохни, удавись, повесься, "
+    "не заплачет, не рождал, kill, find you, break your, break you, hang yourself, regret, die, never been born, cry for you, сындырамын, өлтір, тауып, өкін, асылып, ешкім жылама",
+    "sexual": "ялангач, чишен, минем белән йокла, тәнеңне, кунакханә, киемсез, голы, голая, голую, раздев, раздень, интим, постел, переспи, naked, nude, undress, sexy, sleep with me, your body, "
+    "to bed, hotel, жалаңаш, шешін, менімен ұйықта, денеңді, қонақүй",
 }
-_CUES = {k: re.compile("|".join(re.escape(c) for c in sorted(v.split(), key=len, reverse=True))) for k, v in CUES.items()}
+_CUES = {k: re.compile("|".join(r"(?<![^\W_])" + re.escape(c.strip()).replace(r"\ ", r"[^\W_]* ") for c in v.split(","))) for k, v in CUES.items()}
 
 _APART = re.compile(r"(?<![^\W_])[^\W\d_](?:[._\-*~ ][^\W\d_]){2,}(?![^\W_])|(?<![^\W_])[^\W\d_](?:[._\-~][^\W\d_])+(?![^\W_])")
 _SEPARATOR = re.compile(r"[._\-*~ ]")
@@ -172,6 +176,12 @@ def _logistic(columns, row, value, n, width, dense, target, weight):
     return w, v, b
 
 
+def kind_by_cue(words: list[str]) -> str:
+    """The kind of an abusive sentence: the first whose cues it has, else an insult."""
+    sentence = " ".join(words)
+    return next((name for name, cue in _CUES.items() if cue.search(sentence)), "insult")
+
+
 def fit_chain(texts: list[str], abusive: list[int]) -> Chain:
     """A chain from segments judged abusive (1) or not (0). Without both kinds no link ever fires."""
     chain = Chain([*CATEGORIES, "abusive"])
@@ -214,8 +224,8 @@ def fit_chain(texts: list[str], abusive: list[int]) -> Chain:
     n = len(chosen)
     kinds = {}
     free = target == 1
-    for name in ("sexual", "threat", "incitement"):
-        hit = np.array([bool(_CUES[name].search(" ".join(sentences[i]))) for i in chosen]) & free
+    for name in CUES:
+        hit = np.array([bool(kind_by_cue(sentences[i]) == name) for i in chosen]) & free
         kinds[name], free = hit, free & ~hit
     kinds["insult"] = free
     kinds["abusive"] = target == 1
