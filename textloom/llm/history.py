@@ -31,6 +31,7 @@ fingerprints, and are verified in the same way.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Iterator
 
@@ -42,6 +43,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textloom.plans.shared import spread
+
 from .neardup import _first_of_class, _Hashes, bucket, frequency_sketch, keys_of, overlap_needed, word_set
 
 SHINGLE, WINDOW = 3, 4
@@ -402,24 +405,39 @@ class _Generations:
         at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}" if name else self.folder)
         return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), at
 
+    def _put(self, name: str, content: bytes) -> None:
+        """A small file, whole or not at all."""
+        fs, at = self._path(f"{name}.new")
+        stream = fs.create(at, True)
+        try:
+            stream.write(bytearray(content))
+        finally:
+            stream.close()
+        fs.delete(self._path(name)[1], False)
+        fs.rename(at, self._path(name)[1])
+
+    def _get(self, name: str) -> bytes:
+        fs, at = self._path(name)
+        stream = fs.open(at)
+        try:
+            return bytes(self.spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+        finally:
+            stream.close()
+
     def exists(self, name: str) -> bool:
-        fs, at = self._path(f"{name}/about/_SUCCESS")
+        fs, at = self._path(f"{name}/about.json")
         return fs.exists(at)
 
     def generations(self) -> list[tuple[str, dict]]:
         """The complete generations in order of name, and what is known about each."""
         fs, at = self._path("")
         names = sorted(s.getPath().getName() for s in fs.listStatus(at) if s.isDirectory()) if fs.exists(at) else []
-        names = [n for n in names if n.startswith("generation-") and self.exists(n)]
-        return [(n, self.spark.read.parquet(f"{self.folder}/{n}/about").first().asDict()) for n in names]
+        return [(n, json.loads(self._get(f"{n}/about.json"))) for n in names if n.startswith("generation-") and self.exists(n)]
 
     def remove(self, name: str) -> None:
         fs, at = self._path(name)
         fs.delete(at, True)
 
-    def _finish(self, name: str, about: dict) -> None:
-        self.spark.createDataFrame([tuple(about.values())], ", ".join(f"{k} bigint" for k in about)).coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/{name}/about")
-
     def _write(self, rows: DataFrame, name: str, table: str, order: str, bits: int, filtered: bool) -> None:
         small = {"parquet.block.size": str(ROW_GROUP), "parquet.page.size": str(64 << 10), "compression": "zstd"}
         path = f"{self.folder}/{name}/{table}"
@@ -454,8 +472,7 @@ class FingerprintStore(_Generations):
 
     def __init__(self, spark: SparkSession, folder: str):
         super().__init__(spark, folder)
-        about = spark.read.parquet(f"{self.folder}/order").first()
-        self.total, self.sketch = about["total"], np.frombuffer(about["sketch"], np.int32)
+        self.total, self.sketch = json.loads(self._get("order.json"))["total"], np.frombuffer(self._get("order.bin"), np.int32)
         self.shared = spark.sparkContext.broadcast((self.sketch, self.total))
 
     @staticmethod
@@ -467,7 +484,9 @@ class FingerprintStore(_Generations):
         """A store whose first generation are the given (class, words), which also fix the order of words. An empty start is allowed."""
         spark, folder = sets.sparkSession, folder.rstrip("/")
         sketch, total = frequency_sketch(sets)
-        spark.createDataFrame([(total, bytearray(sketch.astype(np.int32).tobytes()))], "total bigint, sketch binary").coalesce(1).write.mode("overwrite").parquet(f"{folder}/order")
+        at = _Generations(spark, folder)
+        at._put("order.bin", sketch.astype(np.int32).tobytes())
+        at._put("order.json", json.dumps({"total": total}).encode())
         store = FingerprintStore(spark, folder)
         store.add(sets, 0)
         return store
@@ -494,8 +513,8 @@ class FingerprintStore(_Generations):
         set_bits, print_bits = _bits(rows), _bits(rows * 24)
         self._write(sets.select("class", "words").mapInArrow(_first_of_class, "class bigint, words array<bigint>"), name, "sets", "class", set_bits, False)
         stored = self.spark.read.schema("class bigint, words array<bigint>").parquet(f"{self.folder}/{name}/sets")
-        self._write(self.prints_of(stored) if prints is None else prints, name, "prints", "print", print_bits, True)
-        self._finish(name, {"set_bits": set_bits, "print_bits": print_bits})
+        self._write(self.prints_of(spread(stored)) if prints is None else prints, name, "prints", "print", print_bits, True)
+        self._put(f"{name}/about.json", json.dumps({"set_bits": set_bits, "print_bits": print_bits}).encode())
 
     def compact(self) -> None:
         """All generations as one, of more parts; for when there are many. Reads the sets once."""
@@ -573,7 +592,7 @@ class KeyLog(_Generations):
         if not self.exists(name):
             bits = _bits(keys.count())
             self._write(self._hashed(keys, key).select("print", "check").distinct(), name, "keys", "print", bits, True)
-            self._finish(name, {"key_bits": bits})
+            self._put(f"{name}/about.json", json.dumps({"key_bits": bits}).encode())
 
     def known(self, keys: DataFrame, key: str) -> DataFrame:
         """The distinct keys that are logged, compared by 128 bits, in column ``key``."""
