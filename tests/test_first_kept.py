@@ -1,6 +1,7 @@
 """First come, first kept; SimHash; near-duplicates."""
 
 import hashlib
+import os
 import random
 
 from hypothesis import HealthCheck, given, settings
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from textloom.functions.simhash import bands, hamming, simhash_lists
 from textloom.operators import dedup, firstwins
 from textloom.plans.catalogue import QUERIES
-from textloom.plans.shared import forget, materialise
+from textloom.plans.shared import materialise, scratch
 from textloom.profile import Profile
 
 
@@ -27,7 +28,7 @@ def plain_simhash(tokens):
 @given(st.lists(st.lists(st.sampled_from(["a", "b", "c", "d", "e"]), max_size=6), min_size=1, max_size=8))
 @settings(max_examples=40, deadline=None)
 def test_simhash(lists):
-    assert simhash_lists(lists).tolist() == [plain_simhash(x) for x in lists]
+    assert simhash_lists(pa.array(lists, pa.list_(pa.string()))).tolist() == [plain_simhash(x) for x in lists]
 
 
 def test_bands_lose_nothing(spark):
@@ -129,6 +130,29 @@ def test_null_texts_are_kept(spark):
 
 
 def test_tables_in_the_shared_folder(spark):
-    df = materialise(spark.range(3), "t")
-    assert df.count() == 3 and spark.conf.get("spark.checkpoint.dir").rstrip("/") in df.inputFiles()[0]
-    forget(df)
+    with scratch(spark):
+        df = materialise(spark.range(3), "t")
+        file = df.inputFiles()[0].removeprefix("file:").removeprefix("//")
+        assert df.count() == 3 and spark.conf.get("spark.checkpoint.dir").rstrip("/") in df.inputFiles()[0] and os.path.exists(file)
+    assert not os.path.exists(file)
+
+
+def test_insert_or_replace(spark):
+    """The rows left are those of a table whose keys are both unique and whose rows give way to new ones."""
+    rng = random.Random(6)
+    for n in (0, 1, 12, 60):
+        rows = [(i, rng.choice([None, *"abcdefgh"]), rng.choice([None, *"uvwxyz"])) for i in range(n)]
+        left = []
+        for r in rows:
+            left = [o for o in left if not (r[1] is not None and o[1] == r[1] or r[2] is not None and o[2] == r[2])] + [r]
+        df = spark.createDataFrame([*rows, (None, "a", "u")], "seq long, id string, norm_hash string")
+        assert sorted(tuple(r) for r in firstwins.replace_last(df, "seq", "id", "norm_hash").collect()) == left
+
+
+def test_stored_simhashes_are_used(spark):
+    """A stored SimHash counts as it is; one that is missing is made."""
+    old = spark.createDataFrame([("а б в г д е ж з и к", "x", None), ("q", "y", 5)], "text string, norm_hash string, simhash long").withColumn("id", F.col("norm_hash"))
+    new = spark.createDataFrame([(1, "а б в г д е ж з и к", "z")], "seq long, text string, norm_hash string").withColumn("id", F.lit("new"))
+    assert [r.status for r in dedup.deduplicate(new, "seq", "text", "norm_hash", materialise, stored=old, key="id").collect()] == ["near_dup"]
+    other = old.where("norm_hash = 'y'").withColumn("text", F.lit("а б в г д е ж з и к"))
+    assert [r.status for r in dedup.deduplicate(new, "seq", "text", "norm_hash", materialise, stored=other, key="id").collect()] == ["kept"]

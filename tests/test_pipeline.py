@@ -1,6 +1,7 @@
 """The seven steps end to end, again without effect, and as a stream."""
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -38,16 +39,20 @@ def test_run(spark, tmp_path):
     pipe = CurationPipeline(store, names=["Айгөл"])
     raw = read_table(spark, SMALL, "raw_messages")
     first = pipe.ingest(raw, "seq", "wall")
+    assert first["rows_total"] == first["rows_new"] and first["segments_generated"] >= first["segments_kept"] >= first["segments_inserted"] and first["rows_new"] + first["rows_skipped_seen"] == raw.count()
     assert first["segments_inserted"] > 100 and first["rows_new"] == raw.select("url", "message_url", "text", "message").distinct().count()
     assert pipe.ingest(raw, "seq", "wall")["segments_inserted"] == 0
     clean = store.read("clean_segments")
     assert clean.select("id").distinct().count() == clean.select("norm_hash").distinct().count() == clean.count() == clean.agg(F.max("seq")).first()[0] + 1
     kept = pipe.dedup()
-    assert kept["kept"] == store.read("dedup_segments").count() and sum(kept.values()) == clean.count()
+    assert kept["kept"] == store.read("dedup_segments").count() and kept["rows_total"] == sum(n for k, n in kept.items() if k != "rows_total") == clean.count()
+    assert store.read("dedup_segments").where("simhash IS NULL").count() == 0
     assert "kept" not in pipe.dedup()
     counts = pipe.toxicity(_model)
     assert counts["toxic"] + counts["non_toxic"] == kept["kept"] and pipe.toxicity(_model)["rows_total"] == 0
-    done = pipe.label({"a": ["k"], "b": ["k"]}, _service, pause=False)
+    done = pipe.label({"a": ["k"], "b": ["k"]}, _service, pause=False, max_batch=8, wave_batches=1, expired_path=f"{tmp_path}/expired.json", report=f"file://{tmp_path}/label.json")
+    assert json.loads((tmp_path / "label.json").read_text())["rows_ok"] == done["ok"] and done["waves"] > 1 and done["requests"] > 0
+    assert {r["name"]: r["n"] for r in store.read("label_metrics").collect()}["rows_ok"] == done["ok"]
     assert done["ok"] + done["skipped"] == counts["non_toxic"] and pipe.label({"a": ["k"]}, _service, pause=False) == {}
     report = pipe.export_labelled(f"file://{tmp_path}/out", max_bytes=1, batch_rows=10)
     files = sorted(p.name for p in (tmp_path / "out").glob("*.parquet"))
@@ -68,6 +73,34 @@ def test_run(spark, tmp_path):
     assert spark.read.parquet(f"file://{tmp_path}/snap").count() == counts["non_toxic"]
 
 
+def _prompted():
+    def send(key, prompt, settings):
+        items = json.loads(prompt[prompt.index('{\n  "task"') :])["items"]
+        good = _service()("k", items)
+        return json.dumps([{"id": i, "labels": x} for i, x in good.items()])
+
+    return send
+
+
+def test_command_line(spark, tmp_path):
+    """The seven steps from the command line, with models named by module and function."""
+    from textloom.__main__ import run
+
+    store = ["--store", f"file://{tmp_path}/store"]
+    (tmp_path / "keys.json").write_text('{"a": ["k1"], "b": ["k2"]}')
+    first = run(spark, ["ingest", *store, "--dataset", f"{SMALL}/raw_messages.parquet", "--report", f"file://{tmp_path}/ingest.json"])
+    assert json.loads((tmp_path / "ingest.json").read_text()) == first and first["segments_inserted"] > 100
+    assert run(spark, ["dedup", *store, "--distance", "1"])["kept"] > 50
+    assert run(spark, ["toxicity", *store, "--model", "test_pipeline:_model"])["rows_total"] > 50
+    done = run(spark, ["label", *store, "--model", "test_pipeline:_prompted", "--keys", f"{tmp_path}/keys.json", "--max-rows", "60"])
+    assert done["rows_total"] == 60 and done["ok"] + done.get("skipped", 0) == 60
+    assert run(spark, ["export-labelled", *store, "--path", f"file://{tmp_path}/out"])["rows_written"] == done["ok"]
+    assert run(spark, ["prepare-import", *store, "--path", f"file://{tmp_path}/lines", "--lines"])
+    assert run(spark, ["export-parquet", *store, "--path", f"file://{tmp_path}/snap"])["path"].endswith("snap")
+    with pytest.raises(SystemExit):
+        run(spark, ["label", *store, "--keys", f"{tmp_path}/keys.json"])
+
+
 def test_empty_run(spark, tmp_path):
     pipe = CurationPipeline(Store(spark, f"file://{tmp_path}/store"))
     raw = read_table(spark, SMALL, "raw_messages").limit(0)
@@ -85,7 +118,11 @@ def test_stream_is_the_batch(spark, tmp_path):
         raw.where(F.col("seq") % 2 == part).coalesce(1).write.mode("append").parquet(str(source))
     stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(str(source))
     one, two = Store(spark, f"file://{tmp_path}/one"), Store(spark, f"file://{tmp_path}/two")
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://")) / "textloom"
+    before = set(shared.glob("*"))
     stream_ingest(stream, CurationPipeline(one), "seq", "wall", f"file://{tmp_path}/check").awaitTermination()
+    # A micro-batch leaves no intermediate tables behind.
+    assert set(shared.glob("*")) <= before
     CurationPipeline(two).ingest(raw, "seq", "wall")
     hashes = [{r.norm_hash for r in s.read("clean_segments").select("norm_hash").collect()} for s in (one, two)]
     assert hashes[0] == hashes[1] and one.read("ingest_log").count() == two.read("ingest_log").count()
@@ -111,7 +148,9 @@ def test_sinks(spark, tmp_path):
     assert spark.read.parquet(f"file://{tmp_path}/s").count() == 1
     assert sinks.write_json_array(none, f"file://{tmp_path}/e.json") == 0 and (tmp_path / "e.json").read_text() == "[]"
     assert sinks.write_json_array(some, f"file://{tmp_path}/o.json") == 1 and json.loads((tmp_path / "o.json").read_text()) == [{"id": "a", "text": "т"}]
-    assert json.loads(sinks.report_json(spark.createDataFrame([("x", 2)], "k string, n int"), "k", "n")) == {"x": 2}
+    sinks.write_report(some, f"file://{tmp_path}/r/report.json", {"y": 1, "x": 2})
+    assert json.loads((tmp_path / "r" / "report.json").read_text()) == {"x": 2, "y": 1}
+    assert sinks.write_json_lines(some, f"file://{tmp_path}/lines") == 1
     assert materialise(none, "n").count() == 0
 
 

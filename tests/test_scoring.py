@@ -3,16 +3,15 @@
 import pytest
 from pyspark.sql import functions as F
 
+from textloom.functions.labels import NUMBERS, checked_labels, read_response
 from textloom.operators import scoring as S
 from textloom.plans.shared import materialise
 from textloom.sources import messages as M
 
 
 def test_rules():
-    assert S.jittered(0, 0.2) == 0 and S.jittered(60, 0.1, lambda a, b: b) == pytest.approx(66) and S.jittered(60, 0.1, lambda a, b: a) == pytest.approx(54)
-    assert S.prefetch(3, 64) == (576, 384)
-    flush = S.should_flush
-    assert [flush(0, 100, 10, 10.1, 2), flush(100, 100, 10, 10.1, 2), flush(10, 100, 10, 12.1, 2), flush(1, 100, 10, 10.1, 2, True), flush(1, 100, 10, 10.1, 0), flush(1, 100, 10, 10.1, 2)] == [False, True, True, True, True, False]
+    assert S.spread_pause(0, 0.2) == 0 and S.spread_pause(60, 0.1, lambda a, b: b) == pytest.approx(66) and S.spread_pause(60, 0.1, lambda a, b: a) == pytest.approx(54)
+    assert S.spread_pause(60, 0) == 60
     assert S.grown(64, 512) == 77 and S.grown(500, 512) == 512 and S.shrunk(64) == 48 and S.shrunk(2) == 1 and S.shrunk(1) == 1
     assert S.missing_work(list("abcd"), 4, 4) == ([["a", "b"], ["c", "d"]], []) and S.missing_work(["a"], 4, 4) == ([["a"]], []) and S.missing_work(["a"], 1, 1) == ([], ["a"])
     assert S.batch_prompt(" p ", [{"id": 1, "text": None}]).startswith('p\n{\n  "task"')
@@ -87,7 +86,10 @@ def _service():
 
 def test_scoring_in_spark(spark):
     df = spark.createDataFrame(ROWS)
-    got = {r.id: r.status for r in S.score_with_service(df, {"a": ["k"], "b": ["k"]}, _service, materialise, batch=1, pause=False).collect()}
+    scored = S.score_with_service(df, {"a": ["k"], "b": ["k"]}, _service, materialise, batch=1, pause=False)
+    stats, expired = S.account_reports(scored)
+    assert stats["rows_ok"] == 3 and stats["rows_skipped"] == 1 and stats["requests"] >= 4 and not expired
+    got = {r.id: r.status for r in scored.where("status <> 'account'").collect()}
     assert got == {"r1": "ok", "r2": "skipped", "r3": "ok", "r4": "ok"}
     assert S.score_with_service(df.limit(0), {"a": ["k"]}, _service, materialise, pause=False).count() == 0
 
@@ -148,4 +150,83 @@ def test_readers(spark, tmp_path):
     df.write.csv(str(tmp_path / "x.csv"), header=True)
     assert M.read_any(spark, str(tmp_path / "x.csv")).count() == 2
     (tmp_path / "names.json").write_text('["A"]')
-    assert M.load_names(str(tmp_path / "names.json")) == ["A"] and M.revision_of(str(tmp_path)) == "local"
+    assert M.load_names(str(tmp_path / "names.json")) == ["A"]
+
+
+def _whole(text):
+    labels = {"main_language": "Tatar", "error_density": "low", "main_error_type": "spelling"} | {n: "0.5" for n in NUMBERS}
+    return {"id": text, "labels": labels}
+
+
+def test_responses():
+    import json
+
+    good = json.dumps([_whole("a"), _whole("b")])
+    read = read_response(f"```json\n{good}\n```")
+    assert set(read) == {"a", "b"} and read["a"]["main_language"] == "tatar" and read["a"]["noise_score"] == 0.5
+    assert read_response(f"Here it is: {good} Enjoy") == read and read_response(good, False)["a"]["main_language"] == "Tatar"
+    with pytest.raises(ValueError, match="noise_score"):
+        checked_labels(_whole("a")["labels"] | {"noise_score": "much"})
+    with pytest.raises(ValueError, match="main_language"):
+        checked_labels(_whole("a")["labels"] | {"main_language": "klingon"})
+    assert checked_labels(_whole("a")["labels"] | {"main_language": "klingon"}, False)["main_language"] == "klingon"
+    for bad in ("", "no JSON", "[1]", '{"id": 1}', '[{"id": "a"}]'):
+        with pytest.raises(ValueError):
+            read_response(bad)
+
+
+def _model_that_says():
+    import json
+
+    def send(key, prompt, settings):
+        assert settings["temperature"] == 0.1 and settings["response_schema"]["type"] == "array"
+        items = json.loads(prompt.split("\n", prompt.split("{")[0].count("\n"))[-1])["items"]
+        return "```json\n" + json.dumps([_whole(i["id"]) for i in items]) + "\n```", {"prompt_tokens": len(prompt), "total_tokens": None}
+
+    return send
+
+
+def _slow_model():
+    import time
+
+    return lambda key, prompt, settings: time.sleep(2) or "[]"
+
+
+def test_a_model_is_a_service(spark):
+    call = S.model_service(_model_that_says)()
+    labels, used = call("k", ROWS)
+    assert set(labels) == {"r1", "r2", "r3", "r4"} and used["prompt_tokens"] > 100
+    with pytest.raises(TimeoutError):
+        S.model_service(_slow_model, timeout=0.1)()("k", ROWS)
+    stats, _ = S.account_reports(S.score_with_service(spark.createDataFrame(ROWS), {"a": ["k"]}, S.model_service(_model_that_says), materialise, batch=2, pause=False, check=checked_labels))
+    assert stats["rows_ok"] == 4 and stats["prompt_tokens"] > 200 and stats["total_tokens"] == 0
+
+
+def _failing_first_key():
+    def call(key, rows):
+        if key == "spent":
+            raise RuntimeError("429 quota")
+        return {r["id"]: {"n": 1} for r in rows}
+
+    return call
+
+
+def test_waves(spark):
+    """Each wave is committed by itself; rows of an account without keys go to the others; spent keys come back."""
+    rows = spark.createDataFrame([{"id": f"r{i}", "text": "t"} for i in range(40)])
+    waves = []
+    stats, expired = S.label_in_waves(rows, {"a": ["spent"], "b": ["good"]}, _failing_first_key, materialise, lambda s: waves.append({r.id for r in s.where("status = 'ok'").collect()}), batch=2, max_batch=4, wave_batches=1, pause=False)
+    assert len(waves) >= 5 and sum(map(len, waves)) == len(set().union(*waves)) == 40
+    assert expired == {"spent"} and stats["rows_ok"] == 40 and stats["rows_remaining"] == 0 and stats["waves"] == len(waves)
+    stats, expired = S.label_in_waves(rows, {"a": ["spent"]}, _failing_first_key, materialise, lambda s: None, pause=False)
+    assert stats["rows_remaining"] == 40 and expired == {"spent"}
+    assert S.label_in_waves(rows.limit(0), {"a": ["spent"]}, _failing_first_key, materialise, lambda s: None, pause=False)[0]["rows_total"] == 0
+
+
+def test_revisions(tmp_path):
+    markers = str(tmp_path / "m")
+    assert M.check_revision(str(tmp_path), "train", markers, lambda d: "x") == (False, "local")
+    assert M.check_revision("a/b", "train", markers) == (False, "local")
+    assert M.check_revision("a/b", "train", markers, lambda d: "r1") == (True, "r1") and M.check_revision("a/b", "train", markers, lambda d: "r1") == (False, "r1")
+    assert M.check_revision("a/b", "train", markers, lambda d: 1 / 0) == (False, "r1") and M.check_revision("a/b", "test", markers) == (False, "local")
+    assert [p.name for p in (tmp_path / "m").iterdir()] == ["a_b__train.revision"]

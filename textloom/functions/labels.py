@@ -6,6 +6,8 @@ have no range. Words must be JSON strings. Further keys are ignored.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -87,3 +89,51 @@ def tolerant_items(response: Column | str) -> Column:
     """The items of a chatty response; null unless all of them are whole and their words are known values."""
     items = scored_items(response_json(response))
     return F.when(F.forall(items, lambda i: valid_enums(i["labels"])), items)
+
+
+# ---- in tasks, where a response is read before it is stored ------------------------
+
+
+def checked_labels(labels, enums: bool = True) -> dict:
+    """A labels object with its fields alone, numbers as floats and words in lower case; a ValueError names what is wrong."""
+    if not isinstance(labels, dict):
+        raise ValueError("labels isn't an object")
+    out = {}
+    for field in FIELDS:
+        value = labels.get(field)
+        if field in WORDS:
+            if not isinstance(value, str) or (enums and value.lower() not in ENUMS[field]):
+                raise ValueError(f"{field} isn't a known word: {value!r}")
+            out[field] = value.lower() if enums else value
+        else:
+            try:
+                out[field] = float(value)
+            except (TypeError, ValueError):
+                raise ValueError(f"{field} isn't a number: {value!r}") from None
+    return out
+
+
+def _parsed(text: str, tolerant: bool):
+    """What a response says, if need be without code fences, or between its outermost brackets or braces."""
+    bare = text.strip()
+    if tolerant and bare.startswith("```"):
+        bare = bare.strip("`").strip().removeprefix("json").strip()
+    spans = [(0, len(bare))] + [(bare.find(a), bare.rfind(b) + 1) for a, b in ("[]", "{}") if tolerant]
+    for lo, hi in spans:
+        if 0 <= lo < hi:
+            try:
+                return json.loads(bare[lo:hi])
+            except ValueError:
+                continue
+    raise ValueError("the response has no JSON")
+
+
+def read_response(text: str, tolerant: bool = True) -> dict[str, dict]:
+    """The labels by id of a response, an array of objects with id and labels; a ValueError if any item isn't whole.
+
+    ``tolerant`` takes chatty responses and checks the words; otherwise the response must be JSON alone, and any word goes.
+    """
+    items = _parsed(text, tolerant)
+    if not isinstance(items, list) or not all(isinstance(i, dict) and "id" in i and "labels" in i for i in items):
+        raise ValueError("the response isn't an array of items with id and labels")
+    return {str(i["id"]): checked_labels(i["labels"], tolerant) for i in items}

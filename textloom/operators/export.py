@@ -43,18 +43,18 @@ def row_bytes(rows: DataFrame) -> Column:
     return total
 
 
-def running_total(rows: DataFrame, order: str, value: str, materialise: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
-    """``order``, ``value`` and before: the sum of the values of all rows that come earlier.
+def running_total(rows: DataFrame, order: str, value: str, materialise: Callable[[DataFrame, str], DataFrame], keep: tuple[str, ...] = ()) -> DataFrame:
+    """``order``, ``value``, ``keep`` and before: the sum of the values of all rows that come earlier.
 
     Sums are made within ranges of ``order`` (unique) and the ranges' totals, one row a
     partition, are added on top, so no task holds all rows.
     """
-    ranged = materialise(rows.select(order, value).repartitionByRange(order).withColumn("range_", F.spark_partition_id()), "ranges")
+    ranged = materialise(rows.select(order, value, *keep).repartitionByRange(order).withColumn("range_", F.spark_partition_id()), "ranges")
     totals = ranged.groupBy("range_").agg(F.sum(value).alias("total_"))
     ahead = Window.orderBy("range_").rowsBetween(Window.unboundedPreceding, -1)
     start = totals.select("range_", F.coalesce(F.sum("total_").over(ahead), F.lit(0)).alias("start_"))
     inner = Window.partitionBy("range_").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return ranged.withColumn("in_", F.coalesce(F.sum(value).over(inner), F.lit(0))).join(start, "range_").select(order, value, (F.col("start_") + F.col("in_")).alias("before"))
+    return ranged.withColumn("in_", F.coalesce(F.sum(value).over(inner), F.lit(0))).join(F.broadcast(start), "range_").select(order, value, *keep, (F.col("start_") + F.col("in_")).alias("before"))
 
 
 def part_numbers(rows: DataFrame, order: str, batch_rows: int, max_bytes: int, materialise: Callable[[DataFrame, str], DataFrame]) -> DataFrame:

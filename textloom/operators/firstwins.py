@@ -71,3 +71,16 @@ def keep_last(rows: DataFrame, key: str, order: str) -> DataFrame:
     return joined.where(F.col(key).isNull() | (F.col(order) == F.col("last_place_"))).select(*rows.columns)
 
 
+def replace_last(rows: DataFrame, order: str, one: str, two: str) -> DataFrame:
+    """The rows left when inserting in order where a row replaces every row that shares either key with it.
+
+    A row stays exactly if no later row has its first or its second key, whether that one stays or not;
+    so the last place of each key decides, without rounds. A null key conflicts with nothing.
+    ``order`` must be unique; a row without a place is left out.
+    """
+    placed = left = rows.where(F.col(order).isNotNull())
+    for key in (one, two):
+        last = placed.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key_")).agg(F.max(order).alias(f"last_{key}_"))
+        left = left.join(last, left[key] == last["key_"], "left").drop("key_")
+    stays = [F.col(k).isNull() | (F.col(order) == F.col(f"last_{k}_")) for k in (one, two)]
+    return left.where(stays[0] & stays[1]).select(*rows.columns)

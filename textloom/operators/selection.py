@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.labels import flat_labels
+from textloom.operators.export import running_total
 
 # What a candidate must be like, the weights of its score, and the order of the buckets.
 LANGUAGES = ("tatar", "mixed")
@@ -85,22 +87,30 @@ def select(found: DataFrame, materialise: Callable[[DataFrame, str], DataFrame],
     """The chosen candidates with bucket_rank and place (from 1, medium before low before high).
 
     Within a bucket the higher score comes first, then the lesser id; candidates that
-    agree in both are ordered by text. Only the bucket sizes reach the driver. Ranks are
-    taken among the candidates that can be chosen: each bucket is cut to its quota by
-    a distributed sort and limit before the window.
+    agree in both are ordered by text. Only the bucket sizes reach the driver. With a limit
+    each bucket is cut to its quota by a distributed sort and limit before the window;
+    without one all candidates are placed by a range partitioning.
     """
     found = materialise(found, "candidates")
     sizes = {r.density: r.n for r in found.groupBy("density").agg(F.count("*").alias("n")).collect()}
     q = quotas(sizes, limit, share, keep_proportions)
     order = [F.col("score").desc(), F.col("id"), F.col("text")]
-    out = None
-    for number, (bucket, n) in enumerate(zip(BUCKETS, (q.medium, q.low, q.high))):
-        part = found.where(F.col("density") == bucket).orderBy(*order).limit(n).withColumn("bucket_no", F.lit(number))
-        out = part if out is None else out.unionByName(part)
-    ranked = out.withColumn("bucket_rank", F.row_number().over(Window.partitionBy("density").orderBy(*order)))
-    before = {0: 0, 1: q.medium, 2: q.medium + q.low}
-    start = F.when(F.col("bucket_no") == 0, before[0]).when(F.col("bucket_no") == 1, before[1]).otherwise(before[2])
-    return ranked.withColumn("place", start + F.col("bucket_rank")).where(F.col("place") <= q.total).drop("bucket_no")
+    start = {"medium": 0, "low": q.medium, "high": q.medium + q.low}
+    begin = F.when(F.col("density") == "medium", 0).when(F.col("density") == "low", start["low"]).otherwise(start["high"])
+    if limit is None:
+        # Everything may be chosen: places come from sums over ranges, so no task sorts a whole bucket.
+        number = F.when(F.col("density") == "medium", 0).when(F.col("density") == "low", 1).otherwise(2)
+        falling = F.when(F.isnan("score"), F.lit(float("-inf"))).otherwise(-F.col("score"))
+        rows = found.withColumn("order_", F.struct(number, falling, "id", "text")).withColumn("one_", F.lit(1).cast("bigint"))
+        placed = running_total(rows, "order_", "one_", materialise, tuple(found.columns))
+        ahead = F.when(F.col("density") == "medium", 0).when(F.col("density") == "low", sizes.get("medium", 0)).otherwise(sizes.get("medium", 0) + sizes.get("low", 0))
+        ranked = placed.select(*found.columns, (F.col("before") - ahead + 1).alias("bucket_rank"))
+        most = F.when(F.col("density") == "medium", q.medium).when(F.col("density") == "low", q.low).otherwise(q.high)
+        ranked = ranked.where(F.col("bucket_rank") <= most)
+    else:
+        parts = [found.where(F.col("density") == bucket).orderBy(*order).limit(n) for bucket, n in zip(BUCKETS, (q.medium, q.low, q.high))]
+        ranked = reduce(DataFrame.unionByName, parts).withColumn("bucket_rank", F.row_number().over(Window.partitionBy("density").orderBy(*order)))
+    return ranked.withColumn("place", begin + F.col("bucket_rank")).where(F.col("place") <= q.total)
 
 
 def shuffled(rows: DataFrame, id: str, seed: int = 0) -> DataFrame:

@@ -42,16 +42,20 @@ def write_parts(rows: DataFrame, folder: str, materialise, max_bytes: int = 512
     made = Path(at, "_parts")
     numbered = rows.join(part_numbers(rows, "seq", batch_rows, max_bytes, materialise), "seq")
     numbered.repartition("part").sortWithinPartitions("part", "seq").select("part", *COLUMNS).write.mode("overwrite").partitionBy("part").option("compression", "zstd").parquet(made.toString())
-    counts = {r.part: r.n for r in rows.sparkSession.read.parquet(made.toString()).groupBy("part").agg(F.count("*").alias("n")).collect()} if fs.listStatus(made) and any(s.isDirectory() for s in fs.listStatus(made)) else {}
+    there = any(x.isDirectory() for x in fs.listStatus(made))
+    written = rows.sparkSession.read.parquet(made.toString()).groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("n")).collect() if there else []
+    # One task names its files alike in several folders.
+    counts = {tuple(r.file.rsplit("/", 2)[1:]): r.n for r in written}
     files = []
-    for number in sorted(counts):
-        inside = [s.getPath() for s in fs.listStatus(Path(made, f"part={number}")) if s.getPath().getName().endswith(".parquet")]
-        for p in inside:
+    for folder_ in sorted((x.getPath() for x in fs.listStatus(made) if x.isDirectory()), key=lambda p: int(p.getName().split("=")[1])):
+        for p in sorted((x.getPath() for x in fs.listStatus(folder_) if x.getPath().getName().endswith(".parquet")), key=lambda p: p.getName()):
             to = Path(at, f"train-{len(files):05d}.parquet")
             fs.rename(p, to)
-            files.append({"path": to.toString(), "rows": counts[number] if len(inside) == 1 else None, "bytes": fs.getFileStatus(to).getLen()})
+            files.append({"path": to.toString(), "rows": counts[folder_.getName(), p.getName()], "bytes": fs.getFileStatus(to).getLen()})
     fs.delete(made, True)
-    said = (report or {}) | {"rows_written": sum(counts.values()), "files": files, "file_count": len(files), "total_bytes": sum(f["bytes"] for f in files), "max_file_bytes": max_bytes, "compression": "zstd"}
+    said = (report or {}) | {
+        "rows_written": sum(counts.values()), "files": files, "file_count": len(files), "total_bytes": sum(f["bytes"] for f in files), "max_file_size_mb": max_bytes / (1 << 20), "compression": "zstd",
+    }
     write_text(rows, f"{folder}/export_report.json", json.dumps(said, ensure_ascii=False, indent=2))
     return said
 
@@ -67,7 +71,10 @@ def write_text(df: DataFrame, path: str, content: str) -> None:
 
 
 def write_json_array(chosen: DataFrame, path: str) -> int:
-    """id and text of a chosen batch, in the order it comes in, as one JSON array; streamed through the driver row by row."""
+    """id and text of a chosen batch, in the order it comes in, as one JSON array; streamed through the driver row by row, a partition at a time.
+
+    For a selection too large for one file :func:`write_json_lines` writes in parallel.
+    """
     fs, at, _ = _fs(chosen, path)
     stream, n = fs.create(at, True), 0
     try:
@@ -82,6 +89,12 @@ def write_json_array(chosen: DataFrame, path: str) -> int:
     return n
 
 
-def report_json(counts: DataFrame, name: str, value: str) -> str:
-    """A report of counters as JSON, from a table of a few names and numbers."""
-    return json.dumps({r[name]: r[value] for r in counts.select(name, value).orderBy(name).collect()}, ensure_ascii=False, indent=2)
+def write_json_lines(chosen: DataFrame, folder: str) -> int:
+    """id and text of a selection as JSON lines, in parallel, in files whose names are in its order."""
+    chosen.select("id", "text").write.mode("overwrite").option("ignoreNullFields", "false").json(folder)
+    return chosen.sparkSession.read.schema("id string").json(folder).count()
+
+
+def write_report(df: DataFrame, path: str, counts: dict) -> None:
+    """The counters of a step as a JSON file, by name."""
+    write_text(df, path, json.dumps(dict(sorted(counts.items())), ensure_ascii=False, indent=2))

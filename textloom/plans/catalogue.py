@@ -302,6 +302,15 @@ def insert_or_replace_latest(spark: SparkSession, folder: str) -> DataFrame:
     return firstwins.keep_last(read_table(spark, folder, "toxicity_segments").select("seq", "id", "toxicity_label"), "id", "seq")
 
 
+@query(
+    "SELECT seq, id, norm_hash FROM toxicity_segments t WHERE seq IS NOT NULL AND NOT EXISTS (SELECT 1 FROM toxicity_segments u WHERE u.seq > t.seq AND u.id = t.id) "
+    "AND NOT EXISTS (SELECT 1 FROM toxicity_segments u WHERE u.seq > t.seq AND u.norm_hash = t.norm_hash)"
+)
+def insert_or_replace_two_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Of the scored segments those that inserting in order leaves, where a row replaces all that share its id or norm_hash."""
+    return firstwins.replace_last(read_table(spark, folder, "toxicity_segments").select("seq", "id", "norm_hash"), "seq", "id", "norm_hash")
+
+
 @query(f"WITH {_simhash_sql('clean_segments')} SELECT * FROM simhashes")
 def simhash_halves(spark: SparkSession, folder: str) -> DataFrame:
     rows = dedup.with_simhash(_texts(spark, folder, "clean_segments").select("seq", "text").where("text IS NOT NULL"), "text")
@@ -452,6 +461,12 @@ def selection_keep_proportions(spark: SparkSession, folder: str) -> DataFrame:
     return selection.select(_candidates(spark, folder), materialise, 100, 0.15, True).select("id", "density", F.col("bucket_rank").cast("bigint").alias("bucket_rank"))
 
 
+@query(f"WITH {_CANDIDATES} SELECT id, density, bucket_rank FROM ranked")
+def selection_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Every candidate with its rank: a selection without a limit."""
+    return selection.select(_candidates(spark, folder), materialise, None, 0.15, False).select("id", "density", F.col("bucket_rank").cast("bigint").alias("bucket_rank"))
+
+
 @query(_selection_sql(400, 0.1, False))
 def selection_free_fill(spark: SparkSession, folder: str) -> DataFrame:
     return selection.select(_candidates(spark, folder), materialise, 400, 0.1, False).select("id", "density", F.col("bucket_rank").cast("bigint").alias("bucket_rank"))
@@ -534,4 +549,6 @@ def scorer_offline(spark: SparkSession, folder: str) -> DataFrame:
     rows = read_table(spark, folder, "toxicity_segments").select("seq", "id", "text", "toxicity_label", "gemini_skipped")
     waiting = membership.pending(rows, read_table(spark, folder, "llm_segments"), "id", "toxicity_label", "gemini_skipped")
     accounts = {f"account_{i}": [f"key_{i}"] for i in range(1, 5)}
-    return scoring.score_with_service(waiting.groupBy("id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text")), accounts, _offline_service, materialise, pause=False)
+    asked = waiting.groupBy("id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    scored = scoring.score_with_service(asked, accounts, _offline_service, materialise, pause=False)
+    return scored.where("status <> 'account'").select("id", "status", "labels_json", "reason")

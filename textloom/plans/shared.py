@@ -11,6 +11,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,18 +32,36 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + uri[5:] if uri.startswith("file:/") and not uri.startswith("file://") else uri
 
 
+_OPEN: ContextVar[list[str] | None] = ContextVar("open", default=None)
+
+
 def materialise(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     An empty input gives an empty table of the same schema. The files are removed
-    when the session's driver ends; a caller that knows when a table is no longer
-    read can remove it before with :func:`forget`.
+    at the end of the :func:`scratch` block they are made in, else when the session's driver ends.
     """
     path = temporary_folder(df.sparkSession, tag)
+    if _OPEN.get() is not None:
+        _OPEN.get().append(path)
     df.write.parquet(path)
     return _expiring(df.sparkSession, path).read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """A block at whose end the tables materialised in it are removed; for steps whose results are written before it ends."""
+    made: list[str] = []
+    token = _OPEN.set(made)
+    try:
+        yield
+    finally:
+        _OPEN.reset(token)
+        for path in made:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` in as many partitions as there are cores, if it has fewer: a scan of one small file would keep one core busy.
 
@@ -64,12 +85,3 @@ def _expiring(spark: SparkSession, path: str) -> SparkSession:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
     return spark
-
-
-def forget(df: DataFrame) -> None:
-    """Delete the files of a table made by :func:`materialise`."""
-    spark = df.sparkSession
-    for file in df.inputFiles()[:1]:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
-        fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-        fs.delete(folder, True)

@@ -11,12 +11,13 @@ from textloom.sources.tables import valid_identifier
 SEGMENT = "seq bigint, id string, parent_digest string, text string, norm_hash string"
 SCHEMAS = {
     "clean_segments": SEGMENT,
-    "dedup_segments": SEGMENT,
+    "dedup_segments": f"{SEGMENT}, simhash bigint",
     "toxicity_segments": f"{SEGMENT}, toxicity_label int, toxicity_score double, skipped int",
     "llm_segments": f"{SEGMENT}, toxicity_label int, toxicity_score double, labels_json string, labels_error string",
     "ingest_log": "row_hash string, dataset string, split string, revision string, source_id string, created_at timestamp",
     "export_log": "id string, target string, exported_at timestamp",
     "skip_log": "id string, reason string",
+    "label_metrics": "name string, n bigint, made_at timestamp",
 }
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 import os
+import re
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -108,7 +110,27 @@ def save_expired(path: str, keys: set[str]) -> None:
     Path(path).write_text(json.dumps(sorted(keys), indent=2), encoding="utf-8")
 
 
-def revision_of(path: str) -> str:
-    """What stands for the revision of a local dataset: ``local``, or the marker file beside it if there is one."""
-    marker = Path(path.rstrip("/") + ".revision")
-    return marker.read_text(encoding="utf-8").strip() if marker.exists() else "local"
+def revision_marker(markers: str, dataset: str, split: str) -> Path:
+    """The file that keeps the revision of a dataset and split that was read last."""
+    name = "__".join(re.sub(r"[^\w]|_", "_", part) for part in (dataset, split))
+    return Path(markers) / f"{name}.revision"
+
+
+def check_revision(dataset: str, split: str, markers: str, remote: Callable[[str], str | None] | None = None) -> tuple[bool, str]:
+    """Whether a dataset is to be fetched anew, and its revision: what ``remote`` says, else the one kept, else ``local``.
+
+    A local path has no remote revision; a ``remote`` that fails has none either. The marker is only
+    written where the remote revision is known.
+    """
+    latest = None
+    if remote is not None and not os.path.exists(dataset):
+        try:
+            latest = remote(dataset)
+        except Exception:
+            latest = None
+    marker = revision_marker(markers, dataset, split)
+    kept = marker.read_text(encoding="utf-8").strip() if marker.exists() else None
+    if latest:
+        marker.parent.mkdir(parents=True, exist_ok=True)
+        marker.write_text(latest, encoding="utf-8")
+    return bool(latest) and latest != kept, latest or kept or "local"
