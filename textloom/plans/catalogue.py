@@ -1,7 +1,7 @@
 """The queries of the curation operators, each over its whole tables, and the SQL that gives the same rows.
 
-Queries without SQL need a hash that SQL engines lack; they are tested against plain
-implementations instead.
+The SQL is written from the rules, not from the Spark code: greedy steps as recursive
+queries that go row by row, packing as a fold, XXH32 by its definition.
 """
 
 from __future__ import annotations
@@ -54,12 +54,23 @@ def _strip_sql(x: str) -> str:
 
 _RAW = "coalesce(nullif(text, ''), nullif(message, ''), '')"
 _SOURCE = "coalesce(nullif(url, ''), nullif(message_url, ''), 'url:' || seq)"
-_NORMAL = (
-    rf"regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace({_RAW}, '[\x{{d}}\x{{200b}}\x{{feff}}\x{{2060}}]', '', 'g'), "
-    rf"'{T.LINE_BREAK}', chr(10), 'g'), '\n\z', ''), '[ \x{{9}}\x{{a0}}]+', ' ', 'g'), '(?m)^[{_INNER_SPACE}]+|[{_INNER_SPACE}]+$', '', 'g')"
-)
+
+
+def _regular_sql(x: str) -> str:
+    return (
+        rf"regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace({x}, '[\x{{d}}\x{{200b}}\x{{feff}}\x{{2060}}]', '', 'g'), "
+        rf"'{T.LINE_BREAK}', chr(10), 'g'), '\n\z', ''), '[ \x{{9}}\x{{a0}}]+', ' ', 'g'), '(?m)^[{_INNER_SPACE}]+|[{_INNER_SPACE}]+$', '', 'g')"
+    )
+
+
+_NORMAL = _regular_sql(_RAW)
 _CONTACT = rf"(?i){T.WORD_START}{T.URL}|{T.EMAIL}|{T.PHONE}"
-_CONTACT_ONLY = rf"(regexp_replace(regexp_replace({_RAW}, '{_CONTACT}', ' ', 'g'), '[\p{{P}}\p{{S}}{T.SPACE}]+', '', 'g') = '')"
+
+
+def _contact_only_sql(x: str) -> str:
+    return rf"(regexp_replace(regexp_replace({x}, '{_CONTACT}', ' ', 'g'), '[\p{{P}}\p{{S}}{T.SPACE}]+', '', 'g') = '')"
+
+
 _SCRIPT = r"len(regexp_extract_all(text, '\p{Cyrillic}'))"
 _REASON = f"""CASE
     WHEN {_SCRIPT} < 10 THEN 'min_letters'
@@ -140,7 +151,9 @@ def _greedy_sql(table: str, near: str, norms: bool) -> str:
 
 _PENDING = "toxicity_label <> 1 AND coalesce(gemini_skipped, 0) = 0 AND NOT EXISTS (SELECT 1 FROM llm_segments l WHERE l.id = t.id)"
 _SENTENCES = rf"list_filter(list_transform(string_split(regexp_replace(text, '([.!?…])[{T.WHITE}]+', '\1' || chr(1), 'g'), chr(1)), lambda x: {_strip_sql('x')}), lambda x: x <> '')"
-_PACK = rf"""WITH RECURSIVE texts AS MATERIALIZED (SELECT seq, text, len({_LOWER_WORDS}) <= 50 AND length(text) <= 500 AS fits, {_SENTENCES} AS s FROM clean_segments WHERE text IS NOT NULL),
+def _pack_sql(source: str) -> str:
+    """CTEs up to ``packed`` (seq, parts): the segments of the texts (seq, text) of a query."""
+    return rf"""texts AS MATERIALIZED (SELECT seq, text, len({_LOWER_WORDS}) <= 50 AND length(text) <= 500 AS fits, {_SENTENCES} AS s FROM ({source}) WHERE text IS NOT NULL),
     sentences AS MATERIALIZED (SELECT seq, k, text, len({_LOWER_WORDS}) AS n, {_LOWER_WORDS} AS tokens FROM (
         SELECT seq, unnest(s) AS text, generate_subscripts(s, 1) AS k FROM texts WHERE NOT fits)),
     big AS MATERIALIZED (SELECT seq, k, tokens FROM sentences WHERE n > 50 OR length(text) > 500),
@@ -159,10 +172,71 @@ _PACK = rf"""WITH RECURSIVE texts AS MATERIALIZED (SELECT seq, text, len({_LOWER
                 ELSE list_concat(CASE WHEN f.held = '' THEN f.out ELSE list_append(f.out, {_strip_sql('f.held')}) END, coalesce(c.parts, [])) END
         FROM fold f JOIN sentences s ON s.seq = f.seq AND s.k = f.k + 1 LEFT JOIN chunks c ON c.seq = s.seq AND c.k = s.k),
     packed AS (SELECT f.seq, list_filter(CASE WHEN f.held = '' THEN f.out ELSE list_append(f.out, {_strip_sql('f.held')}) END, lambda x: x <> '') AS parts FROM fold f JOIN texts t USING (seq) WHERE f.k = len(t.s)
-        UNION ALL SELECT seq, list_filter([{_strip_sql('text')}], lambda x: x <> '') FROM texts WHERE fits)
+        UNION ALL SELECT seq, list_filter([{_strip_sql('text')}], lambda x: x <> '') FROM texts WHERE fits)"""
+
+
+_PACK = f"""WITH RECURSIVE {_pack_sql('SELECT seq, text FROM clean_segments')}
     SELECT seq, CAST(segment_no - 1 AS INTEGER) AS segment_no, segment FROM (SELECT seq, unnest(parts) AS segment, generate_subscripts(parts, 1) AS segment_no FROM packed)"""
 
 
+def _xxh32_sql(name: str, source: str) -> str:
+    """CTEs up to ``name`` (m, h): the XXH32 hash, with seed 0, of the texts (m) of a query. The primes are those of the algorithm."""
+    one, two, three, four, five, m = 2654435761, 2246822519, 3266489917, 668265263, 374761393, 1 << 32
+
+    def turn(x: str, by: int) -> str:
+        return f"((({x}) << {by}) | (({x}) >> {32 - by})) % {m}"
+
+    def lane(v: str, k: int) -> str:
+        return f"list_reduce(list_prepend({v}::UBIGINT, list_transform(range(0, n // 16), lambda j: lanes[4 * j + {k}])), lambda v, x: {turn(f'(v + x * {two}) % {m}', 13)} * {one} % {m})"
+
+    hexed = " || ".join(f"substr(hx, 8 * j + {k}, 2)" for k in (7, 5, 3, 1))
+    return f"""{name}0 AS MATERIALIZED (SELECT m, hex(encode(m)) AS hx, octet_length(encode(m)) AS n FROM ({source})),
+    {name}1 AS MATERIALIZED (SELECT *, list_transform(range(0, n // 4), lambda j: ('0x' || {hexed})::UBIGINT) AS lanes FROM {name}0),
+    {name}2 AS MATERIALIZED (SELECT *, {lane(str((one + two) % m), 1)} AS a, {lane(str(two), 2)} AS b, {lane('0', 3)} AS c, {lane(str(m - one), 4)} AS d FROM {name}1),
+    {name}3 AS (SELECT *, ((CASE WHEN n >= 16 THEN {turn('a', 1)} + {turn('b', 7)} + {turn('c', 12)} + {turn('d', 18)} ELSE {five} END + n) % {m})::UBIGINT AS h3 FROM {name}2),
+    {name}4 AS MATERIALIZED (SELECT *, list_reduce(list_prepend(h3, lanes[4 * (n // 16) + 1:]), lambda v, x: {turn(f'(v + x * {three}) % {m}', 17)} * {four} % {m}) AS h4 FROM {name}3),
+    {name}5 AS MATERIALIZED (SELECT *, list_reduce(list_prepend(h4, list_transform(range(n // 4 * 4, n), lambda j: ('0x' || substr(hx, 2 * j + 1, 2))::UBIGINT)), lambda v, x: {turn(f'(v + x * {five}) % {m}', 11)} * {one} % {m}) AS h5 FROM {name}4),
+    {name}6 AS (SELECT m, (xor(h5, h5 >> 15) * {two} % {m})::UBIGINT AS h6 FROM {name}5),
+    {name}7 AS (SELECT m, (xor(h6, h6 >> 13) * {three} % {m})::UBIGINT AS h7 FROM {name}6),
+    {name} AS MATERIALIZED (SELECT m, xor(h7, h7 >> 16) AS h FROM {name}7)"""
+
+
+def _hidden_sql(source: str, names: tuple[str, ...]) -> str:
+    """CTEs up to ``hidden`` (seq, text): the texts of a query with names filled in and contacts hidden, stage by stage."""
+    listed = "[" + ", ".join(f"'{n}'" for n in names) + "]"
+    inner = _strip_sql("substr(m, 3, length(m) - 4)")
+    stages = [
+        ("named", T.NAME_PLACEHOLDER, inner, f"{listed}[CAST(h % {len(names)} + 1 AS BIGINT)]" if names else "''"),
+        ("mailed", f"(?i){T.EMAIL}", "m", "printf('mail%05d@example.com', h % 100000)"),
+        ("phoned", T.PHONE, "m", "printf('+7 %03d %03d-%02d-%02d', 900 + h % 90, h // 100 % 1000, h % 10000 // 100, h % 100)"),
+        ("hidden", rf"(?i)\b{T.URL}", "m", "printf('https://%06d.com', h % 1000000)"),
+    ]
+    out, before = [], f"({source})"
+    for name, pattern, seed, made in stages:
+        out.append(
+            f"""{name}_p AS MATERIALIZED (SELECT seq, unnest(p) AS piece, generate_subscripts(p, 1) AS k FROM (SELECT seq, string_split_regex(text, '{pattern}') AS p FROM {before})),
+    {name}_m AS MATERIALIZED (SELECT seq, k, {seed} AS m FROM (SELECT seq, unnest(x) AS m, generate_subscripts(x, 1) AS k FROM (SELECT seq, regexp_extract_all(text, '{pattern}') AS x FROM {before}))),
+    {_xxh32_sql(name + '_h', f'SELECT DISTINCT m FROM {name}_m')},
+    {name} AS MATERIALIZED (SELECT seq, string_agg(piece || coalesce({made}, ''), '' ORDER BY k) AS text FROM {name}_p LEFT JOIN {name}_m USING (seq, k) LEFT JOIN {name}_h USING (m) GROUP BY seq)"""
+        )
+        before = name
+    return ",\n    ".join(out)
+
+
+_NAMES = ("Айгөл", "Булат", "Ләйсән", "Тимур")
+_SYSTEM = ", ".join(f"'{m}'" for m in DEFAULT.system_messages)
+_PROCESSED = f"""raw AS MATERIALIZED (SELECT seq, {_RAW} AS raw, {_strip_sql(_RAW)} AS text, {_SOURCE} AS source FROM raw_messages),
+    early AS MATERIALIZED (SELECT seq, text, source, CASE WHEN raw = '' THEN 'reject_empty' WHEN text = '' OR text IN ({_SYSTEM}) THEN 'reject_system_message'
+        WHEN {_contact_only_sql('text')} THEN 'reject_contact_only_raw' END AS early FROM raw),
+    {_hidden_sql(f"SELECT seq, {_regular_sql('text')} AS text FROM early WHERE early IS NULL", ())},
+    clean AS MATERIALIZED (SELECT seq, text, {_contact_only_sql('text')} AS gone FROM hidden),
+    {_pack_sql('SELECT seq, text FROM clean WHERE NOT gone')},
+    parts AS MATERIALIZED (SELECT seq, unnest(parts) AS text, generate_subscripts(parts, 1) - 1 AS segment_no FROM packed),
+    judged AS MATERIALIZED (SELECT seq, segment_no, text, {_REASON} AS reason FROM parts),
+    processed AS (SELECT e.seq, sha1(e.source) AS parent_digest, sha1(e.source) || '#' || j.segment_no AS id, j.text, coalesce(e.early, CASE WHEN c.gone THEN 'reject_contact_only_clean' END, j.reason, 'no_segments') AS reason
+        FROM early e LEFT JOIN clean c USING (seq) LEFT JOIN judged j USING (seq))"""
+
+
 def _last_sql(table: str) -> str:
     return f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS place FROM {table} WHERE id IS NOT NULL) WHERE place = 1)"
 
@@ -216,7 +290,7 @@ def contact_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query(f"SELECT seq, {_CONTACT_ONLY} AS contact_only FROM raw_messages")
+@query(f"SELECT seq, {_contact_only_sql(_RAW)} AS contact_only FROM raw_messages")
 def contact_only_flag(spark: SparkSession, folder: str) -> DataFrame:
     return _texts(spark, folder, "raw_messages").select("seq", T.is_contact_only(T.first_filled("text", "message")).alias("contact_only"))
 
@@ -252,24 +326,24 @@ def segment_pack(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("seq", "segment_no", "segment")
 
 
-@query()
+@query(f"WITH {_hidden_sql(f'SELECT seq, {_NORMAL} AS text FROM raw_messages', _NAMES)} SELECT seq, text FROM hidden")
 def anonymised_messages(spark: SparkSession, folder: str) -> DataFrame:
     """Every raw message with contacts hidden and name placeholders filled."""
     raw = T.normalise_whitespace(T.first_filled("text", "message"))
-    return _texts(spark, folder, "raw_messages").select("seq", anonymise(raw, ("Айгөл", "Булат", "Ләйсән", "Тимур")).alias("text"))
+    return _texts(spark, folder, "raw_messages").select("seq", anonymise(raw, _NAMES).alias("text"))
 
 
 def _processed(spark: SparkSession, folder: str) -> DataFrame:
     return segment.process_messages(resolved(_texts(spark, folder, "raw_messages"), "seq"), "source_id", "raw_text", keep=("seq",))
 
 
-@query()
+@query(f"WITH RECURSIVE {_PROCESSED} SELECT seq, id, parent_digest, text FROM processed WHERE reason = 'pass'")
 def message_segments(spark: SparkSession, folder: str) -> DataFrame:
     """The segments that raw messages give and that pass every rule."""
     return _processed(spark, folder).where("reason = 'pass'").select("seq", "id", "parent_digest", "text")
 
 
-@query()
+@query(f"WITH RECURSIVE {_PROCESSED} SELECT reason, count(*) AS n FROM processed GROUP BY reason")
 def message_reasons(spark: SparkSession, folder: str) -> DataFrame:
     """How many messages and segments were rejected for which reason."""
     return segment.reason_counts(_processed(spark, folder))
