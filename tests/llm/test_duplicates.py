@@ -150,6 +150,7 @@ def test_history_batch_by_batch(spark, monkeypatch, holders, part_rows):
     # Without shingles the rare words alone must find everything; small parts make many files.
     monkeypatch.setattr(history, "HOLDERS", holders)
     monkeypatch.setattr(history, "PART_ROWS", part_rows)
+    monkeypatch.setattr(history, "PART_SETS", part_rows // 8)
     old, new = corpus(11, 260), corpus(12, 60) + corpus(11, 300)[200:]
     new += ["\U0001f642", "\U0001f642", "", None]
     stored = spark.createDataFrame(list(enumerate(old)), "seq long, text string")

@@ -49,8 +49,8 @@ from .neardup import _first_of_class, _Hashes, bucket, frequency_sketch, keys_of
 
 SHINGLE, WINDOW = 3, 4
 HOLDERS = 50
-#: Rows for which a part of a table is meant.
-PART_ROWS = 400_000
+#: Fingerprints, word sets and keys for which a part of a table is meant: some ten megabytes each.
+PART_ROWS, PART_SETS, PART_KEYS = 400_000, 50_000, 100_000
 #: A filter answers wrongly for about one in a thousand.
 BLOOM_BITS, BLOOM_HASHES = 14, 10
 #: Bytes of a row group, the least that is read.
@@ -456,12 +456,12 @@ class _Generations:
 
     def _shards(self, rows: int) -> int:
         """Leading bits by which a batch is spread over tasks: enough for the cores, and for PART_ROWS rows a task."""
-        return _bits(max(rows, PART_ROWS * self.spark.sparkContext.defaultParallelism))
+        return _bits(max(rows, PART_ROWS * self.spark.sparkContext.defaultParallelism), PART_ROWS)
 
 
-def _bits(rows: int) -> int:
-    """Leading bits for parts of about PART_ROWS rows."""
-    return max(0, math.ceil(math.log2(max(1, rows / PART_ROWS))))
+def _bits(rows: int, part_rows: int) -> int:
+    """Leading bits for parts of at most about so many rows."""
+    return max(0, math.ceil(math.log2(max(1, rows / part_rows))))
 
 
 class FingerprintStore(_Generations):
@@ -510,7 +510,7 @@ class FingerprintStore(_Generations):
         if self.exists(name):
             return
         rows = sets.count()
-        set_bits, print_bits = _bits(rows), _bits(rows * 24)
+        set_bits, print_bits = _bits(rows, PART_SETS), _bits(rows * 24, PART_ROWS)
         self._write(sets.select("class", "words").mapInArrow(_first_of_class, "class bigint, words array<bigint>"), name, "sets", "class", set_bits, False)
         stored = self.spark.read.schema("class bigint, words array<bigint>").parquet(f"{self.folder}/{name}/sets")
         self._write(self.prints_of(spread(stored)) if prints is None else prints, name, "prints", "print", print_bits, True)
@@ -590,7 +590,7 @@ class KeyLog(_Generations):
         """Append the distinct keys as a generation; one that is complete stays as it is."""
         name = f"generation-{number:06d}"
         if not self.exists(name):
-            bits = _bits(keys.count())
+            bits = _bits(keys.count(), PART_KEYS)
             self._write(self._hashed(keys, key).select("print", "check").distinct(), name, "keys", "print", bits, True)
             self._put(f"{name}/about.json", json.dumps({"key_bits": bits}).encode())
 

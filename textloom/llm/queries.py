@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -107,14 +108,14 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p3_status(spark: SparkSession, folder: str) -> DataFrame:
-    """Whether each incoming row is new, and if not, by what it is known."""
+    """Whether each incoming row is new, and if not, by what it is known: its row hash, the store, or an earlier row of its batch."""
     rows, *known = _incoming_checked(spark, folder)
-    marks = None
-    for name, places in zip(("row_hash", "store", "batch"), known):
-        part = places.distinct().select("place", F.lit(name).alias("by"))
-        marks = part if marks is None else marks.unionByName(part)
-    marks = marks.groupBy("place").agg(F.array_sort(F.collect_set("by")).alias("known_by"))
-    return rows.select("seq", "batch_no", "place").join(marks, "place", "left").select("seq", "batch_no", F.when(F.col("known_by").isNull(), "new").otherwise("known").alias("status"), "known_by")
+    names = ("by_row_hash", "by_store", "by_batch")
+    marks = reduce(DataFrame.unionByName, (places.select("place", F.lit(name).alias("by")) for name, places in zip(names, known)))
+    marks = marks.groupBy("place").agg(*(F.max(F.col("by") == n).alias(n) for n in names))
+    flags = [F.coalesce(n, F.lit(False)).alias(n) for n in names]
+    status = F.when(F.col("by_row_hash").isNull(), "new").otherwise("known").alias("status")
+    return rows.select("seq", "batch_no", "place").join(marks, "place", "left").select("seq", "batch_no", status, *flags)
 
 
 def _language_models(spark: SparkSession, folder: str) -> language.LanguageModels:
@@ -263,9 +264,14 @@ def _like_sql(one: str, two: str) -> str:
 
 
 _DEDUP = "SELECT seq AS row, text FROM dedup_segments"
-_P3 = f"""WITH {_like_sql("SELECT struct_pack(b := batch_no, s := seq) AS row, text FROM incoming_segments",
-    "SELECT struct_pack(b := -1, s := seq) AS row, text FROM dedup_segments UNION ALL SELECT struct_pack(b := batch_no, s := seq), text FROM incoming_segments")}
+_P3_ALIKE = f"""WITH {_like_sql("SELECT struct_pack(b := batch_no, s := seq) AS row, text FROM incoming_segments",
+    "SELECT struct_pack(b := -1, s := seq) AS row, text FROM dedup_segments UNION ALL SELECT struct_pack(b := batch_no, s := seq), text FROM incoming_segments")}"""
+_P3 = f"""{_P3_ALIKE}
     SELECT seq FROM incoming_segments WHERE row_hash IN (SELECT row_hash FROM ingest_log) UNION SELECT a.s FROM alike WHERE b.b < a.b OR (b.b = a.b AND b.s < a.s)"""
+_P3_STATUS = f"""{_P3_ALIKE},
+    marked AS (SELECT seq, batch_no, coalesce(row_hash IN (SELECT row_hash FROM ingest_log WHERE row_hash IS NOT NULL), false) AS by_row_hash,
+        seq IN (SELECT a.s FROM alike WHERE b.b < a.b) AS by_store, seq IN (SELECT a.s FROM alike WHERE b.b = a.b AND b.s < a.s) AS by_batch FROM incoming_segments)
+    SELECT seq, batch_no, CASE WHEN by_row_hash OR by_store OR by_batch THEN 'known' ELSE 'new' END AS status, by_row_hash, by_store, by_batch FROM marked"""
 _P6 = f"WITH {_like_sql(_DEDUP, _DEDUP)} SELECT a AS seq_a, b AS seq_b FROM alike WHERE a < b AND len((SELECT words FROM one WHERE one.row = a)) > 0"
 _P6_GROUPS = f"""WITH RECURSIVE {_like_sql(_DEDUP, _DEDUP)},
     class AS MATERIALIZED (SELECT row, min(row) OVER (PARTITION BY list_sort(words)) AS class FROM one WHERE len(words) > 0),
@@ -294,6 +300,7 @@ _P8 = f"""WITH items AS (SELECT DISTINCT item_id, unnest(list_transform(range(1,
 
 SQL: dict[str, str] = {
     "p3_found": _P3,
+    "p3_status": _P3_STATUS,
     "p5_found": "SELECT seq FROM clean_segments WHERE length(text) > 500",
     "p6_found": _P6,
     "p6_groups": _P6_GROUPS,
