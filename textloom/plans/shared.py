@@ -63,12 +63,12 @@ def scratch(spark: SparkSession) -> Iterator[None]:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """``df`` in as many partitions as there are cores, if it has fewer: a scan of one small file would keep one core busy.
+    """``df`` in as many partitions as there are cores, if it has at most half as many: a scan of one small file would keep one core busy.
 
-    A table large enough to have a split for every core stays as it is, without a shuffle.
+    A table of more splits stays as it is, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
 
 
 def temporary_folder(spark: SparkSession, tag: str) -> str:
