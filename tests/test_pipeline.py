@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from textloom.operators import sinks
 from textloom.pipeline import CurationPipeline
-from textloom.plans.shared import materialise
+from textloom.plans.shared import materialise, shared_dir, spread
 from textloom.plans.store import Store
 from textloom.sources.tables import read_table, valid_identifier
 from textloom.streaming.ingest import stream_ingest, windowed_rates
@@ -135,6 +135,29 @@ def test_windowed_rates(spark):
     assert got == {("2025-03-01 10:00:00", "a"): (2, 1), ("2025-03-01 11:00:00", None): (1, 1)}
 
 
+def test_spread(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert spread(spark.range(9).coalesce(1)).rdd.getNumPartitions() == cores and spread(spark.range(9).coalesce(1)).count() == 9
+    whole = spark.range(9).repartition(cores)
+    assert spread(whole) is whole
+
+
+def test_shared_folder_is_asked_for(spark):
+    """On a cluster there is no folder but the one that is set."""
+
+    class Cluster:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        conf, sparkContext = {}, Cluster()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
+
+
 def test_identifiers():
     assert valid_identifier("a_1") == "a_1"
     for bad in ("", "1a", "a-b", "a\n", "a b"):
