@@ -18,7 +18,7 @@ Fingerprints are of two kinds. Winnowed shingles: of every ``WINDOW`` runs of
 ``SHINGLE`` consecutive words the one of the least hash. Texts that share a run of
 ``WINDOW + SHINGLE - 1`` words share one, but reordered or densely edited texts need not,
 and a stock phrase would gather any number of texts. So shingles held by more than
-``HOLDERS`` classes (of a row group) are passed over, and the rare words of a text are winnowed too: the
+``HOLDERS`` classes (of what is read in one go) are passed over, and the rare words of a text are winnowed too: the
 keys of :mod:`neardup`, of which alike texts always share one, and of which none is
 passed over. They carry group counts that bound the shared words before anything is
 verified. The result is exact whatever the edits.
@@ -53,8 +53,8 @@ HOLDERS = 50
 PART_ROWS, PART_SETS, PART_KEYS = 400_000, 50_000, 100_000
 #: A filter answers wrongly for about one in a thousand.
 BLOOM_BITS, BLOOM_HASHES = 14, 10
-#: Bytes of a row group, the least that is read.
-ROW_GROUP = 512 << 10
+#: Bytes of a row group, the least that is read, of fingerprints and keys, and of word sets; and how many are read in one go.
+ROW_GROUP, SET_GROUP, GROUPS_AT_ONCE = 32 << 10, 64 << 10, 16
 GROUPS = 16
 AT_ONCE = 1_000_000
 VERIFIED_AT_ONCE = 200_000
@@ -256,13 +256,17 @@ class _Shelf:
         for file in self._files(self.path, part):
             with self.fs.open_input_file(file) as f:
                 opened = papq.ParquetFile(f)
-                at = opened.schema_arrow.names.index(columns[0])
+                self.count(opened.metadata.serialized_size)
+                at = [opened.schema_arrow.names.index(c) for c in columns]
+                needed: list[int] = []
                 for group in range(opened.num_row_groups):
                     about = opened.metadata.row_group(group)
-                    known = about.column(at).statistics
+                    known = about.column(at[0]).statistics
                     if known is None or not known.has_min_max or np.searchsorted(values, known.min) < np.searchsorted(values, known.max, side="right"):
-                        self.count(sum(about.column(opened.schema_arrow.names.index(c)).total_compressed_size for c in columns))
-                        yield opened.read_row_group(group, columns=columns)
+                        self.count(sum(about.column(k).total_compressed_size for k in at))
+                        needed.append(group)
+                for lo in range(0, len(needed), GROUPS_AT_ONCE):
+                    yield opened.read_row_groups(needed[lo : lo + GROUPS_AT_ONCE], columns=columns).combine_chunks()
 
 
 def _whole(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
@@ -439,7 +443,7 @@ class _Generations:
         fs.delete(at, True)
 
     def _write(self, rows: DataFrame, name: str, table: str, order: str, bits: int, filtered: bool) -> None:
-        small = {"parquet.block.size": str(ROW_GROUP), "parquet.page.size": str(64 << 10), "compression": "zstd"}
+        small = {"parquet.block.size": str(ROW_GROUP if filtered else SET_GROUP), "parquet.page.size": str(16 << 10), "compression": "zstd"}
         path = f"{self.folder}/{name}/{table}"
         placed = rows.withColumn("part", part_column(order, bits)).repartitionById(1 << bits, "part")
         if not filtered:
