@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import json
 import re
-import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
