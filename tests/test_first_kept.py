@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions.simhash import bands, hamming, simhash_lists
 from textloom.operators import dedup, firstwins
+from textloom.plans import shared
 from textloom.plans.catalogue import QUERIES
 from textloom.plans.shared import materialise, scratch
 from textloom.profile import Profile
@@ -158,3 +159,27 @@ def test_stored_simhashes_are_used(spark):
     assert [r.status for r in dedup.deduplicate(new, "seq", "text", "norm_hash", materialise, stored=old, key="id").collect()] == ["near_dup"]
     other = old.where("norm_hash = 'y'").withColumn("text", F.lit("а б в г д е ж з и к"))
     assert [r.status for r in dedup.deduplicate(new, "seq", "text", "norm_hash", materialise, stored=other, key="id").collect()] == ["kept"]
+
+
+def test_large_tables_are_not_broadcast(spark, monkeypatch):
+    """However small Spark takes a table to be: joins of more rows than may be broadcast are merged, the bands of SimHash values always."""
+    plans = []
+
+    def run(df):
+        got = df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString())  # the last plan, as it ran
+        return got
+
+    def watched(df, tag):
+        run(df)
+        return materialise(df, tag)
+
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(12)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(3, 9))), None) for i in range(60)]
+    df = spark.createDataFrame(rows, "seq long, text string, norm_hash string")
+    assert run(dedup.near_pairs(dedup.with_simhash(df, "text"), 9)) and "BroadcastExchange" not in plans[-1]
+    monkeypatch.setattr(shared, "BROADCAST_ROWS", -1, raising=False)
+    got = {r.seq: r.status for r in run(dedup.greedy_constant(df, "seq", "text", 9, watched))}
+    assert got == plain_dedup(rows, Profile(near_distance=9, short_distance=9)) and len(set(got.values())) == 2
+    assert sum("SortMergeJoin" in p for p in plans) > 3 and not any("BroadcastExchange" in p for p in plans)

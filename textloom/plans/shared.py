@@ -16,6 +16,10 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Rows of a few numbers and a hash up to which a side of a join is broadcast; they take some megabytes.
+BROADCAST_ROWS = 50_000
 
 _KEY = "spark.checkpoint.dir"
 
@@ -71,6 +75,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
 
 
+def joinable(df: DataFrame, most: int) -> DataFrame:
+    """``df``, of at most ``most`` rows, as a side of a join: broadcast where that is few, merged otherwise.
+
+    Left alone, Spark goes by the bytes of files and shuffles. The same rows take many times as much in the driver that
+    broadcasts them, and several such tables may be there at once.
+    """
+    return F.broadcast(df) if most <= BROADCAST_ROWS else df.hint("merge")
+
+
 def temporary_folder(spark: SparkSession, tag: str) -> str:
     """A new name in the shared folder."""
     return f"{shared_dir(spark)}/textloom/{tag}-{uuid.uuid4().hex}"
